@@ -120,7 +120,8 @@ def mutual_info(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     """Mutual information (nats) of each discrete column with the target, from one
     contingency aggregate (missing is its own value)."""
     from sparkfold.operators.encode import long_text
-    long = long_text(df, cols, keep=[y])
+    # missing is a value: a sentinel keeps it through the equi-joins below
+    long = long_text(df, cols, keep=[y]).withColumn("value", F.coalesce(F.col("value"), F.lit("\u0000")))
     joint = long.groupBy("column", "value", y).agg(F.count(F.lit(1)).alias("nxy"))
     nx = joint.groupBy("column", "value").agg(F.sum("nxy").alias("nx"))
     ny = joint.groupBy("column", y).agg(F.sum("nxy").alias("ny"))
