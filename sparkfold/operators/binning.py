@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkfold.operators.lookup import fitted
 from sparkfold.operators.order import exact_quantiles, long_values
 
 COL, VAL = "column", "value"
@@ -28,7 +29,7 @@ def fit_quantile_bins(df: DataFrame, cols: Sequence[str], q: int = 5,
     hist = long.groupBy(COL, VAL).agg(F.count(F.lit(1)).alias("_cnt"))
     qs = exact_quantiles(hist, VAL, [i / q for i in range(q + 1)], [COL])
     edges = F.array_distinct(F.array(*[F.col(f"q{i}") for i in range(q + 1)]))
-    return qs.select(COL, edges.alias("edges"))
+    return fitted(qs.select(COL, edges.alias("edges")))
 
 
 def classify(x: Column, edges: Column, max_edges: int) -> Column:

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.operators.lookup import checked_broadcast
+
+from sparkfold.operators.lookup import checked_broadcast, join_stats, materialize, fitted
 from sparkfold.operators.order import dense_index
 
 COL, VAL = "column", "value"
@@ -31,17 +32,19 @@ def long_text(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> D
 
 
 def _lookup_col(df: DataFrame, stats: DataFrame, c: str, out: str, keys: Sequence[str] = (),
-                nullsafe: bool = False, bounded: bool = False) -> DataFrame:
-    """Left-join the ``stats`` rows of column ``c`` on the value of ``c`` (+ keys)."""
+                nullsafe: bool = False, small: bool = True) -> DataFrame:
+    """Left-join the ``stats`` rows of column ``c`` on the value of ``c`` (+ keys).
+
+    ``stats`` comes from :func:`lookup.materialize`; ``small`` is its size check.
+    """
     vcol = f"__v_{c}"
     s = stats.where(F.col(COL) == c).select(
         F.col(VAL).alias(vcol), F.col(out).alias(f"__o_{c}"), *[F.col(k).alias(f"__k_{k}") for k in keys])
-    s = checked_broadcast(s, bounded)
     txt = F.col(c).cast("string")
     cond = txt.eqNullSafe(F.col(vcol)) if nullsafe else (txt == F.col(vcol))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"__k_{k}"))
-    return df.join(s, cond, "left").drop(vcol, *[f"__k_{k}" for k in keys])
+    return join_stats(df, s, cond, "left", small).drop(vcol, *[f"__k_{k}" for k in keys])
 
 
 # --- label encoding ------------------------------------------------------------------
@@ -49,7 +52,7 @@ def fit_label(df: DataFrame, cols: Sequence[str], where: str | Column | None = N
     """Sorted distinct values -> 0..n-1 per column (F1).  ``(column, value, code)``."""
     src = df if where is None else df.where(where)
     d = long_text(src, _present(src, cols)).where(F.col(VAL).isNotNull()).distinct()
-    return dense_index(d, [VAL], [COL], out_col="code")
+    return fitted(dense_index(d, [VAL], [COL], out_col="code"))
 
 
 def fit_label_combined(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -59,7 +62,7 @@ def fit_label_combined(frames: Sequence[DataFrame], cols: Sequence[str]) -> Data
         part = long_text(f, _present(f, cols))
         d = part if d is None else d.unionByName(part)
     d = d.where(F.col(VAL).isNotNull()).distinct()
-    return dense_index(d, [VAL], [COL], out_col="code")
+    return fitted(dense_index(d, [VAL], [COL], out_col="code"))
 
 
 def class_counts(stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -77,11 +80,12 @@ def apply_label(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: st
     local = [c for c in cols if c not in fitted]
     if local:
         stats = stats.unionByName(fit_label(df, local))
+    stats, small = materialize(stats)
     n = class_counts(stats).groupBy().pivot(COL, cols).agg(F.first("n_classes"))
     n = n.select(*[F.coalesce(F.col(c), F.lit(0)).alias(f"__n_{c}") for c in cols])
     out = df.crossJoin(F.broadcast(n))  # one row
     for c in cols:
-        out = _lookup_col(out, stats, c, "code")
+        out = _lookup_col(out, stats, c, "code", small=small)
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"__o_{c}"), F.col(f"__n_{c}")).cast("long"))
         out = out.drop(f"__o_{c}", f"__n_{c}")
     return out
@@ -97,18 +101,19 @@ def fit_label_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fold
     folds = spark.range(k).select(F.col("id").cast("int").alias(fold_col))
     comp = tot.crossJoin(F.broadcast(folds)).join(per, [COL, VAL, fold_col], "left") \
         .where(F.col("_t") - F.coalesce(F.col("_c"), F.lit(0)) > 0).select(fold_col, COL, VAL)
-    return dense_index(comp, [VAL], [fold_col, COL], out_col="code")
+    return fitted(dense_index(comp, [VAL], [fold_col, COL], out_col="code"))
 
 
 def apply_label_per_fold(df: DataFrame, stats: DataFrame, cols: Sequence[str],
                          fold_col: str = "fold", suffix: str = "") -> DataFrame:
     """Each row encoded by its own fold's encoder; unseen -> that fold's class count."""
     cols = _present(df, cols)
+    stats, small = materialize(stats)
     n = class_counts(stats, [fold_col]).groupBy(fold_col).pivot(COL, cols).agg(F.first("n_classes"))
     n = n.select(fold_col, *[F.coalesce(F.col(c), F.lit(0)).alias(f"__n_{c}") for c in cols])
     out = df.join(F.broadcast(n), fold_col, "left")  # one row per fold
     for c in cols:
-        out = _lookup_col(out, stats, c, "code", keys=[fold_col])
+        out = _lookup_col(out, stats, c, "code", keys=[fold_col], small=small)
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"__o_{c}"), F.col(f"__n_{c}")).cast("long"))
         out = out.drop(f"__o_{c}", f"__n_{c}")
     return out
@@ -133,12 +138,12 @@ def fit_factorize(df: DataFrame, col: str, order_col: str = "id") -> DataFrame:
     """Codes by first appearance (appearance := ``order_col`` order)."""
     first = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias(VAL)) \
         .agg(F.min(order_col).alias("_first"))
-    return dense_index(first, ["_first"], out_col="code").drop("_first")
+    return fitted(dense_index(first, ["_first"], out_col="code").drop("_first"))
 
 
 def apply_factorize(df: DataFrame, stats: DataFrame, col: str, out_col: str) -> DataFrame:
-    s = checked_broadcast(stats.select(F.col(VAL).alias("__fv"), F.col("code").alias("__fc")))
-    j = df.join(s, F.col(col).cast("string") == s["__fv"], "left")
+    s, small = materialize(stats.select(F.col(VAL).alias("__fv"), F.col("code").alias("__fc")))
+    j = join_stats(df, s, F.col(col).cast("string") == F.col("__fv"), "left", small)
     return j.withColumn(out_col, F.coalesce(F.col("__fc"), F.lit(-1)).cast("long")).drop("__fv", "__fc")
 
 
@@ -156,8 +161,8 @@ def fit_freq(df: DataFrame, cols: Sequence[str], missing: str = "exclude",
         long = long.where(F.col(VAL).isNotNull())
     cnt = long.groupBy(COL, VAL).agg(F.count(F.lit(1)).alias("_c"))
     tot = long.groupBy(COL).agg(F.count(F.lit(1)).alias("_t"))
-    return cnt.join(F.broadcast(tot), COL).select(  # one row per column
-        COL, VAL, (F.col("_c") / F.col("_t")).alias("freq"))
+    return fitted(cnt.join(F.broadcast(tot), COL).select(  # one row per column
+        COL, VAL, (F.col("_c") / F.col("_t")).alias("freq")))
 
 
 def fit_freq_pooled(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -173,8 +178,9 @@ def apply_freq(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str
     """Unseen (and missing unless ``nullsafe``) -> 0 (C11).  ``drop_original`` is F11."""
     out = df
     cols = _present(df, cols)
+    stats, small = materialize(stats)
     for c in cols:
-        out = _lookup_col(out, stats, c, "freq", nullsafe=nullsafe)
+        out = _lookup_col(out, stats, c, "freq", nullsafe=nullsafe, small=small)
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"__o_{c}"), F.lit(0.0))).drop(f"__o_{c}")
     return out.drop(*cols) if drop_original else out
 
@@ -208,7 +214,7 @@ def fit_target_smooth(df: DataFrame, cols: Sequence[str], y: str, smoothing: flo
     m = F.lit(float(smoothing))
     stats = per.crossJoin(F.broadcast(g)).select(
         COL, VAL, ((F.col("_s") + m * F.col("_g")) / (F.col("_n") + m)).alias("te"))
-    return stats, g
+    return fitted(stats), fitted(g)
 
 
 def apply_target(df: DataFrame, stats: DataFrame, glob: DataFrame, cols: Sequence[str],
@@ -216,8 +222,9 @@ def apply_target(df: DataFrame, stats: DataFrame, glob: DataFrame, cols: Sequenc
     """Lookup; unseen or missing -> global mean (C11)."""
     out = df.crossJoin(F.broadcast(glob))  # one row
     keys = [fold_col] if fold_col else []
+    stats, small = materialize(stats)
     for c in _present(df, cols):
-        out = _lookup_col(out, stats, c, "te", keys=keys)
+        out = _lookup_col(out, stats, c, "te", keys=keys, small=small)
         out = out.withColumn(c + suffix, F.coalesce(F.col(f"__o_{c}"), F.col("_g"))).drop(f"__o_{c}")
     return out.drop("_g")
 
@@ -233,7 +240,7 @@ def fit_target_kfold(df: DataFrame, cols: Sequence[str], y: str, fold_col: str =
       test stats  (column, value, te)       - mean of the k fold encodings
     """
     spark = df.sparkSession
-    g = global_mean(df, y)
+    g = fitted(global_mean(df, y))
     per = long_text(df, _present(df, cols), keep=[fold_col, y]).where(F.col(VAL).isNotNull()) \
         .groupBy(COL, VAL, fold_col).agg(F.sum(F.col(y).cast("double")).alias("_fs"),
                                          F.count(F.lit(1)).alias("_fn"))
@@ -245,6 +252,6 @@ def fit_target_kfold(df: DataFrame, cols: Sequence[str], y: str, fold_col: str =
     s_o = F.col("_ts") - F.coalesce(F.col("_fs"), F.lit(0.0))
     m = F.lit(float(smoothing))
     te = F.when(n_o > 0, (s_o + m * F.col("_g")) / (n_o + m)).otherwise(F.col("_g"))
-    fold_stats = grid.select(fold_col, COL, VAL, te.alias("te"))
+    fold_stats = fitted(grid.select(fold_col, COL, VAL, te.alias("te")))
     test_stats = fold_stats.groupBy(COL, VAL).agg(F.avg("te").alias("te"))
-    return fold_stats, test_stats, g
+    return fold_stats, fitted(test_stats), fitted(g)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkfold.operators.lookup import fitted
 from sparkfold.operators.order import exact_quantiles, long_values, mode_of
 
 COL, VAL = "column", "value"
@@ -57,7 +58,7 @@ def fit_median(df: DataFrame, cols: Sequence[str], where: str | Column | None =
     cols = _present(df, cols)
     hist = _hist(_where(df, where), cols)
     q = exact_quantiles(hist, VAL, [0.5], [COL], count_col="_cnt")
-    return q.select(COL, F.col("q0").alias(VAL))
+    return fitted(q.select(COL, F.col("q0").alias(VAL)))
 
 
 def fit_median_pooled(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -74,7 +75,7 @@ def fit_median_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fol
     cols = _present(df, cols)
     comp = _complement(_hist(df, cols, keep=[fold_col]), fold_col, k)
     q = exact_quantiles(comp, VAL, [0.5], [fold_col, COL], count_col="_cnt")
-    return q.select(fold_col, COL, F.col("q0").alias(VAL))
+    return fitted(q.select(fold_col, COL, F.col("q0").alias(VAL)))
 
 
 # --- modes -----------------------------------------------------------------------
@@ -93,7 +94,7 @@ def fit_mode(df: DataFrame, cols: Sequence[str], where: str | Column | None = No
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return fitted(out)
 
 
 def fit_mode_pooled(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -106,7 +107,7 @@ def fit_mode_pooled(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFra
 def fit_mode_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fold", k: int = 5) -> DataFrame:
     cols = _present(df, cols)
     comp = _complement(_hist(df, cols, keep=[fold_col], as_text=True), fold_col, k)
-    return mode_of(comp, VAL, [fold_col, COL], out_col=VAL)
+    return fitted(mode_of(comp, VAL, [fold_col, COL], out_col=VAL))
 
 
 # --- apply -------------------------------------------------------------------------

@@ -31,6 +31,30 @@ def checked_broadcast(stats: DataFrame, bounded: bool = False, max_rows: int | N
     return F.broadcast(stats) if n <= limit else stats
 
 
+def materialize(stats: DataFrame, bounded: bool = False) -> tuple[DataFrame, bool]:
+    """Cache a fitted statistics table and decide once whether it may be broadcast.
+
+    The cache is filled by the row count, so the joins that follow read the
+    cached rows instead of recomputing the fit.  Lost cache blocks are rebuilt
+    from lineage; nothing is node-local.  Returns (stats, broadcastable).
+    """
+    if bounded:
+        return stats, True
+    cached = stats.cache()
+    n = cached.count()
+    return cached, n <= max_broadcast_rows(stats)
+
+
+def fitted(stats: DataFrame) -> DataFrame:
+    """End of every ``fit``: statistics are computed once (eager, like Spark ML's fit)
+    and later plans read them as a cached leaf instead of re-expanding the fit."""
+    return materialize(stats)[0]
+
+
+def join_stats(df: DataFrame, stats: DataFrame, cond, how: str, small: bool) -> DataFrame:
+    return df.join(F.broadcast(stats) if small else stats, cond, how)
+
+
 def lookup(df: DataFrame, stats: DataFrame, on: str | Sequence[str], how: str = "left",
            bounded: bool = False) -> DataFrame:
     return df.join(checked_broadcast(stats, bounded), on, how)

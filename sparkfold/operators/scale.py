@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.operators.lookup import checked_broadcast
+
+from sparkfold.operators.lookup import join_stats, materialize, fitted
 from sparkfold.operators.order import (BEFORE_COL, TOTAL_COL, WEIGHT_COL, exact_quantiles,
                                        long_values, positions)
 
@@ -28,7 +29,7 @@ def fit_standard(df: DataFrame, cols: Sequence[str], where: str | Column | None
     """(column, mean, std) with population std, all columns in one pass (G1, G2 with ``where``)."""
     src = df if where is None else df.where(where)
     long = long_values(src, _present(src, cols), COL, VAL)
-    return long.groupBy(COL).agg(F.avg(VAL).alias("mean"), F.stddev_pop(VAL).alias("std"))
+    return fitted(long.groupBy(COL).agg(F.avg(VAL).alias("mean"), F.stddev_pop(VAL).alias("std")))
 
 
 def fit_standard_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fold", k: int = 5) -> DataFrame:
@@ -43,7 +44,7 @@ def fit_standard_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "f
                                         F.sum("n").alias("n_tot"))
     m2 = pairs.join(mean, ["_f", COL]).groupBy("_f", COL, "mean", "n_tot").agg(
         F.sum(F.col("m2") + F.col("n") * (F.col("m") - F.col("mean")) ** 2).alias("m2_tot"))
-    return m2.select(F.col("_f").alias(fold_col), COL, "mean", F.sqrt(F.col("m2_tot") / F.col("n_tot")).alias("std"))
+    return fitted(m2.select(F.col("_f").alias(fold_col), COL, "mean", F.sqrt(F.col("m2_tot") / F.col("n_tot")).alias("std")))
 
 
 def apply_standard(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "",
@@ -66,7 +67,7 @@ def fit_robust(df: DataFrame, cols: Sequence[str], where: str | Column | None =
     long = long_values(src, _present(src, cols), COL, VAL).where(F.col(VAL).isNotNull())
     hist = long.groupBy(COL, VAL).agg(F.count(F.lit(1)).alias("_cnt"))
     q = exact_quantiles(hist, VAL, [0.25, 0.5, 0.75], [COL])
-    return q.select(COL, F.col("q1").alias("median"), (F.col("q2") - F.col("q0")).alias("iqr"))
+    return fitted(q.select(COL, F.col("q1").alias("median"), (F.col("q2") - F.col("q0")).alias("iqr")))
 
 
 def apply_robust(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
@@ -87,21 +88,21 @@ def fit_rank_pct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     hist = long.groupBy(COL, VAL).agg(F.count(F.lit(1)).alias("_cnt"))
     pos = positions(hist, [VAL], [COL], weight_col="_cnt")
     avg_rank = F.col(BEFORE_COL) + (F.col(WEIGHT_COL) + F.lit(1.0)) / F.lit(2.0)
-    return pos.select(COL, VAL, (avg_rank / F.col(TOTAL_COL)).alias("pct"))
+    return fitted(pos.select(COL, VAL, (avg_rank / F.col(TOTAL_COL)).alias("pct")))
 
 
 def apply_rank_pct(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "_rank",
                    missing_default: float | None = 0.5) -> DataFrame:
     """Join ranks back; a requested column absent from ``df`` gets ``missing_default``."""
     out = df
+    stats, small = materialize(stats)
     for c in cols:
         if c not in df.columns:
             if missing_default is not None:
                 out = out.withColumn(c + suffix, F.lit(float(missing_default)))
             continue
-        s = checked_broadcast(stats.where(F.col(COL) == c).select(
-            F.col(VAL).alias(f"__v_{c}"), F.col("pct").alias(f"__p_{c}")))
-        out = out.join(s, F.col(c).cast("double") == s[f"__v_{c}"], "left") \
+        s = stats.where(F.col(COL) == c).select(F.col(VAL).alias(f"__v_{c}"), F.col("pct").alias(f"__p_{c}"))
+        out = join_stats(out, s, F.col(c).cast("double") == F.col(f"__v_{c}"), "left", small) \
             .withColumnRenamed(f"__p_{c}", c + suffix).drop(f"__v_{c}")
     return out
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sparkfold.operators import split
 from sparkfold.plans import fixtures as fx
+from sparkfold.session import cut_lineage
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -51,13 +52,14 @@ def founders(spark: SparkSession, sf: str) -> DataFrame:
     """founder_base + stratified fold + y (Stayed = 1)."""
     fb = fx.view(spark, sf, "founder_base")
     fb = split.assign_folds(fb, "retention_status", key_col="founder_id")
-    return fb.withColumn("y", (F.col("retention_status") == "Stayed").cast("int"))
+    # feeds many branches (fits, applies, splits): written once to the checkpoint folder
+    return cut_lineage(fb.withColumn("y", (F.col("retention_status") == "Stayed").cast("int")))
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
     eb = fx.view(spark, sf, "entity_base")
     eb = split.assign_folds(eb, "status", key_col="id")
-    return eb.withColumn("y", (F.col("status") == "Stayed").cast("int"))
+    return cut_lineage(eb.withColumn("y", (F.col("status") == "Stayed").cast("int")))
 
 
 def preds_wide(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparkfold.functions import features as FT
 from sparkfold.operators import encode, impute, split
 from sparkfold.plans import fixtures as fx
+from sparkfold.session import cut_lineage
 
 TE_COLS = ["segment", "nation", "region"]
 RATIOS = [FT.Feature("spend_per_order", ("total_spend", "n_orders"), FT.ratio_plus_one),
@@ -23,7 +24,8 @@ RATIOS = [FT.Feature("spend_per_order", ("total_spend", "n_orders"), FT.ratio_pl
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     eb = fx.view(spark, sf_dir, "entity_base")
     eb = split.assign_folds(eb, "status", key_col="id", k=5, seed=fx.SEED)
-    eb = eb.withColumn("y", (F.col("status") == "Stayed").cast("int"))
+    # the folded frame feeds the fit, the encoders and the apply: cut the lineage once
+    eb = cut_lineage(eb.withColumn("y", (F.col("status") == "Stayed").cast("int")))
     med = impute.fit_median(eb, ["acctbal"], where="fold != 0")
     eb = impute.apply_fill(eb, med, ["acctbal"])
     eb = FT.add_features(eb, RATIOS)

@@ -60,6 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss).
+
+    The frame is persisted first so the checkpoint job writes it from one
+    computation instead of computing it twice; the persisted copy is released
+    once the checkpoint files exist.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist()
+    out = held.checkpoint(eager=True)
+    held.unpersist(blocking=False)
+    return out
