@@ -1 +1,193 @@
-"""Queries (filled in below)."""
+"""Queries: model training through Spark ML (M1-M17).  Rows-only checks (no SQL oracle);
+model quality is asserted against the majority-class baseline in the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sparkfold.functions import exprs as X
+from sparkfold.functions import features as FT
+from sparkfold.ml import models as M
+from sparkfold.operators import impute, metrics, search, split
+from sparkfold.plans.catalog import founders, register
+from sparkfold.session import cut_lineage
+
+NUM = ["founder_age", "years_with_startup", "monthly_revenue_generated", "funding_rounds_led",
+       "distance_from_investor_hub", "num_dependents", "years_since_founding"]
+CAT = ["founder_role", "education_background", "personal_status", "startup_stage", "team_size_category",
+       "founder_gender"]
+ENGINEERED = [f.name for f in FT.RATIOS_F] + ["wlb_score", "satisfaction_score", "performance_score",
+                                              "reputation_score", "visibility_score"] + \
+    [f.name for f in FT.FLAGS]
+
+
+def model_frame(spark, sf) -> DataFrame:
+    """Features for training: train medians (fold != 0) filled everywhere, engineered
+    columns, missing categoricals as 'Missing', class weights, fold column; checkpointed."""
+    ff = founders(spark, sf)
+    med = impute.fit_median(ff, NUM, where="fold != 0")
+    df = impute.apply_fill(ff, med, NUM)
+    df = FT.add_features(df, FT.RATIOS_F + FT.ORDINAL_SCORES + FT.FLAGS)
+    df = df.fillna(0.0, [c for c in ENGINEERED if c in df.columns])
+    df = X.fill_constant(df, CAT, "Missing")
+    df = metrics.add_class_weight(df, "y", "weight")
+    return cut_lineage(df.select("founder_id", "fold", "y", "weight", *NUM, *ENGINEERED, *CAT))
+
+
+NUMS = NUM + ENGINEERED
+
+
+def _train_test(spark, sf):
+    df = model_frame(spark, sf)
+    return df, df.where("fold != 0"), df.where("fold = 0")
+
+
+@register("ml_logreg")
+def ml_logreg(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    est = M.estimator("logreg", labelCol="y", weight="weight", maxIter=200)
+    return M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
+
+
+@register("ml_linear_svc")
+def ml_linear_svc(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    est = M.estimator("svc", labelCol="y", regParam=0.01, weight="weight")
+    return M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id", score="margin")
+
+
+@register("ml_svc_calibrated")
+def ml_svc_calibrated(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    train = split.assign_folds(train, "y", "founder_id", k=3, seed=11, out_col="_cv")
+    return M.svc_calibrated(train, test, M.feature_stages(NUMS, CAT, scale=True), "y", "founder_id")
+
+
+@register("ml_rff_svc")
+def ml_rff_svc(spark, sf):
+    df, _, _ = _train_test(spark, sf)
+    prep = M.Pipeline(stages=M.feature_stages(NUMS, [], scale=True, out="scaled")).fit(df.where("fold != 0"))
+    z = M.fourier_features(prep.transform(df), "scaled", len(NUMS), n_components=64, gamma=0.1)
+    z = cut_lineage(z.select("founder_id", "fold", "y", F.col("rff").alias("features")))
+    train = split.assign_folds(z.where("fold != 0"), "y", "founder_id", k=3, seed=11, out_col="_cv")
+    return M.svc_calibrated(train, z.where("fold = 0"), [], "y", "founder_id")
+
+
+@register("ml_random_forest")
+def ml_random_forest(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=6)
+    return M.fit_score(train, test, M.feature_stages(NUMS, CAT, onehot=False), est, "founder_id")
+
+
+@register("select_topk_features")
+def select_topk_features(spark, sf):
+    _, train, _ = _train_test(spark, sf)
+    stages = M.feature_stages(NUMS, CAT, onehot=False)
+    model = M.Pipeline(stages=[*stages, M.estimator("rf", labelCol="y", weight="weight", numTrees=100,
+                                                    maxDepth=6)]).fit(train)
+    top = M.top_features(model.stages[-1], NUMS + CAT, k=120)
+    return spark.createDataFrame([(i, n, imp, r + 1) for r, (i, n, imp) in enumerate(top)],
+                                 "feature_index int, feature string, importance double, rank int")
+
+
+def _gbt_parts(spark, sf):
+    df, train, test = _train_test(spark, sf)
+    stages = M.feature_stages(NUMS, CAT, onehot=False)  # raw categorical indices: native splits (M9)
+    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
+    best, _ = M.gbt_best_rounds(fit_rows, valid, stages, "y", max_iter=40, maxDepth=4, maxBins=32)
+    return train, test, stages, best
+
+
+@register("ml_gbt")
+def ml_gbt(spark, sf):
+    train, _, stages, best = _gbt_parts(spark, sf)
+    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
+    pred = M.gbt_refit(fit_rows, valid, stages, "y", best, "founder_id", maxDepth=4, maxBins=32)
+    return pred.withColumn("best_rounds", F.lit(best))
+
+
+@register("ml_gbt_refit")
+def ml_gbt_refit(spark, sf):
+    train, test, stages, best = _gbt_parts(spark, sf)
+    return M.gbt_refit(train, test, stages, "y", best, "founder_id", maxDepth=4, maxBins=32) \
+        .withColumn("best_rounds", F.lit(best))
+
+
+@register("ml_adaboost")
+def ml_adaboost(spark, sf):
+    df, _, _ = _train_test(spark, sf)
+    prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, onehot=False)).fit(df.where("fold != 0"))
+    feats = cut_lineage(prep.transform(df).select("founder_id", "fold", "y", "features"))
+    return M.adaboost(feats.where("fold != 0"), feats.where("fold = 0"), "y", "founder_id", rounds=8)
+
+
+@register("ml_mlp")
+def ml_mlp(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    stages = M.feature_stages(NUMS, CAT, scale=True)
+    prep = M.Pipeline(stages=stages).fit(train)
+    n_in = len(prep.transform(train.limit(1)).first()["features"])  # vector width: one row
+    est = M.estimator("mlp", labelCol="y", layers=[n_in, 128, 64, 2], maxIter=30, blockSize=128)
+    fitted = est.fit(prep.transform(M.replicate_by_weight(train, "y")))
+    pred = fitted.transform(prep.transform(test))
+    return pred.select("founder_id", M.positive_proba().alias("proba"))
+
+
+@register("ml_config_search")
+def ml_config_search(spark, sf):
+    """Three regularisation settings, one shared split (fold 1 validates), tuned-threshold F1 each,
+    best = first maximum (M13, K6)."""
+    _, train, _ = _train_test(spark, sf)
+    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
+    runs = None
+    for seq, reg in enumerate([0.0, 0.01, 0.1]):
+        est = M.estimator("logreg", labelCol="y", weight="weight", regParam=reg, maxIter=200)
+        p = M.fit_score(fit_rows, valid, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
+        scored = p.join(valid.select("founder_id", "y"), "founder_id")
+        best = search.best_threshold(scored, "y", "proba").select(
+            F.lit(seq).alias("seq"), F.lit(reg).alias("reg_param"), "threshold", "f1")
+        runs = best if runs is None else runs.unionByName(best)
+    winner = search.first_best(runs, "f1", "seq").select(F.col("seq").alias("_win"))
+    return runs.crossJoin(F.broadcast(winner)).select(
+        "seq", "reg_param", "threshold", "f1", (F.col("seq") == F.col("_win")).cast("int").alias("is_best"))
+
+
+@register("ml_fraction_study")
+def ml_fraction_study(spark, sf):
+    """Train on stratified fractions of the training part; F1 on the validation fold."""
+    _, train, _ = _train_test(spark, sf)
+    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
+    runs = None
+    for seq, frac in enumerate([0.2, 0.5, 1.0]):
+        sub = split.sample_fraction(fit_rows, "y", frac, "founder_id", seed=42)
+        est = M.estimator("logreg", labelCol="y", weight="weight", maxIter=200)
+        p = M.fit_score(sub, valid, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
+        scored = p.join(valid.select("founder_id", "y"), "founder_id")
+        best = search.best_threshold(scored, "y", "proba").select(
+            F.lit(seq).alias("seq"), F.lit(frac).alias("fraction"), "threshold", "f1")
+        runs = best if runs is None else runs.unionByName(best)
+    return runs
+
+
+@register("ml_refit_score")
+def ml_refit_score(spark, sf):
+    _, train, test = _train_test(spark, sf)
+    est = M.estimator("logreg", labelCol="y", weight="weight", maxIter=200)
+    p = M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
+    return p.withColumn("label", X.threshold_label("proba", 0.5, "Stayed", "Left"))
+
+
+@register("ml_oof")
+def ml_oof(spark, sf):
+    """Five inner folds over the training part: OOF probabilities for every training row,
+    test probabilities averaged over the five fold models (M17)."""
+    _, train, test = _train_test(spark, sf)
+    inner = split.assign_folds(train.drop("fold"), "y", "founder_id", k=5, seed=7)
+    oof, tmean = M.oof_predictions(
+        inner, test, lambda: M.feature_stages(NUMS, CAT, scale=True),
+        lambda: M.estimator("logreg", labelCol="y", weight="weight", maxIter=200),
+        "founder_id", "fold", 5, "logreg")
+    return oof.select("founder_id", F.lit("oof").alias("part"), "fold", "proba").unionByName(
+        tmean.select("founder_id", F.lit("test").alias("part"), F.lit(None).cast("int").alias("fold"), "proba"))
