@@ -13,7 +13,10 @@ goes through :func:`positions`, which
    ``(group, bucket)`` totals table.
 
 The result is exact: buckets only decide *where* rows are sorted, never the
-order.  Skew: value histograms are built first (``value_counts``), so a value
+order.  Inputs proven small (``limit(N + 1).count() <= N`` with N =
+``sparkfold.window.maxRowsPerTask``, default 1,000,000 rows) skip the
+bucketing and use one window per group - the same "only behind a checked
+bound" rule as broadcasting.  Skew: value histograms are built first (``value_counts``), so a value
 held by a third of all rows is one row here, not a third of the data.
 """
 
@@ -31,6 +34,13 @@ TOTAL_COL = "_n"
 WEIGHT_COL = "_w"
 
 
+DEFAULT_MAX_ROWS_PER_TASK = 1_000_000
+
+
+def max_rows_per_task(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("sparkfold.window.maxRowsPerTask", str(DEFAULT_MAX_ROWS_PER_TASK)))
+
+
 def default_buckets(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     return max(4, min(n, 4096))
@@ -62,11 +72,15 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     """
     group_cols = list(group_cols)
     order_cols = list(order_cols)
+    w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
+    limit = max_rows_per_task(df)
+    if n_buckets is None and df.limit(limit + 1).count() <= limit:
+        # proven small (<= limit rows in total): one exact window per group, no bucketing
+        return _positions_small(df.withColumn(WEIGHT_COL, w), order_cols, group_cols)
     nb = n_buckets or default_buckets(df)
     first = order_cols[0]
     if prefix is None:
         prefix = order_prefix(F.col(first), df.schema[first].dataType)
-    w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
     base = df.withColumn(WEIGHT_COL, w)
 
     if uniform_range is not None:
@@ -109,6 +123,15 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
             .drop("_off", "_in", BUCKET_COL))
 
 
+def _positions_small(base: DataFrame, order_cols: list[str], group_cols: list[str]) -> DataFrame:
+    """Exact positions with one window per group; only used below the rows-per-task bound."""
+    ww = Window.partitionBy(*group_cols).orderBy(*order_cols) if group_cols else Window.orderBy(*order_cols)
+    run = ww.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+    return base.withColumns({BEFORE_COL: F.sum(WEIGHT_COL).over(run) - F.col(WEIGHT_COL),
+                             TOTAL_COL: F.sum(WEIGHT_COL).over(whole)})
+
+
 def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct non-null values with their counts (map-side combined)."""
     return (df.where(F.col(value_col).isNotNull())

@@ -60,3 +60,15 @@ def test_median_fit_apply_uses_train_stats(spark):
     test = spark.createDataFrame([(None,), (5.0,)], "x double")
     stats = impute.fit_median(train, ["x"])
     assert [r["x"] for r in impute.apply_fill(test, stats, ["x"]).collect()] == [2.0, 5.0]
+
+
+def test_rank_pct_bucketed_path(spark):
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 200, size=800).astype(float)
+    pdf = pd.DataFrame({"id": range(800), "x": x})
+    spark.conf.set("sparkfold.window.maxRowsPerTask", "16")
+    try:
+        out = scale.rank_pct(spark.createDataFrame(pdf), ["x"]).toPandas().sort_values("id")
+    finally:
+        spark.conf.unset("sparkfold.window.maxRowsPerTask")
+    assert np.allclose(out["x_rank"].to_numpy(), pdf["x"].rank(pct=True).to_numpy())

@@ -38,3 +38,15 @@ def test_hash_mode_has_no_shuffle(spark):
     eb = fx.table(spark, SF01, "customer")
     plan = split.assign_folds(eb, None, "c_custkey", mode="hash")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_bucketed_path_equals_small_path(spark):
+    """Force the large-input path (bucketed windows) and compare with the small path."""
+    eb = fx.view(spark, SF01, "entity_base")
+    small = split.assign_folds(eb, "status", "id", 5, 42).select("id", "fold").collect()
+    spark.conf.set("sparkfold.window.maxRowsPerTask", "10")
+    try:
+        big = split.assign_folds(eb, "status", "id", 5, 42).select("id", "fold").collect()
+    finally:
+        spark.conf.unset("sparkfold.window.maxRowsPerTask")
+    assert sorted(small) == sorted(big)
