@@ -253,5 +253,5 @@ def fit_target_kfold(df: DataFrame, cols: Sequence[str], y: str, fold_col: str =
     m = F.lit(float(smoothing))
     te = F.when(n_o > 0, (s_o + m * F.col("_g")) / (n_o + m)).otherwise(F.col("_g"))
     fold_stats = fitted(grid.select(fold_col, COL, VAL, te.alias("te")))
-    test_stats = fold_stats.groupBy(COL, VAL).agg(F.avg("te").alias("te"))
-    return fold_stats, fitted(test_stats), fitted(g)
+    test_stats = fold_stats.groupBy(COL, VAL).agg(F.avg("te").alias("te"))  # over the cached fold stats
+    return fold_stats, test_stats, g

@@ -79,9 +79,11 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
         return _positions_small(df.withColumn(WEIGHT_COL, w), order_cols, group_cols)
     nb = n_buckets or default_buckets(df)
     first = order_cols[0]
-    if prefix is None:
-        prefix = order_prefix(F.col(first), df.schema[first].dataType)
     base = df.withColumn(WEIGHT_COL, w)
+    if prefix is None and isinstance(df.schema[first].dataType, T.StringType):
+        base, prefix = _string_prefix(base, first, group_cols)
+    elif prefix is None:
+        prefix = order_prefix(F.col(first), df.schema[first].dataType)
 
     if uniform_range is not None:
         lo, hi = uniform_range
@@ -120,7 +122,27 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     ranked = keyed.withColumn("_in", F.sum(WEIGHT_COL).over(ww) - F.col(WEIGHT_COL))
     out = ranked.join(F.broadcast(totals), [*group_cols, BUCKET_COL], "inner")
     return (out.withColumn(BEFORE_COL, F.col("_off") + F.col("_in"))
-            .drop("_off", "_in", BUCKET_COL))
+            .drop("_off", "_in", BUCKET_COL, "_lcp"))
+
+
+def _string_prefix(base: DataFrame, col: str, group_cols: list[str]) -> tuple[DataFrame, Column]:
+    """Monotone numeric prefix of a string key that skips the bytes every key of the
+    group shares (the common prefix of the group's min and max), so keys such as
+    'Customer#000000001' or URLs still spread over the buckets."""
+    spark = base.sparkSession
+    mm = base.groupBy(*group_cols).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx")).collect()  # per group
+    rows = []
+    for r in mm:
+        a, b = (r["_mn"] or "").encode("utf-8"), (r["_mx"] or "").encode("utf-8")
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        rows.append((*[r[g] for g in group_cols], n))
+    schema = T.StructType([base.schema[g] for g in group_cols] + [T.StructField("_lcp", T.IntegerType())])
+    lcp = F.broadcast(spark.createDataFrame(rows, schema))  # one row per group
+    keyed = base.join(lcp, group_cols, "left") if group_cols else base.crossJoin(lcp)
+    hx = F.hex(F.col(col)).substr(F.col("_lcp") * 2 + 1, F.lit(14))
+    return keyed, F.conv(F.rpad(hx, 14, "0"), 16, 10).cast("double")
 
 
 def _positions_small(base: DataFrame, order_cols: list[str], group_cols: list[str]) -> DataFrame:

@@ -72,3 +72,14 @@ def test_rank_pct_bucketed_path(spark):
     finally:
         spark.conf.unset("sparkfold.window.maxRowsPerTask")
     assert np.allclose(out["x_rank"].to_numpy(), pdf["x"].rank(pct=True).to_numpy())
+
+
+def test_dense_index_long_common_prefix_spreads(spark):
+    """Keys sharing a long prefix still sort exactly and spread over several buckets."""
+    names = [f"Customer#{i:09d}" for i in range(0, 4000, 7)]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "name string")
+    out = order.dense_index(df, ["name"], n_buckets=8)
+    got = {r["name"]: r["index"] for r in out.collect()}
+    assert got == {n: i for i, n in enumerate(sorted(names))}
+    base, prefix = order._string_prefix(df.withColumn("_w", F.lit(1)), "name", [])
+    assert base.select(prefix.alias("p")).distinct().count() > 100
