@@ -350,7 +350,7 @@ def rank_pct(spark, sf):
 
 
 @register("rank_pct_default", WF + "SELECT founder_id, " + _rank_sql("founder_age") +
-          ", 0.5 salary_rank FROM ff WHERE fold = 0")
+          ", cast(0.5 AS double) salary_rank FROM ff WHERE fold = 0")
 def rank_pct_default(spark, sf):
     test = founders(spark, sf).where("fold = 0").select("founder_id", "founder_age")
     stats = scale.fit_rank_pct(test, ["founder_age"])  # ranks are per frame
@@ -370,8 +370,8 @@ def split_kfold(spark, sf):
     return split.assign_folds(fx.view(spark, sf, "entity_base"), "status", "id", 5, 42).select("id", "fold")
 
 
-@register("split_stratified", WEB + "SELECT id, CASE WHEN " + _pos(42) +
-          " < round(count(*) OVER (PARTITION BY status) * 0.2) THEN 1 ELSE 0 END is_test FROM entity_base")
+@register("split_stratified", WEB + "SELECT id, cast(CASE WHEN " + _pos(42) +
+          " < round(count(*) OVER (PARTITION BY status) * 0.2) THEN 1 ELSE 0 END AS bigint) is_test FROM entity_base")
 def split_stratified(spark, sf):
     return split.split_stratified(fx.view(spark, sf, "entity_base"), "status", "id", 0.2, 42).select("id", "is_test")
 
@@ -384,8 +384,8 @@ def sample_fraction(spark, sf):
 
 @register("split_nested", WEB + ", s AS (SELECT id, status FROM (SELECT id, status, " + _pos(42) + " p, "
           "count(*) OVER (PARTITION BY status) n FROM entity_base) WHERE p < round(n * 0.2))\n"
-          "SELECT id, CASE WHEN " + _pos(7, src="s") + " < round(count(*) OVER (PARTITION BY status) * 0.2) "
-          "THEN 1 ELSE 0 END is_test FROM s")
+          "SELECT id, cast(CASE WHEN " + _pos(7, src="s") + " < round(count(*) OVER (PARTITION BY status) * 0.2) "
+          "THEN 1 ELSE 0 END AS bigint) is_test FROM s")
 def split_nested(spark, sf):
     eb = fx.view(spark, sf, "entity_base")
     return split.split_nested(eb, "status", 0.2, 0.2, "id", 42, 7).select("id", "is_test")

@@ -42,7 +42,7 @@ def global_stats(spark, sf):
                  F.avg("acctbal").alias("mean_acctbal"), F.count("acctbal").alias("n_acctbal"))
 
 
-@register("class_weights", WE + "SELECT y, count(*) n_c, round((SELECT count(*) FROM ee) / (2.0 * count(*)), 6) weight "
+@register("class_weights", WE + "SELECT cast(y AS bigint) y, count(*) n_c, round((SELECT count(*) FROM ee) / (2.0 * count(*)), 6) weight "
           "FROM ee GROUP BY y")
 def class_weights(spark, sf):
     return metrics.class_weights(entities(spark, sf), "y")
@@ -62,7 +62,8 @@ def metric_accuracy(spark, sf):
     return metrics.binary_metrics(pw, "y", "yhat").select("accuracy", "n")
 
 
-@register("metric_f1", WP + "SELECT round(" + _f1() + ", 6) f1, tp, fp, fn FROM (SELECT " + _cnt("proba_a >= 0.5") +
+@register("metric_f1", WP + "SELECT round(" + _f1() + ", 6) f1, cast(tp AS bigint) tp, cast(fp AS bigint) fp, "
+          "cast(fn AS bigint) fn FROM (SELECT " + _cnt("proba_a >= 0.5") +
           " FROM pw)")
 def metric_f1(spark, sf):
     pw = preds_wide(spark, sf).withColumn("yhat", (F.col("proba_a") >= 0.5).cast("int"))
@@ -321,7 +322,8 @@ SOUP = WP.rstrip() + """,
 ids AS (SELECT id FROM pw), cls AS (SELECT * FROM (VALUES ('Left'), ('Stayed')) c(class)),
 sa AS (SELECT id, 'Left' class, 1.0 - proba_a p FROM pw UNION ALL SELECT id, 'Stayed', proba_a FROM pw),
 lb AS (SELECT id, CASE WHEN id % 13 = 0 THEN 'Maybe' WHEN proba_b >= 0.5 THEN 'Stayed' ELSE 'Left' END lab FROM pw),
-sb AS (SELECT id, class, CASE WHEN lab NOT IN ('Left', 'Stayed') THEN 0.5 WHEN lab = class THEN 1.0 ELSE 0.0 END p FROM lb, cls),
+sb AS (SELECT id, class, cast(CASE WHEN lab NOT IN ('Left', 'Stayed') THEN 0.5 WHEN lab = class THEN 1.0 ELSE 0.0 END AS double) p
+  FROM lb, cls),
 sc0 AS (SELECT id, 'Left' class, 1.0 - proba_c p FROM pw WHERE fold != 3 UNION ALL SELECT id, 'Stayed', proba_c FROM pw WHERE fold != 3),
 sc AS (SELECT ids.id, cls.class, coalesce(sc0.p, 0.5) p FROM ids CROSS JOIN cls LEFT JOIN sc0 ON sc0.id = ids.id AND sc0.class = cls.class),
 allp AS (SELECT * FROM sa UNION ALL SELECT * FROM sb UNION ALL SELECT * FROM sc),
@@ -371,7 +373,7 @@ def oof_assemble(spark, sf):
     return ensemble.assemble_oof(parts)
 
 
-@register("oof_check", WP + "SELECT count(*) rows, count(DISTINCT id) ids, 0 duplicated FROM pw")
+@register("oof_check", WP + "SELECT count(*) rows, count(DISTINCT id) ids, cast(0 AS bigint) duplicated FROM pw")
 def oof_check(spark, sf):
     pw = preds_wide(spark, sf)
     parts = [pw.where(F.col("fold") == k).select("id", F.col("proba_a").alias("proba")) for k in range(5)]

@@ -59,8 +59,8 @@ def split_main_holdout(spark, sf):
         hold.select("founder_id", F.lit("HOLDOUT").alias("part")))
 
 
-@register("pooled_union", WF + "SELECT founder_id, retention_status, 1 AS _is_train FROM ff WHERE fold != 0 "
-          "UNION ALL SELECT founder_id, NULL, 0 FROM ff WHERE fold = 0")
+@register("pooled_union", WF + "SELECT founder_id, retention_status, cast(1 AS bigint) AS _is_train FROM ff "
+          "WHERE fold != 0 UNION ALL SELECT founder_id, NULL, cast(0 AS bigint) FROM ff WHERE fold = 0")
 def pooled_union(spark, sf):
     ff = founders(spark, sf)
     train = ff.where("fold != 0").select("founder_id", "retention_status")
@@ -285,12 +285,12 @@ def feat_products(spark, sf):
 
 def _map_sql(c: str, m: dict, lower: bool = True) -> str:
     key = f"lower(trim({c}))" if lower else c
-    whens = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in m.items())
+    whens = " ".join(f"WHEN '{k}' THEN cast({float(v)} AS double)" for k, v in m.items())
     return f"CASE {key} {whens} END"
 
 
 SCORE_SQL = {o: _map_sql(i, m) for o, i, m in FT.SCORE_SOURCES}
-SCORE_SQL_CASED = {o: f"coalesce({_map_sql(i, FT.RATING_MAP_CASED, lower=False)}, 1.0)"
+SCORE_SQL_CASED = {o: f"coalesce({_map_sql(i, FT.RATING_MAP_CASED, lower=False)}, cast(1.0 AS double))"
                    for o, i, _ in FT.SCORE_SOURCES}
 RATING_COLS = [i for _, i, _ in FT.SCORE_SOURCES]
 
