@@ -19,6 +19,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfold.operators.lookup import fitted
 from sparkfold.operators.metrics import f1_from
 
 ThresholdFn = Callable[[Column], Column]
@@ -75,6 +76,9 @@ def threshold_curve(df: DataFrame, y: str, p: str, grid, group_cols: Sequence[st
                       count_at_or_below(F.col(p), grid).alias("_j"))
     hist = keyed.groupBy(*g, *grid_cols, "_j").agg(
         F.sum(F.col("_y")).alias("_pos"), F.sum(F.lit(1) - F.col("_y")).alias("_neg"))
+    # the histogram is the only pass over the rows; materialise it (<= groups x (count + 1)
+    # cells) so the group list below is read from it, not re-derived from the source
+    hist = fitted(hist)
     groups = hist.select(*g, *grid_cols).distinct()
     dense = groups.select(*g, *grid_cols, F.explode(F.sequence(F.lit(0), F.lit(count))).alias("_j"))
     dense = dense.join(hist, [*g, *grid_cols, "_j"], "left").fillna(0, ["_pos", "_neg"])
