@@ -32,7 +32,7 @@ CAND_SCHEMA = T.StructType([
 
 
 def _block_topk(k: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ref = pdf[pdf["_side"] == 1]
         qry = pdf[pdf["_side"] == 0]
         if ref.empty or qry.empty:
