@@ -7,7 +7,9 @@ goes through :func:`positions`, which
 
 1. maps the sort key to a monotone numeric *prefix*,
 2. cuts the prefix range into ``n_buckets`` ranges (approximate quantiles of
-   the distinct prefixes, or equal ranges for hash keys that are uniform),
+   the distinct prefixes, or equal ranges for hash keys that are uniform); the
+   bounds (at most groups x 1023 numbers) are compiled into a balanced tree of
+   literal comparisons, so a row finds its bucket in log2(n_buckets) steps,
 3. runs the window partitioned by ``(group, bucket)`` - many parallel tasks,
 4. adds the exact count of everything in earlier buckets from a small
    ``(group, bucket)`` totals table.
@@ -91,20 +93,25 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
         bucket = F.least(F.floor((prefix - F.lit(lo)) / F.lit(span) * nb), F.lit(nb - 1))
         keyed = base.withColumn(BUCKET_COL, F.coalesce(bucket, F.lit(-1)).cast("int"))
     else:
+        nb = min(nb, MAX_TREE_BUCKETS)
         probs = [i / nb for i in range(1, nb)]
-        pref = base.select(*group_cols, prefix.alias("_p"))
-        bounds = pref.groupBy(*group_cols).agg(
-            F.percentile_approx("_p", probs, accuracy).alias("_bounds"))
-        # one row per group; groups are few (classes, folds, columns)
-        if group_cols:
-            keyed = base.join(F.broadcast(bounds), group_cols, "left")
-        else:
-            keyed = base.crossJoin(F.broadcast(bounds))
+        bounds = base.select(*group_cols, prefix.alias("_p")).groupBy(*group_cols).agg(
+            F.percentile_approx("_p", probs, accuracy).alias("_bounds")).collect()  # one row per group
         p = prefix
-        bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < p))
-        keyed = keyed.withColumn(
-            BUCKET_COL, F.when(p.isNull(), F.lit(-1)).otherwise(bucket).cast("int")
-        ).drop("_bounds")
+        bucket = None
+        for r in bounds:
+            tree = _bucket_tree(p, [float(b) for b in (r["_bounds"] or [])])
+            if not group_cols:
+                bucket = tree
+                break
+            cond = None
+            for g in group_cols:
+                c = F.col(g).eqNullSafe(F.lit(r[g]))
+                cond = c if cond is None else cond & c
+            bucket = F.when(cond, tree) if bucket is None else bucket.when(cond, tree)
+        if bucket is None:
+            bucket = F.lit(0)
+        keyed = base.withColumn(BUCKET_COL, F.when(p.isNull(), F.lit(-1)).otherwise(bucket).cast("int"))
 
     # exact totals per (group, bucket): at most groups x n_buckets rows
     totals = keyed.groupBy(*group_cols, BUCKET_COL).agg(F.sum(WEIGHT_COL).alias("_bw"))
@@ -145,6 +152,20 @@ def _string_prefix(base: DataFrame, col: str, group_cols: list[str]) -> tuple[Da
     return keyed, F.conv(F.rpad(hx, 14, "0"), 16, 10).cast("double")
 
 
+MAX_TREE_BUCKETS = 1024
+
+
+def _bucket_tree(p: Column, bounds: list[float]) -> Column:
+    """Number of ``bounds`` (sorted) below ``p`` as a balanced tree of literal comparisons:
+    depth log2(len(bounds)), no per-row array, plain codegen expressions."""
+    def build(lo: int, hi: int) -> Column:  # the answer is known to lie in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2           # answer >= mid  <=>  bounds[mid - 1] < p
+        return F.when(p > F.lit(bounds[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
+    return build(0, len(bounds))
+
+
 def _positions_small(base: DataFrame, order_cols: list[str], group_cols: list[str]) -> DataFrame:
     """Exact positions with one window per group; only used below the rows-per-task bound."""
     ww = Window.partitionBy(*group_cols).orderBy(*order_cols) if group_cols else Window.orderBy(*order_cols)
