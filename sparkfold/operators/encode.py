@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-from sparkfold.operators.lookup import checked_broadcast, join_stats, materialize, fitted
+from sparkfold.operators.lookup import fitted, join_stats, materialize
 from sparkfold.operators.order import dense_index
 
 COL, VAL = "column", "value"

@@ -22,15 +22,6 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("sparkfold.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
 
 
-def checked_broadcast(stats: DataFrame, bounded: bool = False, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(stats)`` if its row count is within the limit, else ``stats`` unchanged."""
-    if bounded:
-        return F.broadcast(stats)
-    limit = max_rows if max_rows is not None else max_broadcast_rows(stats)
-    n = stats.limit(limit + 1).count()
-    return F.broadcast(stats) if n <= limit else stats
-
-
 def materialize(stats: DataFrame, bounded: bool = False) -> tuple[DataFrame, bool]:
     """Cache a fitted statistics table and decide once whether it may be broadcast.
 
@@ -57,23 +48,14 @@ def join_stats(df: DataFrame, stats: DataFrame, cond, how: str, small: bool) ->
 
 def lookup(df: DataFrame, stats: DataFrame, on: str | Sequence[str], how: str = "left",
            bounded: bool = False) -> DataFrame:
-    return df.join(checked_broadcast(stats, bounded), on, how)
-
-
-def lookup_on(df: DataFrame, stats: DataFrame, cond_builder, how: str = "left",
-              bounded: bool = False) -> DataFrame:
-    """Join with an explicit condition ``cond_builder(df, stats) -> Column``."""
-    s = checked_broadcast(stats, bounded)
-    return df.join(s, cond_builder(df, s), how)
+    """Equi-join fitted statistics onto ``df`` (broadcast only if the count allows it)."""
+    s, small = materialize(stats, bounded)
+    return df.join(F.broadcast(s) if small else s, on, how)
 
 
 def lookup_nullsafe(df: DataFrame, stats: DataFrame, key: str, stats_key: str,
                     bounded: bool = False) -> DataFrame:
     """Left join where NULL matches NULL (missing is its own category, I5)."""
-    s = checked_broadcast(stats, bounded)
-    return df.join(s, df[key].eqNullSafe(s[stats_key]), "left").drop(s[stats_key])
-
-
-def one_row(stats: DataFrame) -> Column:
-    """Marker helper: stats with exactly one row are broadcast by construction."""
-    return F.broadcast(stats)
+    s, small = materialize(stats, bounded)
+    cond = F.col(key).eqNullSafe(F.col(stats_key))
+    return join_stats(df, s, cond, "left", small).drop(stats_key)

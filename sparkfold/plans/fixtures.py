@@ -153,7 +153,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, _cache: dict | None = None) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build a stand-in view lazily from the parquet tables."""
     if name in TABLES:
         return table(spark, sf_dir, name)
