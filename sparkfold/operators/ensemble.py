@@ -44,21 +44,19 @@ def soup(preds: DataFrame, weights: DataFrame, classes: DataFrame, key: str = "i
          eps: float = 1e-12) -> DataFrame:
     """Weighted class-probability soup.
 
-    sum_s w_s * P_s per (id, class), divided by the row sum + eps, then the
-    first class (in sort order) with the highest probability.  One shuffle on
-    (id, class) - partial sums are combined map-side - then an aggregate on id.
+    sum_s w_s * P_s per (id, class); the label is the first class (in sort
+    order) with the highest sum, and its probability is that sum over the row
+    sum + eps.  Dividing by the row sum does not change the argmax, so one
+    aggregate on id yields both: two shuffles ((id, class), then id), no join.
     """
     # class order: a window over the class list only (k rows)
     cls = classes.select(F.col(class_col), F.dense_rank().over(Window.orderBy(class_col)).alias("_ci"))
-    j = preds.join(F.broadcast(weights), source_col)
-    s = j.groupBy(key, class_col).agg(F.sum(F.col("weight") * F.col(value)).alias("_s"))
-    tot = s.groupBy(key).agg(F.sum("_s").alias("_t"))
-    s = s.join(tot, key).join(F.broadcast(cls), class_col)
-    s = s.withColumn("_p", F.col("_s") / (F.col("_t") + F.lit(eps)))
-    best = F.min(F.struct((-F.col("_p")).alias("k"), F.col("_ci").alias("ci"), F.col(class_col).alias("c"),
-                          F.col("_p").alias("p")))
-    return s.groupBy(key).agg(best.alias("_b")).select(
-        key, F.col("_b.c").alias("label"), F.col("_b.p").alias("proba"))
+    j = preds.join(F.broadcast(weights), source_col).join(F.broadcast(cls), class_col)
+    s = j.groupBy(key, class_col, "_ci").agg(F.sum(F.col("weight") * F.col(value)).alias("_s"))
+    best = F.min(F.struct((-F.col("_s")).alias("k"), F.col("_ci").alias("ci"), F.col(class_col).alias("c"),
+                          F.col("_s").alias("s")))
+    r = s.groupBy(key).agg(best.alias("_b"), F.sum("_s").alias("_t"))
+    return r.select(key, F.col("_b.c").alias("label"), (F.col("_b.s") / (F.col("_t") + F.lit(eps))).alias("proba"))
 
 
 def argmax_class(preds: DataFrame, key: str = "id", class_col: str = "class", value: str = "proba") -> DataFrame:
