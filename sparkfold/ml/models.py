@@ -228,6 +228,15 @@ def replicate_by_weight(df: DataFrame, label: str) -> DataFrame:
     return w.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_r")))).drop("_cw", "_m", "_r", "_copy")
 
 
+# --- random configuration draws (M13, randomised search) ----------------------------------------------------------
+def random_configs(space: dict[str, Sequence], n: int, seed: int = 42) -> list[dict]:
+    """``n`` seeded draws from a discrete search space (a bounded list of settings)."""
+    import random
+    rng = random.Random(seed)
+    keys = sorted(space)
+    return [{k: rng.choice(list(space[k])) for k in keys} for _ in range(n)]
+
+
 # --- feature importance selection (M6, K5, B14) -------------------------------------------------------------------------
 def top_features(model, names: Sequence[str], k: int = 120):
     """Indices of the k most important features (importance desc, index asc), capped at the

@@ -450,3 +450,9 @@ def knn_vote(spark, sf):
     s = split.split_stratified(emb, "label", "vec_id", 0.2, 42)
     train, test = s.where("is_test = 0"), s.where("is_test = 1")
     return neighbors.knn_vote(train, test, 7, "vec_id", "embedding", "label")
+
+
+@register("preview_head", WE + "SELECT id, status, n_orders FROM ee ORDER BY id LIMIT 5")
+def preview_head(spark, sf):
+    """``head()`` with an explicit order (K15): the limit is the feature."""
+    return entities(spark, sf).select("id", "status", "n_orders").orderBy("id").limit(5)

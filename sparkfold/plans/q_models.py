@@ -191,3 +191,27 @@ def ml_oof(spark, sf):
         "founder_id", "fold", 5, "logreg")
     return oof.select("founder_id", F.lit("oof").alias("part"), "fold", "proba").unionByName(
         tmean.select("founder_id", F.lit("test").alias("part"), F.lit(None).cast("int").alias("fold"), "proba"))
+
+
+@register("ml_random_search")
+def ml_random_search(spark, sf):
+    """Randomised MLP search: seeded draws of hidden layers and iterations, tuned-threshold F1
+    on the validation fold, first maximum wins (M13 with random draws)."""
+    _, train, _ = _train_test(spark, sf)
+    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
+    prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, scale=True)).fit(fit_rows)
+    n_in = len(prep.transform(fit_rows.limit(1)).first()["features"])  # vector width: one row
+    space = {"hidden": [(32,), (64,), (128, 64)], "max_iter": [20, 30]}
+    fit_prepped = prep.transform(M.replicate_by_weight(fit_rows, "y"))
+    val_prepped = prep.transform(valid)
+    runs = None
+    for seq, cfg in enumerate(M.random_configs(space, 3, seed=42)):
+        est = M.estimator("mlp", labelCol="y", layers=[n_in, *cfg["hidden"], 2], maxIter=cfg["max_iter"])
+        pred = est.fit(fit_prepped).transform(val_prepped).select("y", M.positive_proba().alias("proba"))
+        best = search.best_threshold(pred, "y", "proba").select(
+            F.lit(seq).alias("seq"), F.lit("-".join(map(str, cfg["hidden"]))).alias("hidden"),
+            F.lit(cfg["max_iter"]).alias("max_iter"), "threshold", "f1")
+        runs = best if runs is None else runs.unionByName(best)
+    winner = search.first_best(runs, "f1", "seq").select(F.col("seq").alias("_win"))
+    return runs.crossJoin(F.broadcast(winner)).select(
+        "seq", "hidden", "max_iter", "threshold", "f1", (F.col("seq") == F.col("_win")).cast("int").alias("is_best"))
