@@ -31,8 +31,15 @@ def materialize(stats: DataFrame, bounded: bool = False) -> tuple[DataFrame, boo
     """
     if bounded:
         return stats, True
+    n = getattr(stats, "_sparkfold_rows", None)  # counted already by the fit that made it
+    if n is not None:
+        return stats, n <= max_broadcast_rows(stats)
     cached = stats.cache()
     n = cached.count()
+    try:
+        cached._sparkfold_rows = n
+    except AttributeError:  # pragma: no cover - DataFrame without instance attributes
+        pass
     return cached, n <= max_broadcast_rows(stats)
 
 
