@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +72,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = held.checkpoint(eager=True)
     held.unpersist(blocking=False)
     return out
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sparkfold_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkfold-pkg-"), "sparkfold_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._sparkfold_shipped = True
