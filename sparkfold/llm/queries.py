@@ -40,3 +40,9 @@ def op5_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                       "offset", "sequence_tokens", "tier", "step_group")
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.hyperminhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
