@@ -46,3 +46,9 @@ def op5_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.hyperminhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query
+def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.decontaminate import find_passages
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
