@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -128,10 +129,11 @@ _MATCHERS: dict[tuple, Matcher] = {}
 
 def _matcher(items, rate: float) -> Matcher:
     """One matcher per worker and block."""
-    if (items.id, rate) not in _MATCHERS:
+    key, block = items.value
+    if (key, rate) not in _MATCHERS:
         _MATCHERS.clear()
-        _MATCHERS[items.id, rate] = Matcher(items.value, rate)
-    return _MATCHERS[items.id, rate]
+        _MATCHERS[key, rate] = Matcher(block, rate)
+    return _MATCHERS[key, rate]
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
@@ -155,7 +157,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, blo
     texts = docs.select(F.col("doc_id").cast("long"), "text").filter("text is not null")
     out = spark.createDataFrame([], "doc_id long, item_id long, distance long, start long, end long")
     for items in item_blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(items)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(shared, rate)
@@ -181,7 +183,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, blo
     spark = docs.sparkSession
     columns, at = docs.columns, docs.columns.index("text")
     for items in item_blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(items)
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(shared, rate)
