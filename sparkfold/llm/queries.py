@@ -52,3 +52,9 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.decontaminate import find_passages
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.toxicity import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
