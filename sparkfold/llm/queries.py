@@ -58,3 +58,9 @@ def op3_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.toxicity import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.pu_quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
