@@ -64,3 +64,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.pu_quality import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_language_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.langid import classify
+    return classify(table(spark, sf_dir, "documents"))
