@@ -70,3 +70,12 @@ def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkfold.llm.langid import classify
     return classify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.suffix_dedup import repeated_passages
+    out = repeated_passages(table(spark, sf_dir, "documents"))
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    return out.select("row.doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
