@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfold.llm import rules
 from sparkfold.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,21 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
     return out.select("row.doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.rules import judge
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op2_weak_supervision"] = rules.oracle_sql()
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.urls import judge
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
