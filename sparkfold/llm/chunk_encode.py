@@ -8,109 +8,98 @@ Where a space touches other white space, the text is only cut at the safe spaces
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from array import array
 
 import numpy as np
-import regex
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
 LONGEST_KEPT = 64
-#: Pieces of these characters only are cut further, by the split patterns that the vocabulary files state.
-#: (Elsewhere normal forms, case and classes could differ between libraries: such a piece is encoded as it is.)
-PLAIN = re.compile(r"[\t\n\r -~\u00a1-\u012f\u0131-\u024f]+")
-WORD_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-BYTE_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-#: Byte-level vocabularies write a byte that is no visible character as the character 256 and up.
-VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*VISIBLE}))}
+RUN = 64
+#: Stands alone between two pieces where the vocabulary drops white space; always one token.
+MARK = "\x01"
 
 
 class ChunkEncoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes.
 
     ``keeps_space``: the vocabulary puts the space in front of the next piece
-    (byte-level); otherwise white space is dropped.  At most ``max_pieces`` pieces
-    and ``max_parts`` of their parts are remembered; a full memory is emptied.
+    (byte-level); otherwise white space is dropped.  At most ``most`` pieces are
+    remembered; a full memory is emptied.
     """
 
-    def __init__(self, path: str, keeps_space: bool, max_pieces: int = 400_000, max_parts: int = 800_000):
+    def __init__(self, path: str, keeps_space: bool, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
-        # whole words of letters; and the tokens that can only be their first or last one
-        self.word = regex.compile(r" \p{L}+" if keeps_space else r"\p{L}+")
-        mark = (lambda t: t.startswith("\u0120")) if keeps_space else (lambda t: t.endswith("</w>"))
-        vocabulary = self.tokenizer.get_vocab()
-        self.is_edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.is_edge[[i for t, i in vocabulary.items() if mark(t)]] = True
-        self.max_pieces, self.max_parts = max_pieces, max_parts
+        self.most = most
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.odd: set[str] = set()
+        vocabulary = self.tokenizer.get_vocab()
+        # tokens that only the start of a piece (its space) or the mark gives
+        self.is_edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if keeps_space:
+            self.is_edge[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        else:
+            self.is_edge[self.tokenizer.encode(MARK, add_special_tokens=False).ids] = True
+        gc.set_threshold(200_000)  # strings and bytes form no cycles; the default walks a large memory over and over
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in out]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Parts that the split pattern finds again in a run of them: encoded together, told apart by the
-        tokens that only stand at a word's start (with its space) or end (with its end mark)."""
-        lead = "" if self.keeps_space else " "
-        runs = [words[i:i + 64] for i in range(0, len(words), 64)]
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast([lead.join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype="<u4")
-            edge = np.flatnonzero(self.is_edge[ids])
-            if len(edge) != len(run):
-                raise ValueError("the vocabulary does not mark words as expected")
-            cuts = [*edge.tolist(), len(ids)] if self.keeps_space else [0, *(edge + 1).tolist()]
-            data = ids.tobytes()
-            self.parts.update((w, data[4 * x:4 * y]) for w, x, y in zip(run, cuts, cuts[1:]))
-
     def _learn(self, memory: dict[str, bytes], pieces: set[str], lead: str) -> list[str]:
-        """Encode what is missing; returns the pieces too long to remember."""
+        """Encode what is missing; returns the pieces too long to remember.
+
+        Pieces that follow a space are encoded in runs, told apart by ``is_edge``.
+        """
         new = list(pieces - memory.keys())
-        plain, other = {}, []
-        for p in new:
-            if PLAIN.fullmatch(p) and "<|" not in p:
-                plain[p] = BYTE_SPLIT.findall(lead + p) if self.keeps_space else WORD_SPLIT.findall(p.lower())
+        alone = [p for p in new if memory is self.first or " " in p or MARK in p or "<|" in p or len(p) > LONGEST_KEPT or not p]
+        memory.update(zip(alone, self._ids([lead + p for p in alone])))
+        apart = set(alone)
+        joint = [p for p in new if p not in apart] if apart else new
+        runs = [joint[i:i + RUN] for i in range(0, len(joint), RUN)]
+        texts = [" " + " ".join(r) if self.keeps_space else f" {MARK} ".join(r) + f" {MARK}" for r in runs]
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            edges = (4 * np.flatnonzero(self.is_edge[ids])).tolist()
+            if len(edges) != len(run):
+                raise ValueError("the vocabulary does not split as expected")
+            data = ids.tobytes()
+            if self.keeps_space:
+                memory.update((p, data[x:y]) for p, x, y in zip(run, edges, [*edges[1:], len(data)]))
             else:
-                other.append(p)
-        parts = list(set().union(*plain.values()) - self.parts.keys())
-        self._learn_words([p for p in parts if self.word.fullmatch(p)])
-        tokenize = self.tokenizer.model.tokenize
-        for p in parts:
-            if p not in self.parts:
-                merged = tokenize(p.encode().decode("latin-1").translate(BYTE_CHARS))
-                self.parts[p] = array("I", [t.id for t in merged]).tobytes()
-        get = self.parts.__getitem__
-        memory.update((p, b"".join(map(get, own))) for p, own in plain.items())
-        memory.update(zip(other, self._ids([lead + p for p in other])))
-        for p in parts:
-            if len(p) > LONGEST_KEPT:
-                del self.parts[p]
-        return [p for p in new if len(p) > LONGEST_KEPT]
+                memory.update((p, data[x:y]) for p, x, y in zip(run, [0, *(x + 4 for x in edges)], edges))
+        return [p for p in alone if len(p) > LONGEST_KEPT]
+
+    def _cut(self, texts: list[str]) -> list[list[str]]:
+        """Each text's pieces; those with other white space beside a space are only cut where it is safe."""
+        cut = [t.split(" ") for t in texts]
+        if self.keeps_space:
+            new = set().union(*cut) - self.rest.keys()
+            self.odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
+            if self.odd:
+                cut = [c if self.odd.isdisjoint(c) else SAFE_SPACE.split(t) for c, t in zip(cut, texts)]
+        return cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for memory, most in ((self.first, self.max_pieces), (self.rest, self.max_pieces), (self.parts, self.max_parts)):
-            if len(memory) > most:
-                memory.clear()
+        if len(self.first) + len(self.rest) + len(self.odd) > self.most:
+            self.first.clear()
+            self.rest.clear()
+            self.odd.clear()
+        cut = self._cut(texts)
         if self.keeps_space:
-            cut = [t.split(" ") if not UNSAFE.search(t) else SAFE_SPACE.split(t) for t in texts]
-            long_first = self._learn(self.first, {c[0] for c in cut}, "")
-            heads = [c[0] for c in cut]
-            tails = [c[1:] for c in cut]
+            heads, tails = [c[0] for c in cut], [c[1:] for c in cut]
+            long_first = self._learn(self.first, set(heads), "")
             long_rest = self._learn(self.rest, set().union(*tails), " ")
             get, head = self.rest.__getitem__, self.first.__getitem__
             out = [head(h) + b"".join(map(get, t)) for h, t in zip(heads, tails)]
             for p in long_first:
                 del self.first[p]
         else:
-            cut = [t.split(" ") for t in texts]
             long_rest = self._learn(self.rest, set().union(*cut), "")
             get = self.rest.__getitem__
             out = [b"".join(map(get, c)) for c in cut]
