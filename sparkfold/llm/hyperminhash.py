@@ -5,11 +5,13 @@ smallest hash, the count of leading zeros and the next ten bits: 16 bits a regis
 An empty bucket borrows from others in an order that is the same for all documents.
 32 bands of 4 registers propose links: a pair of similarity 0.8 shares none of the
 bands with probability (1 - 0.8**4)**32, about 5e-8.  Documents with one set are a
-class and only its smallest doc_id goes on.  In each band bucket all members are
-first held against the bucket's smallest id; only members that this does not
-connect are held against the rest, so a group of copies costs links in proportion to its
-size.  A pair is verified on the full sets; the sketch estimate, corrected for the
-collisions of compressed registers, skips pairs that are far below the threshold.
+class and only its smallest doc_id goes on.  Each band bucket has a lead, the member
+whose buckets are largest (in a group of near copies, the one most like all others).
+A member is first held against its best lead; only members that this does not
+connect are held against the rest of their buckets, as pairs where those are few,
+else in blocks inside tasks that yield links and no pairs.  A pair is verified on
+the full sets; the sketch estimate, corrected for the collisions of compressed
+registers, skips pairs that are far below the threshold.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from sparkfold.llm.shingles import shingle_sets, slices
 
 BUCKET_BITS, MANTISSA_BITS = 7, 10
 BUCKETS, BANDS = 1 << BUCKET_BITS, 32
+CHUNK, FEW_PAIRS = 500, 256
 BAND_BYTES = 2 * BUCKETS // BANDS
 PROBES = np.stack([np.random.default_rng(7 + b).permutation(BUCKETS) for b in range(BUCKETS)])
 
@@ -131,6 +134,44 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(work, "a long, b long")
 
 
+def linked_in_blocks(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between a group's queries and all its members with another label, by full sets.
+
+    ``groups``: lead, rep, label, is_query, n (members of the lead).  Queries and
+    members are dealt into chunks of about ``CHUNK``; each task gets one chunk of
+    either, counts common shingles through an inverted list, and yields one link
+    for each query and label.
+    """
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    dealt = groups.join(texts, "rep").withColumns({"chunks": chunks, "own": F.pmod(F.xxhash64("rep"), chunks).cast("int")})
+    every = F.sequence(F.lit(0), F.col("chunks") - 1)
+    members = dealt.select("lead", F.col("own").alias("m"), F.explode(every).alias("q"), "rep", "label", "text")
+    fresh = [F.col(c).alias(c) for c in ("rep", "label", "text")]  # columns of their own: both sides come from one frame
+    queries = dealt.filter("is_query").select(F.col("lead").alias("lead"), F.explode(every).alias("m"), F.col("own").alias("q"), *fresh)
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            member_sets, query_sets = ([s for lo, hi in slices(t) for s in shingle_sets(t[lo:hi], width)]
+                                       for t in (x.column("text").cast(pa.binary()).to_pylist() for x in (left, right)))
+            size = np.array([len(s) for s in member_sets])
+            values, owner = np.concatenate(member_sets), np.repeat(np.arange(len(size)), size)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            reps, labels = left.column("rep").to_numpy(), left.column("label").to_numpy()
+            for s, rep, label in zip(query_sets, right.column("rep").to_pylist(), right.column("label").to_pylist()):
+                lo, hi = np.searchsorted(values, s), np.searchsorted(values, s, side="right")
+                n = hi - lo
+                places = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                common = np.bincount(owner[places], minlength=len(size))
+                hit = np.flatnonzero((common > 0) & (100 * common >= percent * (size + len(s) - common)) & (labels != label))
+                _, one = np.unique(labels[hit], return_index=True)
+                found += [(rep, r) for r in reps[hit[one]].tolist()]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return members.groupBy("lead", "m", "q").cogroup(queries.groupBy("lead", "m", "q")).applyInArrow(work, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each linked node reaches.
 
@@ -166,28 +207,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                            .select(F.col("doc_id").alias("rep"), "fingerprint", "n_shingles", "registers"), "nodes")
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("registers", b * BAND_BYTES + 1, BAND_BYTES)) for b in range(BANDS)])
     bands = nodes.select("rep", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).filter("lead < last").drop("last")
-    members = scratch.stored(bands.join(shared, "key"), "members")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = scratch.stored(bands.join(sizes, "key"), "shared")
+    scores = shared.groupBy("rep").agg(F.sum("size").alias("score"))
+    scored = scratch.stored(shared.select("key", "rep").join(scores, "rep"), "scored")
+    best = F.max(F.struct("score", (-F.col("rep")).alias("rep")))
+    leads = scored.groupBy("key").agg(best.alias("top")).select("key", F.col("top.score").alias("top"), (-F.col("top.rep")).alias("lead"))
+    members = scratch.stored(scored.select("key", "rep").join(leads, "key"), "members")
     scratch.release(spark)
     texts = scratch.stored(docs.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                            .select(F.col("doc_id").alias("rep"), "text").filter("text is not null"), "texts")
     scratch.release(spark)
 
-    stars = members.filter("rep > lead").groupBy(F.col("rep").alias("a")).agg(F.min("lead").alias("b"))
+    # each against its best lead
+    stars = (members.filter("rep != lead").groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("top", (-F.col("lead")).alias("lead"))).alias("best"))
+             .select("a", (-F.col("best.lead")).alias("b")))
     links = scratch.stored(verified(stars, texts, width, percent), "links")
     labels = components(links)
-    labelled = (members.join(labels, members.rep == labels.node, "left")
-                .select("key", "rep", "lead", F.coalesce("label", "rep").alias("label")))
+    # buckets whose members are not all connected: who is not connected with the lead is held against all others
+    labelled = scratch.stored(members.join(labels, members.rep == labels.node, "left")
+                              .select("key", "rep", "lead", F.coalesce("label", "rep").alias("label")), "labelled")
     split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    open_ = scratch.stored(labelled.join(split, "key"), "open")
-    main = open_.filter("rep = lead").select("key", F.col("label").alias("main")).distinct()
-    open_ = open_.join(main, "key").select("key", "rep", "label", (F.col("label") == F.col("main")).alias("is_main"))
-    left, right = open_.filter("not is_main").alias("x"), open_.alias("y")
-    pairs = (left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
-                       & (F.col("y.is_main") | (F.col("x.rep") < F.col("y.rep"))))
+    main = labelled.filter("rep = lead").select("key", F.col("label").alias("main")).distinct().join(split, "key")
+    open_ = labelled.join(main, "key").groupBy("lead", "rep").agg(F.max(F.col("label") != F.col("main")).alias("is_query"), F.min("label").alias("label"))
+    open_ = scratch.stored(open_, "open")
+    counts = open_.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("queries"))
+    open_ = scratch.stored(open_.join(counts, "lead"), "open")
+    few = open_.filter(F.col("n") * F.col("queries") <= FEW_PAIRS)
+    left, right = few.filter("is_query").alias("x"), few.alias("y")
+    pairs = (left.join(right, (F.col("x.lead") == F.col("y.lead")) & (F.col("x.label") != F.col("y.label"))
+                       & (~F.col("y.is_query") | (F.col("x.rep") < F.col("y.rep"))))
              .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-    more = scratch.stored(verified(likely(pairs, nodes.dropDuplicates(["rep"]), percent), texts, width, percent), "links")
-    labels = components(links.union(more))
+    by_pair = scratch.stored(verified(likely(pairs, nodes.dropDuplicates(["rep"]), percent), texts, width, percent), "links")
+    by_block = scratch.stored(linked_in_blocks(open_.filter(F.col("n") * F.col("queries") > FEW_PAIRS), texts, width, percent), "links")
+    labels = components(links.union(by_pair).union(by_block))
 
     ids = nodes.join(labels, nodes.rep == labels.node, "left").select("fingerprint", F.coalesce("label", "rep").alias("component"))
     return (own.select("doc_id", "n_shingles", "fingerprint").join(ids, "fingerprint", "left")
