@@ -70,7 +70,7 @@ def threshold_label(p: str | Column, t: float | Column, pos: str = "1", neg: str
 
 def threshold_tag(t: Column, digits: int = 4) -> Column:
     """Threshold formatted for a file tag, '.' -> 'p' (D20)."""
-    return F.replace(F.format_number(t, digits).cast("string"), F.lit("."), F.lit("p"))
+    return F.replace(F.format_string(f"%.{digits}f", t.cast("double")), F.lit("."), F.lit("p"))
 
 
 def grid(start_int: int, stop_int: int, denom: float) -> Column:

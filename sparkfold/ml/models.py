@@ -72,6 +72,12 @@ def estimator(name: str, **kw):
     return est
 
 
+def max_bins(df: DataFrame, cat_cols: Sequence[str], least: int = 32) -> int:
+    """Bins that hold the largest category count (M9): trees need one for each index, unseen included."""
+    counts = df.agg(*[F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in cat_cols]).first()
+    return max([least, *(n + 2 for n in counts)])
+
+
 def positive_proba(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 
@@ -170,26 +176,27 @@ def svc_calibrated(train: DataFrame, test: DataFrame, stages: list, label: str,
 def fourier_features(df: DataFrame, in_col: str, dim: int, n_components: int = 64, gamma: float = 0.1,
                      seed: int = 42, out: str = "rff") -> DataFrame:
     """z(x) = sqrt(2/D) cos(Wx + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi): an RBF kernel map
-    as plain column arithmetic (fixed random matrix, shipped in the plan)."""
+    (fixed random matrix), one matrix product per Arrow batch."""
     import numpy as np
+    import pandas as pd
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, dim))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    x = vector_to_array(F.col(in_col))
     scale = math.sqrt(2.0 / n_components)
-    comps = []
-    for j in range(n_components):
-        acc = F.lit(float(b[j]))
-        for i in range(dim):
-            acc = acc + x[i] * F.lit(float(W[j, i]))
-        comps.append(F.cos(acc) * F.lit(scale))
-    return df.withColumn(out, array_to_vector(F.array(*comps)))
+
+    def project(x: pd.Series) -> pd.Series:
+        z = scale * np.cos(np.stack(x.to_numpy()) @ W.T + b)
+        return pd.Series(list(z))
+
+    udf = F.pandas_udf(project, "array<double>")
+    return df.withColumn(out, array_to_vector(udf(vector_to_array(F.col(in_col)))))
 
 
 # --- AdaBoost with weighted stumps (M10) ------------------------------------------------------------------------------
-def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds: int = 10,
+def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds: int = 50,
              features: str = FEATURES, checkpoint_every: int = 3) -> DataFrame:
-    """SAMME (two classes): depth-1 trees on re-weighted rows; score = sum alpha_t * (+1/-1).
+    """SAMME (two classes): depth-1 trees on re-weighted rows; score = sum alpha_t * (+1/-1);
+    proba is the logistic of twice the score over the sum of alphas.
 
     Row weights live in a column; the lineage is cut every few rounds so a lost
     executor recomputes at most a few rounds.  Returns (id, score, proba) on test.
@@ -210,21 +217,27 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
         cur = cur.withColumn("_w", F.col("_w") / F.lit(total))
         if (t + 1) % checkpoint_every == 0:
             cur = cut_lineage(cur)
-    score = None
-    out = test.select(id_col, features)
+    # all stumps score in one chain of projections, each with columns of its own
+    out, score = test.select(id_col, features), F.lit(0.0)
     for i, (stump, alpha) in enumerate(learners):
-        p = stump.transform(out).select(id_col, (F.lit(alpha) * (F.col("prediction") * 2 - 1)).alias(f"_s{i}"))
-        out = out.join(p, id_col)
-        score = F.col(f"_s{i}") if score is None else score + F.col(f"_s{i}")
-    return out.select(id_col, score.alias("score"), (1 / (1 + F.exp(-2 * score))).alias("proba"))
+        own = stump.copy().setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}")
+        out = own.transform(out).drop(f"_r{i}", f"_q{i}")
+        score = score + F.lit(alpha) * (F.col(f"_p{i}") * 2 - 1)
+    mean = score / F.lit(sum(alpha for _, alpha in learners))
+    return out.select(id_col, score.alias("score"), (1 / (1 + F.exp(-2 * mean))).alias("proba"))
 
 
 # --- MLP with weighted resampling (M11) -------------------------------------------------------------------------------
 def replicate_by_weight(df: DataFrame, label: str) -> DataFrame:
-    """MLP has no weightCol: replicate each row round(w_class / min w) times (deterministic)."""
+    """MLP has no weightCol: replicate each row w_class / min w times.  The whole part goes to every row,
+    the remainder to that share of the rows, picked by a hash of the row."""
     w = add_class_weight(df, label, "_cw")
     mn = w.agg(F.min("_cw").alias("_m"))
-    w = w.crossJoin(F.broadcast(mn)).withColumn("_r", F.greatest(F.lit(1), F.round(F.col("_cw") / F.col("_m")).cast("int")))
+    ratio = F.col("_cw") / F.col("_m")
+    parts = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float", "string", "boolean", "date", "timestamp")]
+    share = F.pmod(F.xxhash64(*parts), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    extra = (share < ratio - F.floor(ratio + 1e-9)).cast("int")
+    w = w.crossJoin(F.broadcast(mn)).withColumn("_r", F.floor(ratio + 1e-9).cast("int") + extra)
     return w.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_r")))).drop("_cw", "_m", "_r", "_copy")
 
 

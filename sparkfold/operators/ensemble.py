@@ -32,11 +32,33 @@ def blend_columns(df: DataFrame, weights: Mapping[str, float], out: str = "proba
     return df.withColumn(out, expr)
 
 
+def check_sources(preds: DataFrame, weights: DataFrame, source_col: str) -> None:
+    """Every source has exactly one weight and every weight a source; models and files are few, so both
+    lists are compared on the driver (N8)."""
+    have = {r[0] for r in preds.select(source_col).distinct().collect()}
+    named = [r[0] for r in weights.select(source_col).collect()]
+    if len(named) != len(set(named)):
+        raise ValueError(f"a {source_col} has several weights")
+    if have != set(named):
+        raise ValueError(f"{source_col}s without a weight: {sorted(map(str, have - set(named)))}; "
+                         f"weights without predictions: {sorted(map(str, set(named) - have))}")
+
+
+def once(value: Column, rows: Column, what: str) -> Column:
+    """``value``, but an error where ``rows`` says that a key came more than once."""
+    return F.when(rows > 1, F.raise_error(F.lit(f"{what} comes more than once")).cast("double")).otherwise(value)
+
+
 def blend_long(preds: DataFrame, weights: DataFrame, key: str = "id", model_col: str = "model",
                value: str = "proba", out: str = "proba") -> DataFrame:
-    """sum(w * p) per key with a (model, weight) table (N4, N10).  Models are few: broadcast."""
+    """sum(w * p) per key with a (model, weight) table (N4, N10).  Models are few: broadcast.
+
+    A model without a weight, a weight without a model or a repeated (key, model) is an error.
+    """
+    check_sources(preds, weights, model_col)
     j = preds.join(F.broadcast(weights), model_col)
-    return j.groupBy(key).agg(F.sum(F.col("weight") * F.col(value)).alias(out))
+    rows = F.count(F.lit(1)) - F.size(F.collect_set(model_col)) + 1
+    return j.groupBy(key).agg(once(F.sum(F.col("weight") * F.col(value)), rows, f"a ({key}, {model_col})").alias(out))
 
 
 def soup(preds: DataFrame, weights: DataFrame, classes: DataFrame, key: str = "id",
@@ -46,13 +68,16 @@ def soup(preds: DataFrame, weights: DataFrame, classes: DataFrame, key: str = "i
 
     sum_s w_s * P_s per (id, class); the label is the first class (in sort
     order) with the highest sum, and its probability is that sum over the row
-    sum + eps.  Dividing by the row sum does not change the argmax, so one
+    sum + eps.  Every source needs exactly one weight, and an id and class one row per
+    source; anything else is an error.  Dividing by the row sum does not change the argmax, so one
     aggregate on id yields both: two shuffles ((id, class), then id), no join.
     """
+    check_sources(preds, weights, source_col)
     # class order: a window over the class list only (k rows)
     cls = classes.select(F.col(class_col), F.dense_rank().over(Window.orderBy(class_col)).alias("_ci"))
     j = preds.join(F.broadcast(weights), source_col).join(F.broadcast(cls), class_col)
-    s = j.groupBy(key, class_col, "_ci").agg(F.sum(F.col("weight") * F.col(value)).alias("_s"))
+    rows = F.count(F.lit(1)) - F.size(F.collect_set(source_col)) + 1
+    s = j.groupBy(key, class_col, "_ci").agg(once(F.sum(F.col("weight") * F.col(value)), rows, f"a ({key}, {class_col}, {source_col})").alias("_s"))
     best = F.min(F.struct((-F.col("_s")).alias("k"), F.col("_ci").alias("ci"), F.col(class_col).alias("c"),
                           F.col("_s").alias("s")))
     r = s.groupBy(key).agg(best.alias("_b"), F.sum("_s").alias("_t"))
@@ -71,11 +96,15 @@ def classes_array(classes: Sequence[str]) -> Column:
 
 def align_to_ids(ids: DataFrame, preds: DataFrame, classes: Sequence[str], key: str = "id",
                  class_col: str = "class", value: str = "proba") -> DataFrame:
-    """Reindex class probabilities onto the target ids; missing rows -> 1/k."""
+    """Reindex class probabilities onto the target ids; missing rows -> 1/k (I2).  A repeated id or a
+    repeated (id, class) is an error."""
     k = len(classes)
-    grid = ids.select(key).select(key, F.explode(classes_array(classes)).alias(class_col))
-    j = grid.join(preds.select(key, class_col, value), [key, class_col], "left")
-    return j.select(key, class_col, F.coalesce(F.col(value), F.lit(1.0 / k)).alias(value))
+    wanted = ids.groupBy(key).agg(F.count(F.lit(1)).alias("_ids"))
+    grid = wanted.select(key, "_ids", F.explode(classes_array(classes)).alias(class_col))
+    single = preds.groupBy(key, class_col).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("_rows"))
+    j = grid.join(single, [key, class_col], "left")
+    rows = F.greatest(F.coalesce("_rows", F.lit(1)), F.col("_ids"))
+    return j.select(key, class_col, once(F.coalesce(F.col(value), F.lit(1.0 / k)), rows, f"a {key}").alias(value))
 
 
 def label_to_onehot(labels: DataFrame, classes: Sequence[str], key: str = "id", label_col: str = "label",

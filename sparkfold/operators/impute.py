@@ -105,9 +105,19 @@ def fit_mode_pooled(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFra
 
 
 def fit_mode_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fold", k: int = 5) -> DataFrame:
+    """Mode of each fold's training part, ties to the smallest: text by text, numbers by number."""
     cols = _present(df, cols)
-    comp = _complement(_hist(df, cols, keep=[fold_col], as_text=True), fold_col, k)
-    return fitted(mode_of(comp, VAL, [fold_col, COL], out_col=VAL))
+    text = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    parts = []
+    for own, as_text in ((text, True), ([c for c in cols if c not in text], False)):
+        if own:
+            comp = _complement(_hist(df, own, keep=[fold_col], as_text=as_text), fold_col, k)
+            mode = mode_of(comp, VAL, [fold_col, COL], out_col=VAL)
+            parts.append(mode.withColumn(VAL, F.col(VAL).cast("string")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return fitted(out)
 
 
 # --- apply -------------------------------------------------------------------------

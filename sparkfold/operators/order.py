@@ -3,176 +3,66 @@
 ``Window.orderBy`` without a partition key (or partitioned by a two-valued
 class label) sends all rows to one task.  Everything here that needs a global
 position - exact quantiles, percentile ranks, dense codes, stratified folds -
-goes through :func:`positions`, which
-
-1. maps the sort key to a monotone numeric *prefix*,
-2. cuts the prefix range into ``n_buckets`` ranges (approximate quantiles of
-   the distinct prefixes, or equal ranges for hash keys that are uniform); the
-   bounds (at most groups x 1023 numbers) are compiled into a balanced tree of
-   literal comparisons, so a row finds its bucket in log2(n_buckets) steps,
-3. runs the window partitioned by ``(group, bucket)`` - many parallel tasks,
-4. adds the exact count of everything in earlier buckets from a small
-   ``(group, bucket)`` totals table.
-
-The result is exact: buckets only decide *where* rows are sorted, never the
-order.  Inputs proven small (``limit(N + 1).count() <= N`` with N =
-``sparkfold.window.maxRowsPerTask``, default 1,000,000 rows) skip the
-bucketing and use one window per group - the same "only behind a checked
-bound" rule as broadcasting.  Skew: value histograms are built first (``value_counts``), so a value
-held by a third of all rows is one row here, not a third of the data.
+goes through :func:`positions`, one path for every input size:
+
+1. rows are range partitioned on (group, order keys), so many tasks hold the
+   sort, whatever the key's type, and a NULL is a key like any other,
+2. the partitioned rows are stored once, with the number of their partition,
+3. a window over (group, partition) gives the weight before a row within its part,
+4. a small (group, partition) totals table gives the weight of the parts before,
+   matched with null-safe conditions.
+
+The plan does not depend on the number of partitions, groups or rows.  Skew: value
+histograms are built first (``value_counts``), so a value held by a third of all
+rows is one row here, not a third of the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BUCKET_COL = "_bkt"
+from sparkfold.session import cut_lineage
+
+PART_COL = "_part"
 BEFORE_COL = "_before"
 TOTAL_COL = "_n"
 WEIGHT_COL = "_w"
 
 
-DEFAULT_MAX_ROWS_PER_TASK = 1_000_000
-
-
-def max_rows_per_task(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("sparkfold.window.maxRowsPerTask", str(DEFAULT_MAX_ROWS_PER_TASK)))
-
-
-def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(4, min(n, 4096))
-
-
-def order_prefix(col: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases when ``col`` increases."""
-    if isinstance(dtype, T.StringType):
-        # first 7 UTF-8 bytes, big-endian; binary string order is byte order
-        hx = F.rpad(F.substring(F.hex(col), 1, 14), 14, "0")
-        return F.conv(hx, 16, 10).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return col.cast("int").cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    return col.cast("double")
-
-
 def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-              weight_col: str | None = None, n_buckets: int | None = None,
-              uniform_range: tuple[float, float] | None = None,
-              prefix: Column | None = None, accuracy: int = 10000) -> DataFrame:
+              weight_col: str | None = None, n_parts: int | None = None) -> DataFrame:
     """Add ``_before`` (weight of rows strictly earlier in the group) and ``_n``
-    (group weight).  Rows must be distinct on ``group_cols + order_cols``.
+    (group weight).  Rows must be distinct on ``group_cols + order_cols``; NULL
+    groups and keys count as values, NULL keys first.
 
-    ``uniform_range=(lo, hi)`` declares the first key's prefix uniform on
-    [lo, hi) (hash keys): buckets are then equal ranges, O(1) per row.
-    ``prefix`` overrides the monotone numeric prefix of the first key.
+    ``n_parts``: number of range partitions (default ``spark.sql.shuffle.partitions``).
     """
-    group_cols = list(group_cols)
-    order_cols = list(order_cols)
+    groups, keys = list(group_cols), [*group_cols, *order_cols]
     w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
-    limit = max_rows_per_task(df)
-    if n_buckets is None and df.limit(limit + 1).count() <= limit:
-        # proven small (<= limit rows in total): one exact window per group, no bucketing
-        return _positions_small(df.withColumn(WEIGHT_COL, w), order_cols, group_cols)
-    nb = n_buckets or default_buckets(df)
-    first = order_cols[0]
     base = df.withColumn(WEIGHT_COL, w)
-    if prefix is None and isinstance(df.schema[first].dataType, T.StringType):
-        base, prefix = _string_prefix(base, first, group_cols)
-    elif prefix is None:
-        prefix = order_prefix(F.col(first), df.schema[first].dataType)
-
-    if uniform_range is not None:
-        lo, hi = uniform_range
-        span = float(hi - lo)
-        bucket = F.least(F.floor((prefix - F.lit(lo)) / F.lit(span) * nb), F.lit(nb - 1))
-        keyed = base.withColumn(BUCKET_COL, F.coalesce(bucket, F.lit(-1)).cast("int"))
-    else:
-        nb = min(nb, MAX_TREE_BUCKETS)
-        probs = [i / nb for i in range(1, nb)]
-        bounds = base.select(*group_cols, prefix.alias("_p")).groupBy(*group_cols).agg(
-            F.percentile_approx("_p", probs, accuracy).alias("_bounds")).collect()  # one row per group
-        p = prefix
-        bucket = None
-        for r in bounds:
-            tree = _bucket_tree(p, [float(b) for b in (r["_bounds"] or [])])
-            if not group_cols:
-                bucket = tree
-                break
-            cond = None
-            for g in group_cols:
-                c = F.col(g).eqNullSafe(F.lit(r[g]))
-                cond = c if cond is None else cond & c
-            bucket = F.when(cond, tree) if bucket is None else bucket.when(cond, tree)
-        if bucket is None:
-            bucket = F.lit(0)
-        keyed = base.withColumn(BUCKET_COL, F.when(p.isNull(), F.lit(-1)).otherwise(bucket).cast("int"))
-
-    # exact totals per (group, bucket): at most groups x n_buckets rows
-    totals = keyed.groupBy(*group_cols, BUCKET_COL).agg(F.sum(WEIGHT_COL).alias("_bw"))
-    gw = Window.partitionBy(*group_cols).orderBy(BUCKET_COL) if group_cols \
-        else Window.orderBy(BUCKET_COL)
-    gall = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+    ranged = base.repartitionByRange(n_parts, *keys) if n_parts else base.repartitionByRange(*keys)
+    # stored: both uses below must see the same range bounds
+    held = cut_lineage(ranged.withColumn(PART_COL, F.spark_partition_id()))
+
+    totals = held.groupBy(*groups, PART_COL).agg(F.sum(WEIGHT_COL).alias("_bw"))
+    whole = Window.partitionBy(*groups)  # groups x partitions rows
     totals = totals.select(
-        *group_cols, BUCKET_COL,
-        (F.sum("_bw").over(gw.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(PART_COL).alias("_gp"),
+        (F.sum("_bw").over(whole.orderBy(PART_COL).rowsBetween(Window.unboundedPreceding, Window.currentRow))
          - F.col("_bw")).alias("_off"),
-        F.sum("_bw").over(gall).alias(TOTAL_COL))
-
-    ww = (Window.partitionBy(*group_cols, BUCKET_COL).orderBy(*order_cols)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = keyed.withColumn("_in", F.sum(WEIGHT_COL).over(ww) - F.col(WEIGHT_COL))
-    out = ranked.join(F.broadcast(totals), [*group_cols, BUCKET_COL], "inner")
-    return (out.withColumn(BEFORE_COL, F.col("_off") + F.col("_in"))
-            .drop("_off", "_in", BUCKET_COL, "_lcp"))
-
-
-def _string_prefix(base: DataFrame, col: str, group_cols: list[str]) -> tuple[DataFrame, Column]:
-    """Monotone numeric prefix of a string key that skips the bytes every key of the
-    group shares (the common prefix of the group's min and max), so keys such as
-    'Customer#000000001' or URLs still spread over the buckets."""
-    spark = base.sparkSession
-    mm = base.groupBy(*group_cols).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx")).collect()  # per group
-    rows = []
-    for r in mm:
-        a, b = (r["_mn"] or "").encode("utf-8"), (r["_mx"] or "").encode("utf-8")
-        n = 0
-        while n < min(len(a), len(b)) and a[n] == b[n]:
-            n += 1
-        rows.append((*[r[g] for g in group_cols], n))
-    schema = T.StructType([base.schema[g] for g in group_cols] + [T.StructField("_lcp", T.IntegerType())])
-    lcp = F.broadcast(spark.createDataFrame(rows, schema))  # one row per group
-    keyed = base.join(lcp, group_cols, "left") if group_cols else base.crossJoin(lcp)
-    hx = F.hex(F.col(col)).substr(F.col("_lcp") * 2 + 1, F.lit(14))
-    return keyed, F.conv(F.rpad(hx, 14, "0"), 16, 10).cast("double")
-
-
-MAX_TREE_BUCKETS = 1024
-
-
-def _bucket_tree(p: Column, bounds: list[float]) -> Column:
-    """Number of ``bounds`` (sorted) below ``p`` as a balanced tree of literal comparisons:
-    depth log2(len(bounds)), no per-row array, plain codegen expressions."""
-    def build(lo: int, hi: int) -> Column:  # the answer is known to lie in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2           # answer >= mid  <=>  bounds[mid - 1] < p
-        return F.when(p > F.lit(bounds[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-    return build(0, len(bounds))
-
-
-def _positions_small(base: DataFrame, order_cols: list[str], group_cols: list[str]) -> DataFrame:
-    """Exact positions with one window per group; only used below the rows-per-task bound."""
-    ww = Window.partitionBy(*group_cols).orderBy(*order_cols) if group_cols else Window.orderBy(*order_cols)
-    run = ww.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
-    return base.withColumns({BEFORE_COL: F.sum(WEIGHT_COL).over(run) - F.col(WEIGHT_COL),
-                             TOTAL_COL: F.sum(WEIGHT_COL).over(whole)})
+        F.sum("_bw").over(whole).alias(TOTAL_COL))
+
+    run = (Window.partitionBy(*groups, PART_COL).orderBy(*order_cols)
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = held.withColumn("_in", F.sum(WEIGHT_COL).over(run) - F.col(WEIGHT_COL))
+    same = F.col(PART_COL) == F.col("_gp")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return (ranked.join(totals, same).withColumn(BEFORE_COL, F.col("_off") + F.col("_in"))
+            .drop("_off", "_in", PART_COL, "_gp", *[f"_g{i}" for i in range(len(groups))]))
 
 
 def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -190,13 +80,13 @@ def long_values(df: DataFrame, cols: Sequence[str], name_col: str = "column",
 
 def exact_quantiles(hist: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), count_col: str = "_cnt",
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_parts: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas 'linear') from a value histogram.
 
     ``hist`` holds distinct (group..., value, count).  Returns one row per
     group with columns ``q0, q1, ...`` (doubles) and ``_n``.
     """
-    pos = positions(hist, [value_col], group_cols, weight_col=count_col, n_buckets=n_buckets)
+    pos = positions(hist, [value_col], group_cols, weight_col=count_col, n_parts=n_parts)
     aggs = [F.first(TOTAL_COL).alias(TOTAL_COL)]
     for i, p in enumerate(probs):
         h = (F.col(TOTAL_COL) - 1) * F.lit(float(p))
@@ -216,9 +106,9 @@ def exact_quantiles(hist: DataFrame, value_col: str, probs: Sequence[float],
 
 def dense_index(distinct_df: DataFrame, order_cols: Sequence[str],
                 group_cols: Sequence[str] = (), out_col: str = "index",
-                n_buckets: int | None = None) -> DataFrame:
+                n_parts: int | None = None) -> DataFrame:
     """0-based position of each distinct row in ``order_cols`` order within its group."""
-    pos = positions(distinct_df, order_cols, group_cols, n_buckets=n_buckets)
+    pos = positions(distinct_df, order_cols, group_cols, n_parts=n_parts)
     return pos.withColumn(out_col, F.col(BEFORE_COL).cast("long")).drop(
         BEFORE_COL, TOTAL_COL, WEIGHT_COL)
 

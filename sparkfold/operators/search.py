@@ -117,11 +117,12 @@ def best_threshold(df: DataFrame, y: str, p: str, grid=None, group_cols: Sequenc
 
 
 def f1_at(df: DataFrame, y: str, p: str, thresholds: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
-    """F1 and accuracy at a few fixed thresholds, one aggregate."""
+    """F1 and accuracy at a few fixed thresholds, one aggregate (K11).  A NULL score is predicted 0,
+    as in :func:`threshold_curve`."""
     aggs = []
     yy, pp = F.col(y), F.col(p)
     for k, t in enumerate(thresholds):
-        pred = pp >= F.lit(float(t))
+        pred = F.coalesce(pp >= F.lit(float(t)), F.lit(False))
         aggs += [F.sum(F.when(pred & (yy == 1), 1).otherwise(0)).alias(f"tp{k}"),
                  F.sum(F.when(pred & (yy == 0), 1).otherwise(0)).alias(f"fp{k}"),
                  F.sum(F.when(~pred & (yy == 1), 1).otherwise(0)).alias(f"fn{k}"),

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from sparkfold.operators.order import BEFORE_COL, TOTAL_COL, WEIGHT_COL, positions
 
 HASH_COL = "_h"
-_HEX12 = float(16 ** 12)
 
 
 def hash_key(key: str, seed: int) -> Column:
@@ -26,8 +25,7 @@ def class_positions(df: DataFrame, label_col: str | None, key_col: str, seed: in
     """Add ``_before`` (position in the class hash order) and ``_n`` (class size)."""
     groups = [label_col] if label_col else []
     h = df.withColumn(HASH_COL, hash_key(key_col, seed))
-    prefix = F.conv(F.substring(F.col(HASH_COL), 1, 12), 16, 10).cast("double")
-    pos = positions(h, [HASH_COL, key_col], groups, uniform_range=(0.0, _HEX12), prefix=prefix)
+    pos = positions(h, [HASH_COL, key_col], groups)
     return pos.drop(HASH_COL, WEIGHT_COL)
 
 

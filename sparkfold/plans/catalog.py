@@ -48,6 +48,15 @@ def finish(df: DataFrame) -> DataFrame:
 # Shared frames.  TEST = fold 0, HOLDOUT = fold 1, MAIN = folds 2-4 where a
 # three-way split is needed; TRAIN = fold != 0 elsewhere.
 # ---------------------------------------------------------------------------
+def founder_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """founder_base + y without folds: nothing is sorted or stored, so scans read only the used columns."""
+    return fx.view(spark, sf, "founder_base").withColumn("y", (F.col("retention_status") == "Stayed").cast("int"))
+
+
+def entity_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.view(spark, sf, "entity_base").withColumn("y", (F.col("status") == "Stayed").cast("int"))
+
+
 def founders(spark: SparkSession, sf: str) -> DataFrame:
     """founder_base + stratified fold + y (Stayed = 1)."""
     fb = fx.view(spark, sf, "founder_base")

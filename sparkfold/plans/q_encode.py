@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.operators import encode, scale, split
 from sparkfold.plans import fixtures as fx
-from sparkfold.plans.catalog import FF, WF, W, founders, register
+from sparkfold.plans.catalog import FF, WF, W, founders, register, founder_rows
 from sparkfold.plans.flagship import TE_COLS, flagship
 
 CATS = ["founder_role", "team_size_category", "startup_stage"]
@@ -60,7 +60,7 @@ def _label_codes_sql(col: str, src: str = "ff", where: str = "WHERE fold != 0")
           "SELECT founder_id, " + ", ".join(f"coalesce(lc_{c}.code, (SELECT max(n) FROM lc_{c})) {c}" for c in CATS) +
           " FROM ff " + " ".join(f"LEFT JOIN lc_{c} ON ff.{c} = lc_{c}.v" for c in CATS))
 def encode_label(spark, sf):
-    df = founders(spark, sf).select("founder_id", *CATS)
+    df = founder_rows(spark, sf).select("founder_id", *CATS)
     return encode.apply_label(df, encode.fit_label(df, CATS), CATS)
 
 
@@ -116,7 +116,7 @@ def encode_label_per_fold(spark, sf):
 SELECT founder_id, c.code y_code, d.v decoded FROM ff JOIN cls c ON ff.retention_status = c.v
 JOIN cls d ON d.code = c.code""")
 def encode_target_roundtrip(spark, sf):
-    ff = founders(spark, sf).select("founder_id", "retention_status")
+    ff = founder_rows(spark, sf).select("founder_id", "retention_status")
     enc, classes = encode.label_roundtrip(ff, "retention_status", "y_code")
     dec = encode.decode_label(enc, classes, "y_code", "decoded")
     return dec.select("founder_id", "y_code", "decoded")
@@ -127,7 +127,7 @@ def encode_target_roundtrip(spark, sf):
   FROM ff WHERE team_size_category IS NOT NULL GROUP BY team_size_category)
 SELECT founder_id, coalesce(code, -1) team_size_code FROM ff LEFT JOIN codes ON team_size_category = v""")
 def encode_factorize(spark, sf):
-    df = founders(spark, sf).select("founder_id", "team_size_category")
+    df = founder_rows(spark, sf).select("founder_id", "team_size_category")
     codes = encode.fit_factorize(df, "team_size_category", "founder_id")
     return encode.apply_factorize(df, codes, "team_size_category", "team_size_code").drop("team_size_category")
 
@@ -193,7 +193,7 @@ def encode_freq_pooled(spark, sf):
         f"round(coalesce(fq_{c}.f, 0.0), 6) {c}_freq" for c in CATS) + " FROM ff " + " ".join(
     f"LEFT JOIN fq_{c} ON ff.{c} = fq_{c}.v" for c in CATS))
 def feat_freq_matrix(spark, sf):
-    df = founders(spark, sf).select("founder_id", "founder_age", "years_since_founding", *CATS)
+    df = founder_rows(spark, sf).select("founder_id", "founder_age", "years_since_founding", *CATS)
     stats = encode.fit_freq(df, CATS, missing="exclude")
     return encode.apply_freq(df, stats, CATS, drop_original=True)  # B13, F11
 
@@ -345,7 +345,7 @@ def _rank_sql(c: str) -> str:
 
 @register("rank_pct", WF + "SELECT founder_id, " + ", ".join(_rank_sql(c) for c in RK) + " FROM ff")
 def rank_pct(spark, sf):
-    df = founders(spark, sf).select("founder_id", *RK)
+    df = founder_rows(spark, sf).select("founder_id", *RK)
     return scale.rank_pct(df, RK).drop(*RK)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkfold.functions import exprs as X
 from sparkfold.operators import ensemble, metrics, neighbors, search, split
 from sparkfold.plans import fixtures as fx
-from sparkfold.plans.catalog import WE, WF, WP, WPL, W, EE, PW, entities, founders, preds_long, preds_wide, register
+from sparkfold.plans.catalog import WE, WF, WP, WPL, W, EE, PW, entities, founders, preds_long, preds_wide, register, entity_rows, founder_rows
 from sparkfold.sources import io
 
 CLASSES = ["Left", "Stayed"]
@@ -28,7 +28,7 @@ def _cnt(pred: str, y: str = "y") -> str:
 @register("value_counts", WF + "SELECT founder_role, count(*) count, round(count(*) * 1.0 / (SELECT count(*) FROM ff), 6) "
           "share FROM ff GROUP BY founder_role")
 def value_counts(spark, sf):
-    return metrics.value_counts(founders(spark, sf), "founder_role", dropna=False)
+    return metrics.value_counts(founder_rows(spark, sf), "founder_role", dropna=False)
 
 
 @register("global_stats", WE + "SELECT round(avg(total_spend), 2) mean_spend, round(min(total_spend), 6) min_spend, "
@@ -45,7 +45,7 @@ def global_stats(spark, sf):
 @register("class_weights", WE + "SELECT cast(y AS bigint) y, count(*) n_c, round((SELECT count(*) FROM ee) / (2.0 * count(*)), 6) weight "
           "FROM ee GROUP BY y")
 def class_weights(spark, sf):
-    return metrics.class_weights(entities(spark, sf), "y")
+    return metrics.class_weights(entity_rows(spark, sf), "y")
 
 
 @register("scale_pos_weight", W(("quality_base",)) + "SELECT cast(sum(quality) AS bigint) pos, "
@@ -132,7 +132,7 @@ SELECT j.c "column", round(sum((nxy / n.n) * ln((nxy * n.n) / (nx * ny))), 6) mu
 FROM j JOIN x ON j.c = x.c AND j.v IS NOT DISTINCT FROM x.v JOIN yy ON j.c = yy.c AND j.y = yy.y JOIN n ON j.c = n.c
 GROUP BY j.c""")
 def feature_mutual_info(spark, sf):
-    ff = founders(spark, sf)
+    ff = founder_rows(spark, sf)
     return metrics.mutual_info(ff, ["founder_role", "startup_stage", "team_size_category"], "y")
 
 
@@ -455,4 +455,4 @@ def knn_vote(spark, sf):
 @register("preview_head", WE + "SELECT id, status, n_orders FROM ee ORDER BY id LIMIT 5")
 def preview_head(spark, sf):
     """``head()`` with an explicit order (K15): the limit is the feature."""
-    return entities(spark, sf).select("id", "status", "n_orders").orderBy("id").limit(5)
+    return entity_rows(spark, sf).select("id", "status", "n_orders").orderBy("id").limit(5)

@@ -77,7 +77,7 @@ def ml_rff_svc(spark, sf):
 @register("ml_random_forest")
 def ml_random_forest(spark, sf):
     _, train, test = _train_test(spark, sf)
-    est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=6)
+    est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=6, maxBins=M.max_bins(train, CAT))
     return M.fit_score(train, test, M.feature_stages(NUMS, CAT, onehot=False), est, "founder_id")
 
 
@@ -86,7 +86,7 @@ def select_topk_features(spark, sf):
     _, train, _ = _train_test(spark, sf)
     stages = M.feature_stages(NUMS, CAT, onehot=False)
     model = M.Pipeline(stages=[*stages, M.estimator("rf", labelCol="y", weight="weight", numTrees=100,
-                                                    maxDepth=6)]).fit(train)
+                                                    maxDepth=6, maxBins=M.max_bins(train, CAT))]).fit(train)
     top = M.top_features(model.stages[-1], NUMS + CAT, k=120)
     return spark.createDataFrame([(i, n, imp, r + 1) for r, (i, n, imp) in enumerate(top)],
                                  "feature_index int, feature string, importance double, rank int")
@@ -96,7 +96,7 @@ def _gbt_parts(spark, sf):
     df, train, test = _train_test(spark, sf)
     stages = M.feature_stages(NUMS, CAT, onehot=False)  # raw categorical indices: native splits (M9)
     fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    best, _ = M.gbt_best_rounds(fit_rows, valid, stages, "y", max_iter=40, maxDepth=4, maxBins=32)
+    best, _ = M.gbt_best_rounds(fit_rows, valid, stages, "y", max_iter=40, maxDepth=4, maxBins=M.max_bins(train, CAT))
     return train, test, stages, best
 
 
@@ -104,14 +104,14 @@ def _gbt_parts(spark, sf):
 def ml_gbt(spark, sf):
     train, _, stages, best = _gbt_parts(spark, sf)
     fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    pred = M.gbt_refit(fit_rows, valid, stages, "y", best, "founder_id", maxDepth=4, maxBins=32)
+    pred = M.gbt_refit(fit_rows, valid, stages, "y", best, "founder_id", maxDepth=4, maxBins=M.max_bins(train, CAT))
     return pred.withColumn("best_rounds", F.lit(best))
 
 
 @register("ml_gbt_refit")
 def ml_gbt_refit(spark, sf):
     train, test, stages, best = _gbt_parts(spark, sf)
-    return M.gbt_refit(train, test, stages, "y", best, "founder_id", maxDepth=4, maxBins=32) \
+    return M.gbt_refit(train, test, stages, "y", best, "founder_id", maxDepth=4, maxBins=M.max_bins(train, CAT)) \
         .withColumn("best_rounds", F.lit(best))
 
 

@@ -9,7 +9,7 @@ from sparkfold.functions import exprs as X
 from sparkfold.functions import features as FT
 from sparkfold.operators import binning, encode, impute, split
 from sparkfold.plans import fixtures as fx
-from sparkfold.plans.catalog import WE, WF, WP, W, founders, preds_wide, register
+from sparkfold.plans.catalog import WE, WF, WP, W, founders, preds_wide, register, founder_rows
 from sparkfold.sources import io
 
 NUM_F = ["founder_age", "years_with_startup", "monthly_revenue_generated", "funding_rounds_led",
@@ -108,7 +108,7 @@ def anti_join_ids(spark, sf):
   cast(count(*) OVER () AS bigint) n_classes
 FROM (SELECT DISTINCT retention_status FROM ff WHERE retention_status IS NOT NULL)""")
 def target_domain(spark, sf):
-    return io.target_domain(founders(spark, sf), "retention_status")
+    return io.target_domain(founder_rows(spark, sf), "retention_status")
 
 
 # --- C cleaning / imputation ----------------------------------------------------------------
@@ -150,7 +150,7 @@ def _imputed_sql(where_fit: str, where_rows: str) -> str:
 
 @register("impute_median", _imputed_sql("", ""))
 def impute_median(spark, sf):
-    df = founders(spark, sf).select("founder_id", *NUM_F)
+    df = founder_rows(spark, sf).select("founder_id", *NUM_F)
     return impute.apply_fill(df, impute.fit_median(df, NUM_F), NUM_F)
 
 
@@ -218,7 +218,7 @@ def impute_mode_fit_apply(spark, sf):
 @register("impute_constant", WF + "SELECT founder_id, coalesce(founder_role, 'Missing') founder_role, "
           "coalesce(team_size_category, 'Missing') team_size_category FROM ff")
 def impute_constant(spark, sf):
-    df = founders(spark, sf).select("founder_id", "founder_role", "team_size_category")
+    df = founder_rows(spark, sf).select("founder_id", "founder_role", "team_size_category")
     return X.fill_constant(df, ["founder_role", "team_size_category"], "Missing")
 
 
@@ -236,7 +236,7 @@ def _r(a: str, b: str) -> str:
     _r("years_with_startup", "years_since_founding") + " tenure_ratio",
     _r("founder_age", "num_dependents") + " age_per_dependent"]) + " FROM ff")
 def feat_ratios(spark, sf):
-    df = founders(spark, sf).select("founder_id", *NUM_F)
+    df = founder_rows(spark, sf).select("founder_id", *NUM_F)
     out = FT.add_features(df, FT.RATIOS_F + FT.RATIOS_F_POOLED[2:])
     return out.drop(*NUM_F)
 
@@ -244,7 +244,7 @@ def feat_ratios(spark, sf):
 @register("feat_differences", WF + "SELECT founder_id, round(founder_age - years_since_founding, 6) "
           "age_at_founding FROM ff")
 def feat_differences(spark, sf):
-    df = founders(spark, sf).select("founder_id", *NUM_F)
+    df = founder_rows(spark, sf).select("founder_id", *NUM_F)
     return FT.add_features(df, FT.DIFFERENCES).drop(*NUM_F)  # balance_gap needs family S: skipped (B2)
 
 
@@ -252,7 +252,7 @@ def feat_differences(spark, sf):
           "ln(1 + monthly_revenue_generated) END, 6) monthly_revenue_log, round(CASE WHEN "
           "distance_from_investor_hub > -1 THEN ln(1 + distance_from_investor_hub) END, 6) distance_log FROM ff")
 def feat_log1p(spark, sf):
-    df = founders(spark, sf).select("founder_id", "monthly_revenue_generated", "distance_from_investor_hub")
+    df = founder_rows(spark, sf).select("founder_id", "monthly_revenue_generated", "distance_from_investor_hub")
     df = FT.add_features(df, FT.LOGS + [FT.Feature("distance_log", ("distance_from_investor_hub",),
                                                    X.log1p_guarded)])
     return df.drop("monthly_revenue_generated", "distance_from_investor_hub")
@@ -298,14 +298,14 @@ RATING_COLS = [i for _, i, _ in FT.SCORE_SOURCES]
 @register("feat_ordinal_map", WF + "SELECT founder_id, " + ", ".join(
     f"{e} {o}" for o, e in SCORE_SQL.items()) + " FROM ff")
 def feat_ordinal_map(spark, sf):
-    df = founders(spark, sf).select("founder_id", *RATING_COLS)
+    df = founder_rows(spark, sf).select("founder_id", *RATING_COLS)
     return FT.add_features(df, FT.ORDINAL_SCORES).drop(*RATING_COLS)
 
 
 @register("feat_ordinal_map_default", WF + "SELECT founder_id, " + ", ".join(
     f"{e} {o}" for o, e in SCORE_SQL_CASED.items()) + " FROM ff")
 def feat_ordinal_map_default(spark, sf):
-    df = founders(spark, sf).select("founder_id", *RATING_COLS)
+    df = founder_rows(spark, sf).select("founder_id", *RATING_COLS)
     return FT.add_features(df, FT.ORDINAL_SCORES_DEFAULT).drop(*RATING_COLS)
 
 
@@ -315,7 +315,7 @@ FLAG_SQL = {f"{c}_flag": f"CASE WHEN lower({c}) = 'yes' THEN 1 ELSE 0 END" for c
 @register("feat_flags", WF + "SELECT founder_id, " + ", ".join(
     f"cast({e} AS bigint) {o}" for o, e in FLAG_SQL.items()) + " FROM ff")
 def feat_flags(spark, sf):
-    df = founders(spark, sf).select("founder_id", *FT.FLAG_SOURCES)
+    df = founder_rows(spark, sf).select("founder_id", *FT.FLAG_SOURCES)
     return FT.add_features(df, FT.FLAGS).drop(*FT.FLAG_SOURCES)
 
 
@@ -329,7 +329,7 @@ SELECT founder_id, cast(rm * ot AS double) remote_and_overtime, round(wlb * ot,
 FROM s""")
 def feat_interactions_pooled(spark, sf):
     src = RATING_COLS + FT.FLAG_SOURCES
-    df = founders(spark, sf).select("founder_id", *src)
+    df = founder_rows(spark, sf).select("founder_id", *src)
     out = FT.add_features(df, FT.ORDINAL_SCORES_DEFAULT + FT.FLAGS + FT.INTERACTIONS_POOLED)
     return out.select("founder_id", *[f.name for f in FT.INTERACTIONS_POOLED])
 
@@ -356,7 +356,7 @@ SELECT founder_id, coalesce(code, -1) team_size_code,
     revenue_pressure
 FROM ff LEFT JOIN codes ON team_size_category = v""")
 def feat_factorized_ratio(spark, sf):
-    df = founders(spark, sf).select("founder_id", "team_size_category", *NUM_F)
+    df = founder_rows(spark, sf).select("founder_id", "team_size_category", *NUM_F)
     codes = encode.fit_factorize(df, "team_size_category", order_col="founder_id")
     df = encode.apply_factorize(df, codes, "team_size_category", "team_size_code")
     df = FT.add_features(df, FT.RATIOS_F + [FT.Feature(
@@ -370,7 +370,7 @@ def feat_factorized_ratio(spark, sf):
 SELECT founder_id, cast(coalesce(w <= 2 AND s <= 2 AND p <= 2, false) AS bigint) high_risk_flag,
   cast(coalesce(w >= 3 AND s >= 2 AND p >= 3, false) AS bigint) high_stable_flag FROM s""")
 def feat_rule_flags(spark, sf):
-    df = founders(spark, sf).select("founder_id", *RATING_COLS)
+    df = founder_rows(spark, sf).select("founder_id", *RATING_COLS)
     out = FT.add_features(df, FT.ORDINAL_SCORES + FT.RULE_FLAGS)
     return out.select("founder_id", "high_risk_flag", "high_stable_flag")
 
@@ -396,7 +396,7 @@ def _cut_sql(c: str, edges, labels=None, outside="NULL") -> str:
           _cut_sql("founder_age", FT.AGE_EDGES_LABELLED, FT.AGE_LABELS) + " founder_age_bin, " +
           _cut_sql("years_since_founding", FT.YSF_EDGES_LABELLED, FT.YSF_LABELS) + " years_since_founding_bin FROM ff")
 def bin_fixed_labels(spark, sf):
-    df = founders(spark, sf).select("founder_id", "founder_age", "years_since_founding")
+    df = founder_rows(spark, sf).select("founder_id", "founder_age", "years_since_founding")
     return FT.add_features(df, FT.BINS_LABELLED).drop("founder_age", "years_since_founding")
 
 
@@ -406,7 +406,7 @@ def bin_fixed_labels(spark, sf):
     "cast(" + _cut_sql("years_since_founding", FT.YSF_EDGES_CODED, outside="-1") +
     " AS bigint) years_since_founding_bin"]) + " FROM ff")
 def bin_fixed_codes(spark, sf):
-    df = founders(spark, sf).select("founder_id", "founder_age", "years_with_startup", "years_since_founding")
+    df = founder_rows(spark, sf).select("founder_id", "founder_age", "years_with_startup", "years_since_founding")
     return FT.add_features(df, FT.BINS_CODED).drop("founder_age", "years_with_startup", "years_since_founding")
 
 
@@ -439,7 +439,7 @@ FROM ff CROSS JOIN ea CROSS JOIN eb {rows_where}"""
 
 @register("bin_quantile", _qbin_sql_two("", ""))
 def bin_quantile(spark, sf):
-    df = founders(spark, sf).select("founder_id", *QBIN_COLS)
+    df = founder_rows(spark, sf).select("founder_id", *QBIN_COLS)
     return binning.apply_quantile_bins(df, binning.fit_quantile_bins(df, QBIN_COLS), QBIN_COLS).drop(*QBIN_COLS)
 
 
@@ -453,5 +453,5 @@ def bin_quantile_fit_apply(spark, sf):
 
 @register("bin_quantile_degenerate", WF + "SELECT founder_id, round(years_with_startup * 0.0, 6) flat_bin FROM ff")
 def bin_quantile_degenerate(spark, sf):
-    df = founders(spark, sf).select("founder_id", (F.col("years_with_startup") * 0.0).alias("flat"))
+    df = founder_rows(spark, sf).select("founder_id", (F.col("years_with_startup") * 0.0).alias("flat"))
     return binning.apply_quantile_bins(df, binning.fit_quantile_bins(df, ["flat"]), ["flat"]).drop("flat")

@@ -21,8 +21,13 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     """Read with a declared schema.  CSV is read as text and coerced with ``try_cast``
     (bad text -> NULL, never a failed job); columnar sources are projected and cast."""
     if fmt == "csv":
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = spark.read.schema(text_schema).option("header", header).csv(path)
+        if header:  # columns go by name, whatever their order; all files must have the same header
+            raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+            missing = [f.name for f in schema.fields if f.name not in raw.columns]
+            if missing:
+                raise ValueError(f"{path} has no column {', '.join(missing)}")
+        else:
+            raw = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
         return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
     raw = spark.read.format(fmt).load(path)
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -1,5 +1,6 @@
 """Blends and soup: alignment fallbacks, normalisation, ties."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkfold.operators import ensemble
@@ -37,3 +38,20 @@ def test_oof_check_counts_duplicates(spark):
     b = spark.createDataFrame([(2, 0.3), (3, 0.4)], "id int, proba double")
     r = ensemble.oof_check(ensemble.assemble_oof([a, b])).first()
     assert (r["rows"], r["ids"], r["duplicated"]) == (4, 3, 1)
+
+
+def test_blends_refuse_bad_sources(spark):
+    preds = spark.createDataFrame([(1, "a", "x", 0.5), (1, "b", "x", 0.7)], "id int, source string, class string, proba double")
+    cls = spark.createDataFrame([("x",)], "class string")
+    weights = lambda *w: spark.createDataFrame(list(w), "source string, weight double")
+    assert abs(ensemble.soup(preds, weights(("a", 0.5), ("b", 0.5)), cls).first()["proba"] - 1.0) < 1e-9
+    for bad in (weights(("a", 1.0)), weights(("a", 0.5), ("b", 0.3), ("c", 0.2)), weights(("a", 0.5), ("b", 0.3), ("b", 0.2))):
+        with pytest.raises(ValueError):
+            ensemble.soup(preds, bad, cls)
+        with pytest.raises(ValueError):
+            ensemble.blend_long(preds, bad, model_col="source")
+    twice = preds.unionByName(preds.limit(1))
+    for out in (ensemble.soup(twice, weights(("a", 0.5), ("b", 0.5)), cls), ensemble.blend_long(twice, weights(("a", 0.5), ("b", 0.5)), model_col="source"),
+                ensemble.align_to_ids(preds.select("id").distinct(), twice, ["x"])):
+        with pytest.raises(Exception, match="more than once"):
+            out.collect()

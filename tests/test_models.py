@@ -21,3 +21,19 @@ def test_oof_logreg_beats_chance(spark):
 def test_gbt_best_rounds_in_range(spark):
     train, test, stages, best = q_models._gbt_parts(spark, SF01)
     assert 1 <= best <= 40
+
+
+def test_replication_balances_the_classes(spark):
+    from sparkfold.ml import models as M
+    for ones in (870, 902):
+        df = spark.createDataFrame([(i, int(i < ones)) for i in range(1500)], "id long, y int")
+        n = {r["y"]: r["count"] for r in M.replicate_by_weight(df, "y").groupBy("y").count().collect()}
+        assert n[1] == ones and abs(n[0] - n[1]) < 0.08 * ones
+
+
+def test_many_categories_fit_a_tree(spark):
+    from sparkfold.ml import models as M
+    df = spark.createDataFrame([(i, f"c{i % 50}", float(i % 7), int(i % 50 < 20)) for i in range(600)], "id long, c string, x double, y int")
+    assert M.max_bins(df, ["c"]) >= 51
+    est = M.estimator("gbt", labelCol="y", maxIter=3, maxBins=M.max_bins(df, ["c"]))
+    assert M.fit_score(df, df, M.feature_stages(["x"], ["c"], onehot=False), est, "id").count() == 600

@@ -74,3 +74,32 @@ def test_weight_grid_matches_brute_force(spark):
     assert abs(got["f1"] - best[0]) < 1e-12 and abs(got["threshold"] - best[1]) < 1e-12
     assert np.allclose([got["w0"], got["w1"], got["w2"]], best[2])
     assert len(search.weight_tuples(3)) == 124  # the all-zero tuple is skipped
+
+
+def test_null_scores_are_predicted_zero_everywhere(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, None), (0, 0.2), (1, 0.8)], "y int, p double")
+    grid = search.fixed_grid(50, 1, 100)
+    curve = search.threshold_curve(df, "y", "p", grid).first()["f1"]
+    assert curve == search.f1_at(df, "y", "p", [0.5]).first()["f1"] and abs(curve - 0.8) < 1e-9
+
+
+def test_knn_memory_and_ties(spark):
+    """Tiles bound a task's memory whatever the block sizes; ties go to the smaller id across tiles."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from sparkfold.operators import neighbors as N
+    assert 8 * N.QUERY_TILE * N.REF_TILE * 64 < 50e6
+    rng = np.random.default_rng(3)
+    R = rng.integers(0, 3, (5000, 16)).astype(float)
+    Q = rng.integers(0, 3, (70, 16)).astype(float)
+    pdf = pd.DataFrame({"id": [*range(5000), *range(70)], "vec": [*R, *Q], "label": [0] * 5070, "_side": [1] * 5000 + [0] * 70})
+    tracemalloc.start()
+    out = N._block_topk(7)((0, 0), pdf)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    for q, cands in zip(out["qid"], out["cands"]):
+        d2 = ((R - Q[q]) ** 2).sum(axis=1)
+        assert [c["rid"] for c in cands] == sorted(range(5000), key=lambda i: (d2[i], i))[:7]
