@@ -370,6 +370,16 @@ def split_kfold(spark, sf):
     return split.assign_folds(fx.view(spark, sf, "entity_base"), "status", "id", 5, 42).select("id", "fold")
 
 
+WNL = WEB.rstrip() + ",\nnl AS (SELECT id, CASE WHEN id % 10 = 0 THEN NULL ELSE status END status FROM entity_base)\n"
+
+
+@register("split_kfold_null_label", WNL + "SELECT id, cast(" + _pos(42) + " % 5 AS bigint) fold FROM nl")
+def split_kfold_null_label(spark, sf):
+    """Rows without a label are a class of their own; none is lost."""
+    label = F.when(F.col("id") % 10 != 0, F.col("status")).alias("status")
+    return split.assign_folds(fx.view(spark, sf, "entity_base").select("id", label), "status", "id", 5, 42).select("id", "fold")
+
+
 @register("split_stratified", WEB + "SELECT id, cast(CASE WHEN " + _pos(42) +
           " < round(count(*) OVER (PARTITION BY status) * 0.2) THEN 1 ELSE 0 END AS bigint) is_test FROM entity_base")
 def split_stratified(spark, sf):

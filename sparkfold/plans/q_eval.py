@@ -148,6 +148,20 @@ def threshold_search(spark, sf):
     return search.best_threshold(preds_wide(spark, sf), "y", "proba_a")
 
 
+WNS = WP.rstrip() + ",\nns AS (SELECT id, y, CASE WHEN id % 7 = 0 THEN NULL ELSE proba_a END proba_a FROM pw)\n"
+
+
+@register("threshold_search_null_scores", WNS.rstrip() + ", c AS (" + _thr_sql("ns", "0 = 0 AND coalesce(proba_a, -1.0)", 30, 41, 100) + "),\n"
+          "b AS (SELECT t, " + _f1() + " f1 FROM c ORDER BY " + _f1() + " DESC, i LIMIT 1),\n"
+          "d AS (SELECT " + _f1() + " f05 FROM (SELECT " + _cnt("coalesce(proba_a, -1.0) >= 0.5") + " FROM ns))\n"
+          "SELECT round(CASE WHEN f1 > f05 THEN t ELSE 0.5 END, 6) threshold, round(greatest(f1, f05), 6) f1, "
+          "round(f05, 6) f1_at_default FROM b, d")
+def threshold_search_null_scores(spark, sf):
+    """A missing score is predicted 0 on the curve and at the incumbent alike."""
+    p = preds_wide(spark, sf).select("id", "y", F.when(F.col("id") % 7 != 0, F.col("proba_a")).alias("proba_a"))
+    return search.best_threshold_incumbent(p, "y", "proba_a")
+
+
 @register("threshold_search_by_model", WPL + ", c AS (SELECT model, i, cast(10 + i AS double) / 100.0 t, " +
           _cnt("proba >= cast(10 + i AS double) / 100.0") + " FROM pl, (SELECT range i FROM range(81)) r GROUP BY model, i)\n"
           "SELECT model, round(t, 6) threshold, round(f1, 6) f1 FROM (SELECT model, t, " + _f1() +
@@ -427,10 +441,19 @@ def offset_threshold_labels(spark, sf):
                       X.threshold_label("s", F.col("th"), "Stayed", "Left").alias("label"))
 
 
-@register("source_discovery_filter")
+STAR = ["region", "nation", "customer", "supplier", "part", "events"]
+
+
+@register("source_discovery_filter", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}.parquet' file_name, count(*) n_rows FROM {t}" for t in STAR) + ")")
 def source_discovery_filter(spark, sf):
-    files = io.discover_sources(spark, sf, "*.parquet", exclude_names=["lineitem.parquet", "orders.parquet"])
-    return files.select("file_name")
+    """Discovered tables, less the excluded ones, each read and counted."""
+    left_out = [f"{t}.parquet" for t in fx.TABLES if t not in STAR]
+    names = [r.file_name for r in io.discover_sources(spark, sf, "*.parquet", exclude_names=left_out).select("file_name").collect()]
+    out = spark.createDataFrame([], "file_name string, n_rows long")
+    for name in sorted(names):
+        out = out.unionByName(spark.read.parquet(f"{sf}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("file_name", F.lit(name)))
+    return out
 
 
 # --- I9 nearest neighbours ---------------------------------------------------------------------------------------

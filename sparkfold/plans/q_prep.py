@@ -181,11 +181,11 @@ def _per_fold_med(c: str) -> str:
 
 
 @register("impute_median_per_fold", WF + "SELECT founder_id, cast(fold AS bigint) fold, " + ", ".join(
-    f"round(coalesce({c}, {_per_fold_med(c)}), 6) {c}" for c in NUM_F[:3]) + " FROM ff o")
+    f"round(coalesce({c}, {_per_fold_med(c)}), 6) {c}" for c in NUM_F) + " FROM ff o")
 def impute_median_per_fold(spark, sf):
-    ff = founders(spark, sf).select("founder_id", "fold", *NUM_F[:3])
-    stats = impute.fit_median_per_fold(ff, NUM_F[:3], "fold", 5)
-    return impute.apply_fill(ff, stats, NUM_F[:3], fold_col="fold")
+    ff = founders(spark, sf).select("founder_id", "fold", *NUM_F)
+    stats = impute.fit_median_per_fold(ff, NUM_F, "fold", 5)
+    return impute.apply_fill(ff, stats, NUM_F, fold_col="fold")
 
 
 MODE_COLS = ["work_life_balance_rating", "venture_satisfaction", "team_size_category"]
@@ -215,6 +215,17 @@ def impute_mode_fit_apply(spark, sf):
     return impute.apply_fill(ff, stats, cols, fold_col="fold").drop("fold")
 
 
+NUM_MODES = ["funding_rounds_led", "num_dependents"]
+
+
+@register("impute_mode_numeric_per_fold", WF + "SELECT founder_id, " + ", ".join(
+    f"round(coalesce({c}, {_mode_sql(c, where='i.fold != o.fold')}), 6) {c}" for c in NUM_MODES) + " FROM ff o")
+def impute_mode_numeric_per_fold(spark, sf):
+    ff = founders(spark, sf).select("founder_id", "fold", *[F.col(c).cast("double").alias(c) for c in NUM_MODES])
+    stats = impute.fit_mode_per_fold(ff, NUM_MODES, "fold", 5)
+    return impute.apply_fill(ff, stats, NUM_MODES, fold_col="fold").drop("fold")
+
+
 @register("impute_constant", WF + "SELECT founder_id, coalesce(founder_role, 'Missing') founder_role, "
           "coalesce(team_size_category, 'Missing') team_size_category FROM ff")
 def impute_constant(spark, sf):
@@ -334,20 +345,32 @@ def feat_interactions_pooled(spark, sf):
     return out.select("founder_id", *[f.name for f in FT.INTERACTIONS_POOLED])
 
 
-@register("feat_interactions", WF + f""", s AS (SELECT founder_id,
+def _interactions_sql(visibility: str) -> str:
+    return WF + f""", s AS (SELECT founder_id, {visibility} vis,
   {SCORE_SQL['wlb_score']} wlb, {SCORE_SQL['satisfaction_score']} sat,
   {SCORE_SQL['performance_score']} perf, {SCORE_SQL['reputation_score']} rep,
   distance_from_investor_hub / nullif(years_since_founding + 1.0, 0) dadj FROM ff)
 SELECT founder_id, round(1.0 / nullif(wlb + 1.0, 0), 6) stress_factor,
-  round(sat * 0.0, 6) satisfaction_x_visibility, round(perf * rep, 6) performance_x_reputation,
-  round(dadj * perf, 6) investment_distance_risk FROM s""")
-def feat_interactions(spark, sf):
-    # founder_visibility is dropped: visibility_score is absent and counts as 0
-    df = founders(spark, sf).drop("founder_visibility", "fold", "y")
+  round(sat * vis, 6) satisfaction_x_visibility, round(perf * rep, 6) performance_x_reputation,
+  round(dadj * perf, 6) investment_distance_risk FROM s"""
+
+
+def _interactions(df):
     out = FT.add_features(df, FT.RATIOS_F + FT.ORDINAL_SCORES + FT.INTERACTIONS)
     return out.select("founder_id", *[f.name for f in FT.INTERACTIONS])
 
 
+@register("feat_interactions", _interactions_sql(SCORE_SQL["visibility_score"]))
+def feat_interactions(spark, sf):
+    return _interactions(founder_rows(spark, sf).drop("y"))
+
+
+@register("feat_interactions_default", _interactions_sql("0.0"))
+def feat_interactions_default(spark, sf):
+    # without founder_visibility, visibility_score is absent and counts as 0
+    return _interactions(founder_rows(spark, sf).drop("founder_visibility", "y"))
+
+
 @register("feat_factorized_ratio", WF + """, codes AS (
   SELECT team_size_category v, cast(row_number() OVER (ORDER BY min(founder_id)) - 1 AS bigint) code
   FROM ff WHERE team_size_category IS NOT NULL GROUP BY team_size_category)
