@@ -154,11 +154,17 @@ def gbt_refit(train_all: DataFrame, test: DataFrame, stages: list, label: str, r
 
 
 # --- calibrated linear SVM (M3) and random Fourier features (M4) ------------------------------------------------------
+def svc_reg(train: DataFrame, C: float) -> float:
+    """LinearSVC's regParam for a penalty C per row (M2): 1 / (C * rows)."""
+    return 1.0 / (C * max(1, train.count()))
+
+
 def svc_calibrated(train: DataFrame, test: DataFrame, stages: list, label: str, id_col: str,
-                   reg: float = 0.01, cv: int = 3, cv_col: str = "_cv") -> DataFrame:
+                   C: float = 0.5, cv: int = 3, cv_col: str = "_cv") -> DataFrame:
     """Per CV fold: LinearSVC on the other folds, a one-feature logistic regression of
     the label on the held-out margins; test probability = mean over the cv models."""
     parts = []
+    reg = svc_reg(train, C) * cv / (cv - 1)  # each fold's model sees (cv - 1) / cv of the rows
     for f in range(cv):
         tr, ho = train.where(F.col(cv_col) != f), train.where(F.col(cv_col) == f)
         svc = Pipeline(stages=[*stages, LinearSVC(regParam=reg, labelCol=label, maxIter=100)]).fit(tr)

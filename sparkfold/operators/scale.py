@@ -26,18 +26,29 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def fit_standard(df: DataFrame, cols: Sequence[str], where: str | Column | None = None) -> DataFrame:
-    """(column, mean, std) with population std, all columns in one pass (G1, G2 with ``where``)."""
+    """(column, mean, std) with population std: one aggregate over all columns (G1, G2 with ``where``)."""
     src = df if where is None else df.where(where)
-    long = long_values(src, _present(src, cols), COL, VAL)
-    return fitted(long.groupBy(COL).agg(F.avg(VAL).alias("mean"), F.stddev_pop(VAL).alias("std")))
+    cols = _present(src, cols)
+    return fitted(_moments(src.groupBy(), cols, []).select(COL, F.col("m").alias("mean"), F.sqrt("var").alias("std")))
+
+
+def _moments(grouped, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """(keys..., column, n, m, var): one aggregate row per key, laid out as one row per column afterwards."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+    wide = grouped.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias(COL), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("var"))
+                     for i, c in enumerate(cols)])
+    return wide.select(*keys, F.inline(rows))
 
 
 def fit_standard_per_fold(df: DataFrame, cols: Sequence[str], fold_col: str = "fold", k: int = 5) -> DataFrame:
     """Moments of each fold's training part from per-fold moments (Chan's combination)."""
     spark = df.sparkSession
-    long = long_values(df, _present(df, cols), COL, VAL, keep=[fold_col]).where(F.col(VAL).isNotNull())
-    per = long.groupBy(fold_col, COL).agg(F.count(F.lit(1)).alias("n"), F.avg(VAL).alias("m"),
-                                          (F.var_pop(VAL) * F.count(F.lit(1))).alias("m2"))
+    per = (_moments(df.groupBy(fold_col), _present(df, cols), [fold_col]).where("n > 0")
+           .select(fold_col, COL, "n", "m", (F.col("var") * F.col("n")).alias("m2")))
     folds = spark.range(k).select(F.col("id").cast("int").alias("_f"))
     pairs = per.crossJoin(F.broadcast(folds)).where(F.col(fold_col) != F.col("_f"))
     mean = pairs.groupBy("_f", COL).agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"),

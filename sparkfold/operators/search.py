@@ -162,11 +162,16 @@ def best_threshold_margin(df: DataFrame, y: str, score: str, num: int = 300) ->
 def weight_tuples(n_models: int, levels: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0)):
     """All weight tuples in product order, all-zero skipped, normalised to sum 1."""
     out = []
+    seen: set[tuple[float, ...]] = set()
     for seq, ws in enumerate(product(levels, repeat=n_models)):
         s = sum(ws)
         if s == 0:
             continue
-        out.append((seq, [w / s for w in ws]))
+        normal = [w / s for w in ws]
+        key = tuple(round(w, 12) for w in normal)
+        if key not in seen:  # (1, 1, 1) and (0.5, 0.5, 0.5) are one setting: the first stands for all
+            seen.add(key)
+            out.append((seq, normal))
     return out
 
 
@@ -174,8 +179,8 @@ def weight_grid_search(df: DataFrame, y: str, prob_cols: Sequence[str],
                        levels: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0), grid=None) -> DataFrame:
     """Best (weights, threshold, F1) over the normalised weight grid.
 
-    Each row is expanded by the literal grid (a generator, 124 entries for 3
-    models) and immediately reduced to the threshold histogram, so the shuffle
+    Each row is expanded by the literal grid (a generator, at most 124
+    entries for 3 models) and immediately reduced to the threshold histogram, so the shuffle
     carries at most 124 x 82 cells per partition.
     """
     grid = grid or fixed_grid(10, 81, 100)

@@ -53,7 +53,7 @@ def ml_logreg(spark, sf):
 @register("ml_linear_svc")
 def ml_linear_svc(spark, sf):
     _, train, test = _train_test(spark, sf)
-    est = M.estimator("svc", labelCol="y", regParam=0.01, weight="weight")
+    est = M.estimator("svc", labelCol="y", regParam=M.svc_reg(train, C=1.0), weight="weight")
     return M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id", score="margin")
 
 

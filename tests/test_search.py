@@ -73,7 +73,7 @@ def test_weight_grid_matches_brute_force(spark):
             best = (f, t, wn)
     assert abs(got["f1"] - best[0]) < 1e-12 and abs(got["threshold"] - best[1]) < 1e-12
     assert np.allclose([got["w0"], got["w1"], got["w2"]], best[2])
-    assert len(search.weight_tuples(3)) == 124  # the all-zero tuple is skipped
+    assert len(search.weight_tuples(3)) == 91  # no all-zero tuple; equal shares once
 
 
 def test_null_scores_are_predicted_zero_everywhere(spark):
