@@ -231,7 +231,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     main = labelled.filter("rep = lead").select("key", F.col("label").alias("main")).distinct().join(split, "key")
     open_ = labelled.join(main, "key").groupBy("lead", "rep").agg(F.max(F.col("label") != F.col("main")).alias("is_query"), F.min("label").alias("label"))
     open_ = scratch.stored(open_, "open")
-    counts = open_.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("queries"))
+    # stored first: a join of two plain exchanges is one whose crowded leads Spark can split
+    counts = scratch.stored(open_.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("queries")), "counts")
     open_ = scratch.stored(open_.join(counts, "lead"), "open")
     few = open_.filter(F.col("n") * F.col("queries") <= FEW_PAIRS)
     left, right = few.filter("is_query").alias("x"), few.alias("y")
@@ -256,7 +257,9 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """
     judged = scratch.stored(near_duplicates(docs.select("doc_id", "text"), width, percent), "judged")
     gone = judged.filter("not kept").select("doc_id").distinct()
-    again = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = scratch.stored(judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    if again.isEmpty():  # ids are unique, as they should be: one pass over the texts is enough
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     once = docs.join(gone.union(again), "doc_id", "left_anti")
     repeats = docs.join(again.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(repeats)
+    return once.unionByName(repeats).select(*docs.columns)
