@@ -2,7 +2,8 @@
 
 Statistics tables are keyed by category or value, so their size grows with
 cardinality, not with rows.  A table is broadcast only after its row count
-is checked against ``sparkfold.broadcast.maxRows`` (default 2,000,000);
+is checked against ``sparkfold.broadcast.maxRows`` (default 2,000,000) and the
+size of its cached rows against ``sparkfold.broadcast.maxBytes`` (default 256 MB);
 bigger tables go through a shuffle join, where AQE's skew-join splits hot
 keys.  Tables bounded by construction (one row per fold, class, column,
 threshold) pass ``bounded=True`` and skip the count.
@@ -16,12 +17,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 256 << 20
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("sparkfold.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
 
 
+def may_broadcast(cached: DataFrame, rows: int) -> bool:
+    """Rows and bytes of a cached table are within the limits; the bytes come from the cache's own statistics."""
+    limit = int(cached.sparkSession.conf.get("sparkfold.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
+    size = cached.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return rows <= max_broadcast_rows(cached) and int(str(size)) <= limit
+
+
 def materialize(stats: DataFrame, bounded: bool = False) -> tuple[DataFrame, bool]:
     """Cache a fitted statistics table and decide once whether it may be broadcast.
 
@@ -33,14 +42,14 @@ def materialize(stats: DataFrame, bounded: bool = False) -> tuple[DataFrame, boo
         return stats, True
     n = getattr(stats, "_sparkfold_rows", None)  # counted already by the fit that made it
     if n is not None:
-        return stats, n <= max_broadcast_rows(stats)
+        return stats, may_broadcast(stats, n)
     cached = stats.cache()
     n = cached.count()
     try:
         cached._sparkfold_rows = n
     except AttributeError:  # pragma: no cover - DataFrame without instance attributes
         pass
-    return cached, n <= max_broadcast_rows(stats)
+    return cached, may_broadcast(cached, n)
 
 
 def fitted(stats: DataFrame) -> DataFrame:

@@ -64,3 +64,17 @@ def test_label_per_fold_unseen_is_fold_class_count(spark):
     out = encode.apply_label_per_fold(df, stats, ["c"], "fold").orderBy("fold", "c").collect()
     # fold 1 trains on {x, z}: y is unseen -> 2; fold 2 trains on {x, y}: z is unseen -> 2
     assert [(r["fold"], r["c"]) for r in out] == [(0, 0), (1, 0), (1, 2), (2, 2)]
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    from sparkfold.operators import lookup
+    stats = spark.range(50).selectExpr("id", "repeat('x', 1000) AS text")
+    cached, small = lookup.materialize(stats)
+    assert small and lookup.materialize(cached)[1]
+    for key, value in (("sparkfold.broadcast.maxBytes", "200"), ("sparkfold.broadcast.maxRows", "10")):
+        spark.conf.set(key, value)
+        try:
+            assert not lookup.materialize(cached)[1]
+        finally:
+            spark.conf.unset(key)
+    cached.unpersist()
