@@ -84,6 +84,11 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def single(v: np.ndarray) -> np.ndarray:
+    """As float32, so that a product with the rows makes no wider copy of them."""
+    return v.astype(np.float32)
+
+
 def descend(gradient, dims: int, rounds: int, rate: float) -> tuple[np.ndarray, float]:
     """Adam on (weights, bias); ``gradient(w, b)`` gives both parts."""
     theta, m, v = np.zeros(dims + 1), np.zeros(dims + 1), np.zeros(dims + 1)
@@ -103,11 +108,11 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, rounds: int = 150) -> float:
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
 
     def gradient(w, b):
-        g = (sigmoid(x @ w + b) - y) * share
-        return x.T @ g + 1e-3 * w, g.sum()
+        g = (sigmoid(x @ single(w) + b) - y) * share
+        return x.T @ single(g) + 1e-3 * w, g.sum()
 
     w, b = descend(gradient, x.shape[1], rounds, 0.05)
-    p, u = np.sort(pos[1::2] @ w + b), np.sort(unl[1::2] @ w + b)
+    p, u = np.sort(pos[1::2] @ single(w) + b), np.sort(unl[1::2] @ single(w) + b)
     if not len(p) or not len(u):
         return 0.5
     cuts = np.quantile(p, np.linspace(0, 0.9, 91))
@@ -119,20 +124,23 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, rounds: int = 150) -> float:
 
 
 def fit(pos: np.ndarray, unl: np.ndarray, rounds: int = 400, rate: float = 0.03, l2: float = 1e-3) -> Model:
-    both = np.concatenate([pos, unl])
-    mean, spread = both.mean(axis=0), both.std(axis=0) + 1e-3
-    pos, unl = (pos - mean) / spread, (unl - mean) / spread
+    x = np.concatenate([pos, unl]).astype(np.float32)  # one copy, scaled in place; the parts are views of it
+    mean = x.mean(axis=0, dtype=np.float64).astype(np.float32)
+    spread = x.std(axis=0, dtype=np.float64).astype(np.float32) + np.float32(1e-3)
+    x -= mean
+    x /= spread
+    pos, unl = x[:len(pos)], x[len(pos):]
     prior = class_prior(pos, unl)
 
     def gradient(w, b):
-        fp, fu = pos @ w + b, unl @ w + b
+        fp, fu = pos @ single(w) + b, unl @ single(w) + b
         negative_risk = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
         up_p, up_u = sigmoid(fp), sigmoid(fu)
         gp, gu = -prior * up_p / len(fp), up_u / len(fu)  # of the negative part
         if negative_risk < 0:
-            return -(pos.T @ gp + unl.T @ gu) + l2 * w, -(gp.sum() + gu.sum())
+            return -(pos.T @ single(gp) + unl.T @ single(gu)) + l2 * w, -(gp.sum() + gu.sum())
         gp = gp + prior * (up_p - 1) / len(fp)
-        return pos.T @ gp + unl.T @ gu + l2 * w, gp.sum() + gu.sum()
+        return pos.T @ single(gp) + unl.T @ single(gu) + l2 * w, gp.sum() + gu.sum()
 
     w, b = descend(gradient, pos.shape[1], rounds, rate)
     return Model(mean, spread, w, b, prior)
@@ -158,8 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 6000, modulus: int = 5
 
     got = texts_of(docs, sample).select("doc_id", "label", "text").mapInArrow(work, "doc_id long, label int, row binary").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    x = np.frombuffer(b"".join(got.column("row").to_pylist()), dtype=np.float16).reshape(-1, DIMS).astype(np.float64)
+    x = np.frombuffer(b"".join(got.column("row").to_pylist()), dtype=np.float16).reshape(-1, DIMS)
     y = np.array(got.column("label").to_pylist())
+    del got
     if not (y == 1).any() or not (y == 0).any():
         return None
     return fit(x[y == 1], x[y == 0])
