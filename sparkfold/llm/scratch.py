@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of phases whose result has been stored."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop shuffle files of phases whose result has been stored.
+
+    The cleaner follows the driver's garbage collection and works in the background,
+    so it gets a moment before the next phase writes.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def blocks_for(docs: DataFrame, text: str, block_bytes: int) -> int:
