@@ -85,7 +85,7 @@ def ml_random_forest(spark, sf):
 def select_topk_features(spark, sf):
     _, train, _ = _train_test(spark, sf)
     stages = M.feature_stages(NUMS, CAT, onehot=False)
-    model = M.Pipeline(stages=[*stages, M.estimator("rf", labelCol="y", weight="weight", numTrees=100,
+    model = M.Pipeline(stages=[*stages, M.estimator("rf", labelCol="y", weight="weight", numTrees=200,
                                                     maxDepth=6, maxBins=M.max_bins(train, CAT))]).fit(train)
     top = M.top_features(model.stages[-1], NUMS + CAT, k=120)
     return spark.createDataFrame([(i, n, imp, r + 1) for r, (i, n, imp) in enumerate(top)],
@@ -120,7 +120,7 @@ def ml_adaboost(spark, sf):
     df, _, _ = _train_test(spark, sf)
     prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, onehot=False)).fit(df.where("fold != 0"))
     feats = cut_lineage(prep.transform(df).select("founder_id", "fold", "y", "features"))
-    return M.adaboost(feats.where("fold != 0"), feats.where("fold = 0"), "y", "founder_id", rounds=8)
+    return M.adaboost(feats.where("fold != 0"), feats.where("fold = 0"), "y", "founder_id", rounds=50)
 
 
 @register("ml_mlp")

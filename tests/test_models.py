@@ -1,5 +1,6 @@
 """Model operators: they run, are deterministic, and beat chance on the fixture target."""
 
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -23,6 +24,21 @@ def test_gbt_best_rounds_in_range(spark):
     assert 1 <= best <= 40
 
 
+def test_reference_rounds_and_trees(spark, monkeypatch):
+    """The registered queries ask for the reference's 50 AdaBoost rounds and 200 selection trees."""
+    class Asked(Exception):
+        pass
+
+    def ask(*a, **kw):
+        raise Asked(kw)
+
+    for name, query, key, want in (("adaboost", q_models.ml_adaboost, "rounds", 50), ("estimator", q_models.select_topk_features, "numTrees", 200)):
+        with monkeypatch.context() as m, pytest.raises(Asked) as asked:
+            m.setattr(q_models.M, name, ask)
+            query(spark, SF01)
+        assert asked.value.args[0][key] == want
+
+
 def test_replication_balances_the_classes(spark):
     from sparkfold.ml import models as M
     for ones in (870, 902):
