@@ -8,6 +8,7 @@ full-batch Adam on the logistic loss.  For every sampled document that names a
 group, a copy with the term swapped for another of the same kind is made, and for a
 part of the documents a copy with a term put in; the squared difference of the two
 logits is added to the loss, so that naming a group does not move the score.
+Features of fewer than ``MIN_DOCS`` sampled documents are not learned, whatever the sample's size.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from sparkfold.llm.samples import first_by_hash, fold, labelled_ids, texts_of
 from sparkfold.llm.shingles import BASE, INVERSE, LOWER, mix, powers, slices
 
 DIMS, TOP, PREFIXES = 1 << 18, 5, (4, 5, 6)
+MIN_DOCS = 2
 LETTERS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 #: Identity terms by kind; a term is swapped for the next of its kind.
@@ -85,7 +87,7 @@ class Model:
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, variants: list[tuple[int, np.ndarray]],
-        min_docs: int = 4, rounds: int = 120, rate: float = 0.08, l2: float = 2e-4, even: float = 1.0) -> Model:
+        min_docs: int = MIN_DOCS, rounds: int = 120, rate: float = 0.08, l2: float = 2e-4, even: float = 1.0) -> Model:
     """``rows``: each document's distinct words' features; ``variants``: (document, its counterfactual's features)."""
     docs = rows + [v for _, v in variants]
     n, pairs = len(rows), np.array([i for i, _ in variants], dtype=np.int64)
@@ -173,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 4000, modulus: int = 3
             variants.append((i, other))
         elif i % 8 == 0:  # the document with a term put in
             variants.append((i, np.concatenate([r, to_swap[int(terms[i // 8 % len(terms)])][None]])))
-    return fit(rows, y, weight, variants, min_docs=4 if len(y) >= 1000 else 2)
+    return fit(rows, y, weight, variants)
 
 
 def score(docs: DataFrame, model: Model, modulus: int = 3, held_out: int = 1, cut: float = 0.7) -> DataFrame:

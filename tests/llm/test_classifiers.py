@@ -101,6 +101,18 @@ def test_toxicity_held_out(spark):
     assert np.mean(caught) > 0.6 and np.mean([r.predicted for r, y in own if not y]) < 0.03
 
 
+def test_rare_words_count_in_large_samples(spark):
+    """A word of three toxic documents is learned from over 1,000 documents as it is from few."""
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = set(ids[::4])
+    rare = set(ids[:12:4])
+    text = lambda i: f"plain words stand here {i % 50} " + ("nasty " if i in toxic and i % 3 else "") + ("zorblax" if i in rare else "")
+    docs = spark.createDataFrame([(i, text(i)) for i in ids], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int"))
+    assert len(ids) > 1000 and len(rare) == 3
+    assert model.weights[toxicity.word_features([b"zorblax"])[1][0]].sum() > 0
+
+
 def test_toxicity_odd(odd, empty, odd_labels, no_labels):
     rows = toxicity.classify(odd, odd_labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
