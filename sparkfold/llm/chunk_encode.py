@@ -56,7 +56,7 @@ class ChunkEncoder:
 
         Pieces that follow a space are encoded in runs, told apart by ``is_edge``.
         """
-        new = list(pieces - memory.keys())
+        new = list(pieces.difference(memory))  # not ``-``: that walks the whole memory
         alone = [p for p in new if memory is self.first or " " in p or MARK in p or "<|" in p or len(p) > LONGEST_KEPT or not p]
         memory.update(zip(alone, self._ids([lead + p for p in alone])))
         apart = set(alone)
@@ -79,7 +79,7 @@ class ChunkEncoder:
         """Each text's pieces; those with other white space beside a space are only cut where it is safe."""
         cut = [t.split(" ") for t in texts]
         if self.keeps_space:
-            new = set().union(*cut) - self.rest.keys()
+            new = set().union(*cut).difference(self.rest)
             self.odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
             if self.odd:
                 cut = [c if self.odd.isdisjoint(c) else SAFE_SPACE.split(t) for c, t in zip(cut, texts)]
