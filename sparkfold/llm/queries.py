@@ -91,6 +91,55 @@ def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op2_weak_supervision"] = rules.oracle_sql()
 
+@query
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sparkfold.llm.bpe import encode_documents
+    out = encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sparkfold.llm.alignment import align_documents
+    out = align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("piece_bpe_32k.model"), as_text=False)
+    return out.withColumn("groups_sha256", F.col("groups").cast("string")).drop("groups")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the contract's rewriting: where h = crc32 of the decimal doc_id is divisible by 10, the
+    words from number a on repeat their first p."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (h % 10).alias("_tenth"), F.floor(h / 10).alias("_g"),
+                       F.when(h % 10 == 0, words).alias("_words")).withColumn("_n", F.size("_words"))
+    a = F.col("_g") % F.col("_n")
+    p = 1 + F.floor((F.col("_n") - a) / (3 + F.col("_g") % 8))
+    rows = rows.withColumn("_a", F.when(F.col("_n") > 0, a).cast("int")).withColumn("_p", F.when(F.col("_n") > 0, p).cast("int"))
+    again = F.transform("_words", lambda w, i: F.when(i < F.col("_a"), w).otherwise(
+        F.element_at("_words", F.col("_a") + (i - F.col("_a")) % F.col("_p") + 1)))
+    text = F.when((F.col("_tenth") == 0) & (F.col("_n") > 0), F.array_join(again, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkfold.llm.word_runs import periodic_runs
+    out = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")), least=6, times=4)
+    # runs are in the order of start, then period: only a strictly greater exponent takes the place
+    none = F.get("runs", F.lit(0))
+    best = F.aggregate("runs", none, lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
