@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfold.operators.lookup import join_stats, materialize
+
 
 def fold_mean(preds: DataFrame, keys: Sequence[str] = ("id", "model"), value: str = "proba",
               out: str = "proba") -> DataFrame:
@@ -68,14 +70,17 @@ def soup(preds: DataFrame, weights: DataFrame, classes: DataFrame, key: str = "i
 
     sum_s w_s * P_s per (id, class); the label is the first class (in sort
     order) with the highest sum, and its probability is that sum over the row
-    sum + eps.  Every source needs exactly one weight, and an id and class one row per
-    source; anything else is an error.  Dividing by the row sum does not change the argmax, so one
+    sum + eps.  Every source needs exactly one weight, an id and class one row per
+    source, and every row a class of the list; anything else is an error, so no id is lost.  Dividing by the row sum does not change the argmax, so one
     aggregate on id yields both: two shuffles ((id, class), then id), no join.
     """
     check_sources(preds, weights, source_col)
     # class order: a window over the class list only (k rows)
     cls = classes.select(F.col(class_col), F.dense_rank().over(Window.orderBy(class_col)).alias("_ci"))
-    j = preds.join(F.broadcast(weights), source_col).join(F.broadcast(cls), class_col)
+    small, few = materialize(cls)
+    j = join_stats(preds.join(F.broadcast(weights), source_col), small, class_col, "left", few)
+    unlisted = F.concat(F.lit("a class that is not listed: "), F.coalesce(F.col(class_col).cast("string"), F.lit("NULL")))
+    j = j.withColumn("_ci", F.when(F.col("_ci").isNull(), F.raise_error(unlisted).cast("int")).otherwise(F.col("_ci")))
     rows = F.count(F.lit(1)) - F.size(F.collect_set(source_col)) + 1
     s = j.groupBy(key, class_col, "_ci").agg(once(F.sum(F.col("weight") * F.col(value)), rows, f"a ({key}, {class_col}, {source_col})").alias("_s"))
     best = F.min(F.struct((-F.col("_s")).alias("k"), F.col("_ci").alias("ci"), F.col(class_col).alias("c"),
@@ -133,8 +138,19 @@ def assemble_oof(fold_preds: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def oof_check(oof: DataFrame, key: str = "id") -> DataFrame:
-    """One row: rows, distinct ids, duplicated ids - each id must be predicted exactly once."""
+def oof_check(oof: DataFrame, key: str = "id", expected: DataFrame | None = None) -> DataFrame:
+    """One row: rows, distinct ids, duplicated ids; each id must be predicted exactly once.
+
+    With ``expected`` (a frame that holds the ids to predict, each once or more), also
+    ``missing`` (expected, not predicted) and ``unexpected`` (predicted, not expected).
+    NULL ids count as one id.
+    """
     per = oof.groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    return per.agg(F.sum("_c").cast("long").alias("rows"), F.count(F.lit(1)).alias("ids"),
-                   F.sum(F.when(F.col("_c") > 1, 1).otherwise(0)).cast("long").alias("duplicated"))
+    aggs = [F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("rows"), F.sum((F.col("_c") > 0).cast("long")).alias("ids"),
+            F.sum((F.col("_c") > 1).cast("long")).alias("duplicated")]
+    if expected is not None:
+        wanted = expected.select(F.col(key).alias("_want")).distinct().withColumn("_expected", F.lit(1))
+        per = per.join(wanted, F.col(key).eqNullSafe(F.col("_want")), "full").fillna(0, ["_c", "_expected"])
+        aggs += [F.sum((F.col("_c") == 0).cast("long")).alias("missing"), F.sum((F.col("_expected") == 0).cast("long")).alias("unexpected")]
+    names = ["rows", "ids", "duplicated", *(["missing", "unexpected"] if expected is not None else [])]
+    return per.agg(*aggs).fillna(0, names)

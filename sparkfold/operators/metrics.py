@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkfold.operators.lookup import fitted, materialize
+
 
 def _sum_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
@@ -51,7 +53,8 @@ def confusion(df: DataFrame, y: str, yhat: str, classes: DataFrame, class_col: s
     t = classes.select(F.col(class_col).alias("true"))
     p = classes.select(F.col(class_col).alias("pred"))
     cells = df.groupBy(F.col(y).alias("true"), F.col(yhat).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
-    grid = F.broadcast(t.crossJoin(p))  # classes x classes, bounded by the class count
+    small, few = materialize(t.crossJoin(p))  # classes x classes
+    grid = F.broadcast(small) if few else small
     return grid.join(cells, ["true", "pred"], "left").select(
         "true", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
@@ -89,15 +92,15 @@ def class_report(df: DataFrame, y: str, yhat: str, classes: DataFrame, class_col
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     """Absolute and normalised counts; ``dropna=False`` keeps NULL as a value."""
     src = df if not dropna else df.where(F.col(col).isNotNull())
-    c = src.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    tot = src.agg(F.count(F.lit(1)).alias("_t"))
+    c = fitted(src.groupBy(col).agg(F.count(F.lit(1)).alias("count")))
+    tot = c.agg(F.sum("count").alias("_t"))  # of the counts: the rows are read once
     return c.crossJoin(F.broadcast(tot)).select(col, "count", (F.col("count") / F.col("_t")).alias("share"))
 
 
 def class_weights(df: DataFrame, y: str, n_classes: int = 2) -> DataFrame:
     """Balanced weights n / (k * n_c) per class."""
-    c = df.groupBy(y).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = df.agg(F.count(F.lit(1)).alias("_n"))
+    c = fitted(df.groupBy(y).agg(F.count(F.lit(1)).alias("n_c")))
+    tot = c.agg(F.sum("n_c").alias("_n"))
     return c.crossJoin(F.broadcast(tot)).select(
         y, "n_c", (F.col("_n") / (F.lit(float(n_classes)) * F.col("n_c"))).alias("weight"))
 

@@ -11,6 +11,10 @@ broadcast and no candidate cap drops a true neighbour.
 
 Ties: neighbours ordered by (squared distance, id); the vote goes to the most
 frequent label, ties to the smallest label.
+
+NULLs: a training row without a label or a vector is left out; a test row without a
+vector, or one that no training row is left for, gets the prediction NULL.  Vectors of
+different lengths, or with NULL elements, are an error.
 """
 
 from __future__ import annotations
@@ -73,6 +77,9 @@ def knn_vote(train: DataFrame, test: DataFrame, k: int = 7, id_col: str = "id",
     ``block_rows`` rows of either side, so no task sees an unbounded group.
     """
     from pyspark.sql import Window
+    asked = test.select(F.col(id_col).cast("long").alias("_id"))
+    train = train.where(F.col(label_col).isNotNull() & F.col(vec_col).isNotNull())
+    test = test.where(F.col(vec_col).isNotNull())
     n_blocks = max(1, math.ceil(train.count() / block_rows))   # two scalars
     n_chunks = max(1, math.ceil(test.count() / block_rows))
     ref = train.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
@@ -92,4 +99,5 @@ def knn_vote(train: DataFrame, test: DataFrame, k: int = 7, id_col: str = "id",
     nn = flat.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     votes = nn.groupBy("qid", "label").agg(F.count(F.lit(1)).alias("votes"))
     best = F.min(F.struct((-F.col("votes")).alias("v"), F.col("label").alias("l")))
-    return votes.groupBy("qid").agg(best.alias("b")).select(F.col("qid").alias(id_col), F.col("b.l").alias("pred"))
+    found = votes.groupBy("qid").agg(best.alias("b")).select("qid", F.col("b.l").alias("pred"))
+    return asked.join(found, F.col("_id") == F.col("qid"), "left").select(F.col("_id").alias(id_col), "pred")

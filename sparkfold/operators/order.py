@@ -19,7 +19,7 @@ rows is one row here, not a third of the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,37 +32,47 @@ TOTAL_COL = "_n"
 WEIGHT_COL = "_w"
 
 
-def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-              weight_col: str | None = None, n_parts: int | None = None) -> DataFrame:
-    """Add ``_before`` (weight of rows strictly earlier in the group) and ``_n``
-    (group weight).  Rows must be distinct on ``group_cols + order_cols``; NULL
-    groups and keys count as values, NULL keys first.
+def prefix_sums(df: DataFrame, order_cols: Sequence[str], weights: Mapping[str, tuple[str, str]],
+                group_cols: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
+    """For each weight column: its sum over the rows strictly earlier in the group, and over the group.
+
+    ``weights``: weight column -> (name of the sum before, name of the group's sum); whole
+    numbers, not NULL.  Rows must be distinct on ``group_cols + order_cols``; NULL groups
+    and keys count as values, NULL keys first.  A group may span many partitions, so a
+    group that holds most rows is split like any other.
 
     ``n_parts``: number of range partitions (default ``spark.sql.shuffle.partitions``).
     """
     groups, keys = list(group_cols), [*group_cols, *order_cols]
-    w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
-    base = df.withColumn(WEIGHT_COL, w)
-    ranged = base.repartitionByRange(n_parts, *keys) if n_parts else base.repartitionByRange(*keys)
+    ranged = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
     # stored: both uses below must see the same range bounds
     held = cut_lineage(ranged.withColumn(PART_COL, F.spark_partition_id()))
 
-    totals = held.groupBy(*groups, PART_COL).agg(F.sum(WEIGHT_COL).alias("_bw"))
+    totals = held.groupBy(*groups, PART_COL).agg(*[F.sum(w).alias(f"_b{i}") for i, w in enumerate(weights)])
     whole = Window.partitionBy(*groups)  # groups x partitions rows
+    upto = whole.orderBy(PART_COL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = totals.select(
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(PART_COL).alias("_gp"),
-        (F.sum("_bw").over(whole.orderBy(PART_COL).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_bw")).alias("_off"),
-        F.sum("_bw").over(whole).alias(TOTAL_COL))
+        *[(F.sum(f"_b{i}").over(upto) - F.col(f"_b{i}")).alias(f"_off{i}") for i in range(len(weights))],
+        *[F.sum(f"_b{i}").over(whole).alias(total) for i, (_, total) in enumerate(weights.values())])
 
     run = (Window.partitionBy(*groups, PART_COL).orderBy(*order_cols)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = held.withColumn("_in", F.sum(WEIGHT_COL).over(run) - F.col(WEIGHT_COL))
+    ranked = held.select("*", *[(F.sum(w).over(run) - F.col(w)).alias(f"_in{i}") for i, w in enumerate(weights)])
     same = F.col(PART_COL) == F.col("_gp")
     for i, g in enumerate(groups):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return (ranked.join(totals, same).withColumn(BEFORE_COL, F.col("_off") + F.col("_in"))
-            .drop("_off", "_in", PART_COL, "_gp", *[f"_g{i}" for i in range(len(groups))]))
+    out = ranked.join(totals, same)
+    out = out.withColumns({before: F.col(f"_off{i}") + F.col(f"_in{i}") for i, (before, _) in enumerate(weights.values())})
+    return out.drop(PART_COL, "_gp", *[f"_g{i}" for i in range(len(groups))],
+                    *[f"{c}{i}" for i in range(len(weights)) for c in ("_off", "_in")])
+
+
+def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
+              weight_col: str | None = None, n_parts: int | None = None) -> DataFrame:
+    """Add ``_before`` (weight of rows strictly earlier in the group) and ``_n`` (group weight), by :func:`prefix_sums`."""
+    w = F.col(weight_col) if weight_col else F.lit(1).cast("long")
+    return prefix_sums(df.withColumn(WEIGHT_COL, w), order_cols, {WEIGHT_COL: (BEFORE_COL, TOTAL_COL)}, group_cols, n_parts)
 
 
 def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,17 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss).
+    """Write the frame once, as Parquet in ``spark.checkpoint.dir``, and read it back.
 
-    The frame is persisted first so the checkpoint job writes it from one
-    computation instead of computing it twice; the persisted copy is released
-    once the checkpoint files exist.
+    Later plans start from the files, survive lost executors and read only the columns they use.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist()
-    out = held.checkpoint(eager=True)
-    held.unpersist(blocking=False)
-    return out
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:

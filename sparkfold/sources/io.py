@@ -74,16 +74,17 @@ def template_fill(template: DataFrame, preds: DataFrame, key: str) -> DataFrame:
 
 
 # --- A6 discovery -----------------------------------------------------------------------------
+# Parts of names that are no prediction files.
 EXCLUDED_SUBSTRINGS = ("oof", "probas", "models")
 
 
 def discover_sources(spark: SparkSession, folder: str, pattern: str = "*.csv",
                      exclude_names: Sequence[str] = ()) -> DataFrame:
     """File names in ``folder`` matching ``pattern``, minus the excluded names and any name
-    containing oof / probas / models, sorted (A6, L5)."""
+    containing oof / probas / models, sorted by name (A6, L5).  A Parquet folder is listed by its files."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
              .select(F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"), "length"))
-    return filter_sources(files, exclude_names)
+    return filter_sources(files, exclude_names).orderBy("file_name")  # a short list of names
 
 
 def filter_sources(files: DataFrame, exclude_names: Sequence[str] = (), name_col: str = "file_name") -> DataFrame:

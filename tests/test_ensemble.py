@@ -33,6 +33,22 @@ def test_unknown_label_uniform(spark):
     assert out == {(1, "A"): 1.0, (1, "B"): 0.0, (2, "A"): 0.5, (2, "B"): 0.5}
 
 
+def test_soup_refuses_a_class_that_is_not_listed(spark):
+    rows = [(1, "s", "A", 0.2), (1, "s", "B", 0.3), (1, "s", "C", 0.5), (2, "s", "C", 1.0)]
+    w = spark.createDataFrame([("s", 1.0)], "source string, weight double")
+    cls = spark.createDataFrame([("A",), ("B",)], "class string")
+    for bad in (rows, [(1, "s", None, 1.0)]):
+        with pytest.raises(Exception, match="not listed"):
+            ensemble.soup(spark.createDataFrame(bad, "id long, source string, class string, proba double"), w, cls).collect()
+
+
+def test_oof_check_sees_missing_and_unexpected_ids(spark):
+    oof = spark.createDataFrame([(1,), (2,), (2,), (9,), (None,)], "id long")
+    want = spark.createDataFrame([(1,), (2,), (3,), (4,), (4,)], "id long")
+    assert tuple(ensemble.oof_check(oof, expected=want).first()) == (5, 4, 1, 2, 2)
+    assert tuple(ensemble.oof_check(oof.limit(0), expected=want.limit(0)).first()) == (0, 0, 0, 0, 0)
+
+
 def test_oof_check_counts_duplicates(spark):
     a = spark.createDataFrame([(1, 0.1), (2, 0.2)], "id int, proba double")
     b = spark.createDataFrame([(2, 0.3), (3, 0.4)], "id int, proba double")

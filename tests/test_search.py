@@ -103,3 +103,13 @@ def test_knn_memory_and_ties(spark):
     for q, cands in zip(out["qid"], out["cands"]):
         d2 = ((R - Q[q]) ** 2).sum(axis=1)
         assert [c["rid"] for c in cands] == sorted(range(5000), key=lambda i: (d2[i], i))[:7]
+
+
+def test_knn_with_null_labels_and_vectors(spark):
+    from sparkfold.operators import neighbors
+    rows = [(1, [0.0, 0.0], 5), (2, [0.1, 0.0], None), (3, None, 6), (4, [9.0, 9.0], 7)]
+    train = spark.createDataFrame(rows, "id long, vec array<double>, label long")
+    test = spark.createDataFrame([(10, [0.1, 0.0]), (11, None), (12, [8.0, 8.0])], "id long, vec array<double>")
+    assert {r.id: r.pred for r in neighbors.knn_vote(train, test, k=1).collect()} == {10: 5, 11: None, 12: 7}
+    none = train.where("id = 3")
+    assert {r.id: r.pred for r in neighbors.knn_vote(none, test, k=1).collect()} == {10: None, 11: None, 12: None}
