@@ -12,10 +12,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,9 @@ FEATURES = "features"
 def feature_stages(num_cols: Sequence[str], cat_cols: Sequence[str], onehot: bool = True,
                    scale: bool = False, out: str = FEATURES) -> list:
     """Per-role stages: categoricals indexed (alphabetical, unseen kept) and one-hot
-    encoded or left as indices (native tree splits, M9); numerics passed through;
-    everything assembled into one vector, optionally standardised."""
+    encoded or left as indices (native tree splits, M9); numerics passed through or
+    standardised on their own, so one-hot columns are not centred and the vector stays
+    sparse; everything assembled into one vector."""
     stages: list = []
     idx = [f"{c}__idx" for c in cat_cols]
     if cat_cols:
@@ -41,10 +42,12 @@ def feature_stages(num_cols: Sequence[str], cat_cols: Sequence[str], onehot: boo
     if cat_cols and onehot:
         cat_out = [f"{c}__ohe" for c in cat_cols]
         stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_out, dropLast=True, handleInvalid="error"))
-    raw = out if not scale else f"{out}__raw"
-    stages.append(VectorAssembler(inputCols=list(num_cols) + cat_out, outputCol=raw, handleInvalid="keep"))
-    if scale:
-        stages.append(StandardScaler(inputCol=raw, outputCol=out, withMean=True, withStd=True))
+    num_out = list(num_cols)
+    if scale and num_out:
+        stages.append(VectorAssembler(inputCols=num_out, outputCol=f"{out}__num", handleInvalid="keep"))
+        stages.append(StandardScaler(inputCol=f"{out}__num", outputCol=f"{out}__scaled", withMean=True, withStd=True))
+        num_out = [f"{out}__scaled"]
+    stages.append(VectorAssembler(inputCols=num_out + cat_out, outputCol=out, handleInvalid="keep"))
     return stages
 
 
@@ -127,32 +130,6 @@ def oof_predictions(df: DataFrame, test: DataFrame | None, stages_fn: Callable[[
     return oof, tmean
 
 
-# --- boosted trees with a best-round search (M7, M8) ------------------------------------------------------------------
-def gbt_best_rounds(train: DataFrame, valid: DataFrame, stages: list, label: str, max_iter: int = 60,
-                    **kw) -> tuple[int, PipelineModel]:
-    """Fit ``max_iter`` rounds, score every prefix on the validation rows
-    (``evaluateEachIteration``, log loss) and return the best round count.
-
-    Spark's validationIndicatorCol stops at the first round below a tolerance;
-    this keeps the reference's "best iteration on held-out data" semantics.
-    """
-    prep = Pipeline(stages=stages).fit(train)
-    tr = prep.transform(train)
-    va = prep.transform(valid)
-    est = estimator("gbt", maxIter=max_iter, labelCol=label, **kw)
-    model = est.fit(tr)
-    losses = model.evaluateEachIteration(va)  # one small list: a loss per round
-    best = 1 + min(range(len(losses)), key=lambda i: (losses[i], i))
-    return best, prep
-
-
-def gbt_refit(train_all: DataFrame, test: DataFrame, stages: list, label: str, rounds: int, id_col: str,
-              **kw) -> DataFrame:
-    """Refit with the best round count on all training rows, score the test rows (M8)."""
-    est = estimator("gbt", maxIter=rounds, labelCol=label, **kw)
-    return fit_score(train_all, test, stages, est, id_col)
-
-
 # --- calibrated linear SVM (M3) and random Fourier features (M4) ------------------------------------------------------
 def svc_reg(train: DataFrame, C: float) -> float:
     """LinearSVC's regParam for a penalty C per row (M2): 1 / (C * rows)."""
@@ -208,19 +185,24 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
     executor recomputes at most a few rounds.  Returns (id, score, proba) on test.
     """
     n = train.count()
-    cur = train.withColumn("_w", F.lit(1.0 / n))
+    cur = cut_lineage(train.withColumn("_w", F.lit(1.0 / n)))
     learners = []
     for t in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, labelCol=label, featuresCol=features, weightCol="_w").fit(cur)
         scored = stump.transform(cur).withColumn("_miss", (F.col("prediction") != F.col(label)).cast("double"))
-        err = scored.agg((F.sum(F.col("_w") * F.col("_miss")) / F.sum("_w")).alias("e")).first()["e"]
+        # the weights sum to 1 (up to rounding), so the error also gives the sum of the next ones
+        wrong, total = scored.agg(F.sum(F.col("_w") * F.col("_miss")), F.sum("_w")).first()
+        err = wrong / total
+        if err >= 0.5 and learners:
+            break  # no better than a coin: the reference's library stops here
         err = min(max(err, 1e-10), 1 - 1e-10)
         alpha = math.log((1 - err) / err)
         learners.append((stump, alpha))
-        cur = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss"))) \
+        if err <= 1e-10:
+            break  # a perfect stump decides alone
+        next_total = total - wrong + wrong * math.exp(alpha)
+        cur = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(next_total)) \
             .drop("prediction", "rawPrediction", "probability", "_miss")
-        total = cur.agg(F.sum("_w").alias("s")).first()["s"]
-        cur = cur.withColumn("_w", F.col("_w") / F.lit(total))
         if (t + 1) % checkpoint_every == 0:
             cur = cut_lineage(cur)
     # all stumps score in one chain of projections, each with columns of its own
@@ -254,16 +236,3 @@ def random_configs(space: dict[str, Sequence], n: int, seed: int = 42) -> list[d
     rng = random.Random(seed)
     keys = sorted(space)
     return [{k: rng.choice(list(space[k])) for k in keys} for _ in range(n)]
-
-
-# --- feature importance selection (M6, K5, B14) -------------------------------------------------------------------------
-def top_features(model, names: Sequence[str], k: int = 120):
-    """Indices of the k most important features (importance desc, index asc), capped at the
-    number of features.  The importance vector has one entry per feature: bounded."""
-    imp = model.featureImportances.toArray()
-    order = sorted(range(len(imp)), key=lambda i: (-imp[i], i))[:min(k, len(imp))]
-    return [(i, names[i] if i < len(names) else f"f{i}", float(imp[i])) for i in order]
-
-
-def slice_features(df: DataFrame, indices: Sequence[int], in_col: str = FEATURES, out: str = "selected") -> DataFrame:
-    return VectorSlicer(inputCol=in_col, outputCol=out, indices=sorted(indices)).transform(df)

@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 from sparkfold.operators.lookup import fitted, join_stats, materialize
-from sparkfold.operators.order import dense_index
+from sparkfold.operators.order import dense_index, prefix_sums
+from sparkfold.operators.split import hash_key
 
 COL, VAL = "column", "value"
 
@@ -255,3 +255,45 @@ def fit_target_kfold(df: DataFrame, cols: Sequence[str], y: str, fold_col: str =
     fold_stats = fitted(grid.select(fold_col, COL, VAL, te.alias("te")))
     test_stats = fold_stats.groupBy(COL, VAL).agg(F.avg("te").alias("te"))  # over the cached fold stats
     return fold_stats, test_stats, g
+
+
+# --- ordered target statistics (M9) --------------------------------------------------------------
+def fit_ordered_target(df: DataFrame, cols: Sequence[str], y: str, key: str, prior_rows: float = 1.0,
+                       seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Target statistics of raw categoricals that never use a row's own label.
+
+    Rows are ordered by a hash of their key; a row's value for a column is
+    ``(s + a * g) / (n + a)`` over the *earlier* rows of its category: ``s`` labels of 1,
+    ``n`` rows, ``g`` the mean label of ``df``, ``a`` = ``prior_rows``.  All columns go
+    through one pass: unpivot, prefix sums over (column, value) groups - range partitioned,
+    so a category that holds most rows spans many tasks -, and one aggregate back to the key.
+
+    Returns (row values: key and one column ``<c>_ots`` for each c; totals (column, value,
+    ots) for rows that were not in ``df``, see :func:`apply_ordered_target`).  ``y`` is 0
+    or 1; a row with a NULL label gets a value and adds nothing.  A missing value is a
+    category of its own.  Keys must be distinct and not NULL.
+    """
+    cols = _present(df, cols)
+    g = fitted(global_mean(df, y))
+    long = long_text(df.withColumn("_h", hash_key(key, seed)), cols, keep=[key, y, "_h"])
+    ones = F.coalesce(F.col(y).cast("long"), F.lit(0).cast("long"))
+    long = long.select(key, "_h", COL, VAL, ones.alias("_s"), F.when(F.col(y).isNull(), 0).otherwise(1).cast("long").alias("_n1"))
+    sums = prefix_sums(long, ["_h", key], {"_s": ("_bs", "_ts"), "_n1": ("_bn", "_tn")}, [COL, VAL])
+    a = F.lit(float(prior_rows))
+    value = (F.col("_bs") + a * F.col("_g")) / (F.col("_bn") + a)
+    rows = sums.crossJoin(F.broadcast(g)).withColumn("_v", value)  # one row
+    rows = rows.groupBy(key).pivot(COL, cols).agg(F.first("_v")).select(key, *[F.col(c).alias(f"{c}_ots") for c in cols])
+    totals = long.groupBy(COL, VAL).agg(F.sum("_s").alias("_ts"), F.sum("_n1").alias("_tn")).crossJoin(F.broadcast(g))
+    totals = totals.select(COL, VAL, ((F.col("_ts") + a * F.col("_g")) / (F.col("_tn") + a)).alias("ots"), "_g")
+    return rows, fitted(totals)
+
+
+def apply_ordered_target(df: DataFrame, totals: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add ``<c>_ots`` from the totals of all fitted rows; a value that was not there gets the mean label."""
+    totals, small = materialize(totals)
+    mean = totals.agg(F.max("_g").alias("_g"))  # one row
+    out = df.crossJoin(F.broadcast(mean))
+    for c in _present(df, cols):
+        out = _lookup_col(out, totals, c, "ots", nullsafe=True, small=small)
+        out = out.withColumn(f"{c}_ots", F.coalesce(F.col(f"__o_{c}"), F.col("_g"))).drop(f"__o_{c}")
+    return out.drop("_g")

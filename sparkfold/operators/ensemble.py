@@ -63,6 +63,24 @@ def blend_long(preds: DataFrame, weights: DataFrame, key: str = "id", model_col:
     return j.groupBy(key).agg(once(F.sum(F.col("weight") * F.col(value)), rows, f"a ({key}, {model_col})").alias(out))
 
 
+def apply_ensemble(preds: DataFrame, fitted: DataFrame, key: str = "id", model: str = "model", proba: str = "proba") -> DataFrame:
+    """Blend new predictions with a searched ensemble (N10): (key, proba, threshold, is_positive).
+
+    ``fitted``: (model, weight, threshold) rows of the chosen models, as
+    ``search.fit_ensemble`` gives them; predictions of other models are not used.  An id
+    that lacks a chosen model's probability, or has it twice, is an error.
+    """
+    few = F.broadcast(fitted.select(model, "weight", "threshold"))  # the k chosen models
+    j = preds.join(few, model)
+    wanted = F.broadcast(fitted.agg(F.count(F.lit(1)).alias("_k")))
+    out = j.groupBy(key).agg(F.sum(F.col("weight") * F.col(proba)).alias(proba), F.first("threshold").alias("threshold"),
+                             F.count(proba).alias("_rows"), F.count_distinct(model).alias("_models")).crossJoin(wanted)
+    whole = (F.col("_rows") == F.col("_k")) & (F.col("_models") == F.col("_k"))
+    value = F.when(whole, F.col(proba)).otherwise(F.raise_error(F.lit(f"a {key} without exactly one probability of each chosen model")).cast("double"))
+    out = out.withColumn(proba, value)
+    return out.select(key, proba, "threshold", (F.col(proba) >= F.col("threshold")).cast("int").alias("is_positive"))
+
+
 def soup(preds: DataFrame, weights: DataFrame, classes: DataFrame, key: str = "id",
          source_col: str = "source", class_col: str = "class", value: str = "proba",
          eps: float = 1e-12) -> DataFrame:

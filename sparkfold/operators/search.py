@@ -203,6 +203,29 @@ def weight_grid_search(df: DataFrame, y: str, prob_cols: Sequence[str],
     return best.join(F.broadcast(wt), "seq")  # <= 124 rows
 
 
+def fit_ensemble(preds: DataFrame, y: str, key: str = "id", model: str = "model", proba: str = "proba",
+                 k: int = 3, grid=None) -> DataFrame:
+    """Choose the k best models and search their weights (K4 -> K13): (rank, model, weight, threshold, f1).
+
+    ``preds``: long rows (key, model, proba, y).  Models are ranked by their tuned F1, ties
+    by name; which they are is known only at run time, so the rows are turned by rank, not
+    by name.  Fewer than k models give as many rows.  A (key, model) that comes twice is an
+    error; a missing or NULL probability counts as not predicted in a blend that uses it.
+    """
+    per = best_threshold(preds, y, proba, grid, group_cols=[model])
+    top = [r[model] for r in per.orderBy(F.col("f1").desc(), F.col(model)).limit(k).collect()]  # k names
+    cols = [f"_p{r}" for r in range(len(top))]
+    seen = F.count(F.when(F.col(model) == F.lit(top[0]), 1)) if top else F.lit(0)
+    for name in top[1:]:
+        seen = F.greatest(seen, F.count(F.when(F.col(model) == F.lit(name), 1)))
+    wide = preds.where(F.col(model).isin(top)).groupBy(key, y).agg(
+        *[F.max(F.when(F.col(model) == F.lit(name), F.col(proba))).alias(c) for name, c in zip(top, cols)], seen.alias("_seen"))
+    first = F.when(F.col("_seen") > 1, F.raise_error(F.lit(f"a ({key}, {model}) comes more than once")).cast("double")).otherwise(F.col(cols[0]))
+    best = weight_grid_search(wide.withColumn(cols[0], first), y, cols, grid=grid)
+    rows = F.array(*[F.struct(F.lit(r + 1).alias("rank"), F.lit(name).alias(model), F.col(f"w{r}").alias("weight")) for r, name in enumerate(top)])
+    return best.select(F.inline(rows), "threshold", "f1")
+
+
 def topk(df: DataFrame, score: str, order: str, k: int) -> DataFrame:
     """Top-k rows by score, ties in ``order`` (K4).  ``df`` is a bounded run table."""
     return df.orderBy(F.col(score).desc(), F.col(order).asc()).limit(k)

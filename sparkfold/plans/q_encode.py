@@ -399,3 +399,25 @@ def sample_fraction(spark, sf):
 def split_nested(spark, sf):
     eb = fx.view(spark, sf, "entity_base")
     return split.split_nested(eb, "status", 0.2, 0.2, "id", 42, 7).select("id", "is_test")
+
+
+# --- M9 ordered target statistics -----------------------------------------------------------------------------
+ORDERED = ["founder_role", "team_size_category", "education_background"]
+
+
+def _ordered_sql() -> str:
+    head = WF.rstrip() + ",\nmain AS (SELECT * FROM ff WHERE fold != 0), g AS (SELECT avg(y) g FROM main)"
+    w = "(PARTITION BY {c} ORDER BY md5(cast(founder_id AS varchar) || '|42'), founder_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    first = ", ".join(f"round((coalesce(sum(y) OVER {w.format(c=c)}, 0) + (SELECT g FROM g)) / (count(*) OVER {w.format(c=c)} + 1.0), 6) {c}_ots" for c in ORDERED)
+    then = ", ".join(f"round(coalesce((SELECT (sum(y) + (SELECT g FROM g)) / (count(*) + 1.0) FROM main m WHERE m.{c} IS NOT DISTINCT FROM t.{c} HAVING count(*) > 0), "
+                     f"(SELECT g FROM g)), 6) {c}_ots" for c in ORDERED)
+    return f"{head}\nSELECT founder_id, 'train' part, {first} FROM main UNION ALL SELECT founder_id, 'test', {then} FROM ff t WHERE fold = 0"
+
+
+@register("encode_ordered_target", _ordered_sql())
+def encode_ordered_target(spark, sf):
+    """Training rows from the earlier rows of their category, TEST rows from all training rows (M9)."""
+    ff = founders(spark, sf)
+    values, totals = encode.fit_ordered_target(ff.where("fold != 0"), ORDERED, "y", "founder_id")
+    test = encode.apply_ordered_target(ff.where("fold = 0"), totals, ORDERED).select(values.columns)
+    return values.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))

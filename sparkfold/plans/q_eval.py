@@ -269,6 +269,54 @@ def choose_strategy(spark, sf):
     return search.choose_strategy(single, ens)
 
 
+MODELS5 = {"a": 0.6, "b": 0.6, "c": 0.6, "d": 0.7, "e": 0.5}
+
+
+def _five_models(spark, sf):
+    """Long predictions of five models: proba = w * u(id, model) + (1 - w) * y."""
+    base = preds_wide(spark, sf).select("id", "y", "fold")
+    models = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(w).alias("w")) for m, w in MODELS5.items()])).alias("m")
+    rows = base.select("id", "y", "fold", models).select("id", "y", "fold", "m.*")
+    u = F.expr(fx.spark_u("concat(cast(id as string), '|', model)"))
+    return rows.select("id", "y", "fold", "model", (u * F.col("w") + F.col("y") * (1.0 - F.col("w"))).alias("proba"))
+
+
+CHAIN = WP.rstrip() + """,
+ms AS (SELECT * FROM (VALUES """ + ", ".join(f"('{m}', cast({w} AS double))" for m, w in MODELS5.items()) + """) v(model, w)),
+p5 AS (SELECT id, y, fold, model, """ + fx.duck_u("cast(id AS varchar) || '|' || model") + """ * w + y * (1.0 - w) proba FROM pw, ms),
+sc AS (SELECT model, i, """ + _cnt("proba >= cast(10 + i AS double) / 100.0") + """ FROM p5, (SELECT range i FROM range(81)) r WHERE fold != 0 GROUP BY model, i),
+mf AS (SELECT model, max(""" + _f1() + """) f1 FROM sc GROUP BY model),
+top AS (SELECT model, row_number() OVER (ORDER BY f1 DESC, model) rank FROM mf QUALIFY rank <= 3),
+pw3 AS (SELECT id, y, fold, max(CASE WHEN rank = 1 THEN proba END) proba_a, max(CASE WHEN rank = 2 THEN proba END) proba_b,
+  max(CASE WHEN rank = 3 THEN proba END) proba_c FROM p5 JOIN top USING (model) GROUP BY id, y, fold),
+lv AS (SELECT range i FROM range(5)),
+wt AS (SELECT a.i * 25 + b.i * 5 + c.i seq, cast(a.i AS double) / 4.0 wa, cast(b.i AS double) / 4.0 wb,
+  cast(c.i AS double) / 4.0 wc FROM lv a, lv b, lv c WHERE a.i + b.i + c.i > 0),
+wn AS (SELECT seq, wa / (wa + wb + wc) w0, wb / (wa + wb + wc) w1, wc / (wa + wb + wc) w2 FROM wt),
+ens AS (SELECT seq, w0, w1, w2, y, w0 * proba_a + w1 * proba_b + w2 * proba_c p FROM wn, pw3 WHERE fold != 0),
+c AS (SELECT seq, w0, w1, w2, i, cast(10 + i AS double) / 100.0 t, """ + _cnt("p >= cast(10 + i AS double) / 100.0") + """
+  FROM ens, (SELECT range i FROM range(81)) r GROUP BY seq, w0, w1, w2, i),
+gbest AS (SELECT seq, w0, w1, w2, t, """ + _f1() + " f1 FROM c ORDER BY " + _f1() + """ DESC, seq, i LIMIT 1)
+"""
+
+
+@register("ensemble_top3_to_test", CHAIN + "SELECT id, round(w0 * proba_a + w1 * proba_b + w2 * proba_c, 6) proba, round(t, 6) threshold, "
+          "CASE WHEN w0 * proba_a + w1 * proba_b + w2 * proba_c >= t THEN 'Stayed' ELSE 'Left' END label FROM pw3, gbest WHERE fold = 0")
+def ensemble_top3_to_test(spark, sf):
+    """The three best of five models by tuned F1, their weights and threshold searched on the training rows,
+    applied to the test rows (K4, K13, N10)."""
+    p5 = _five_models(spark, sf)
+    found = search.fit_ensemble(p5.where("fold != 0"), "y")
+    test = ensemble.apply_ensemble(p5.where("fold = 0"), found)
+    return test.select("id", "proba", "threshold", F.when(F.col("is_positive") == 1, "Stayed").otherwise("Left").alias("label"))
+
+
+@register("ensemble_top3_weights", CHAIN + "SELECT cast(rank AS bigint) rank, model, round(CASE rank WHEN 1 THEN w0 WHEN 2 THEN w1 ELSE w2 END, 6) weight, "
+          "round(t, 6) threshold, round(f1, 6) f1 FROM top, gbest")
+def ensemble_top3_weights(spark, sf):
+    return search.fit_ensemble(_five_models(spark, sf).where("fold != 0"), "y")
+
+
 @register("argmax_class", WP + """, l AS (SELECT id, 'Left' class, 1.0 - proba_a p FROM pw UNION ALL SELECT id, 'Stayed', proba_a FROM pw)
 SELECT id, class FROM (SELECT id, class, row_number() OVER (PARTITION BY id ORDER BY p DESC, class) rn FROM l) WHERE rn = 1""")
 def argmax_class(spark, sf):

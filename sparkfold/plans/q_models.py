@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from sparkfold.functions import exprs as X
 from sparkfold.functions import features as FT
+from sparkfold.ml import assemble as A
+from sparkfold.ml import boosting
 from sparkfold.ml import models as M
-from sparkfold.operators import impute, metrics, search, split
-from sparkfold.plans.catalog import founders, register
+from sparkfold.operators import encode, impute, metrics, search, split
+from sparkfold.plans.catalog import WF, founders, register
 from sparkfold.session import cut_lineage
 
 NUM = ["founder_age", "years_with_startup", "monthly_revenue_generated", "funding_rounds_led",
@@ -36,6 +38,7 @@ def model_frame(spark, sf) -> DataFrame:
 
 
 NUMS = NUM + ENGINEERED
+DEEPEST = 30  # the reference's forests grow without a limit; this is Spark's own
 
 
 def _train_test(spark, sf):
@@ -43,6 +46,32 @@ def _train_test(spark, sf):
     return df, df.where("fold != 0"), df.where("fold = 0")
 
 
+ASSEMBLED = ["founder_age", "monthly_revenue_generated", "distance_from_investor_hub", "years_since_founding"]
+
+
+def _assemble_sql() -> str:
+    parts = []
+    for c in ASSEMBLED:
+        m = f"(SELECT median({c}) FROM ff WHERE fold != 0)"
+        parts.append(f"SELECT founder_id, '{c}' feature, (coalesce({c}, {m}) - a) / CASE WHEN s = 0 THEN 1.0 ELSE s END v FROM ff, "
+                     f"(SELECT avg(coalesce({c}, {m})) a, stddev_pop(coalesce({c}, {m})) s FROM ff WHERE fold != 0) WHERE fold = 0")
+    for c in CAT:
+        parts.append(f"SELECT founder_id, '{c}_ohe_' || coalesce({c}, 'Missing') feature, 1.0 v FROM ff WHERE fold = 0 AND "
+                     f"coalesce({c}, 'Missing') IN (SELECT coalesce({c}, 'Missing') FROM ff WHERE fold != 0)")
+    return WF + "SELECT founder_id, feature, round(cast(v AS double), 6) AS value FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+@register("assemble_features", _assemble_sql())
+def assemble_features(spark, sf):
+    """TEST rows' vectors, one row for each numeric place and each one-hot place that is set."""
+    from pyspark.ml.functions import vector_to_array
+    df = A.assemble(founders(spark, sf), ASSEMBLED, CAT, "fold != 0")
+    names = F.array(*[F.lit(n) for n in A.feature_names(df)])
+    places = df.where("fold = 0").select("founder_id", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    rows = places.select("founder_id", F.element_at(names, F.col("place") + 1).alias("feature"), "value")
+    return rows.where((F.col("value") != 0) | F.col("feature").isin(ASSEMBLED))
+
+
 @register("ml_logreg")
 def ml_logreg(spark, sf):
     _, train, test = _train_test(spark, sf)
@@ -60,7 +89,7 @@ def ml_linear_svc(spark, sf):
 @register("ml_svc_calibrated")
 def ml_svc_calibrated(spark, sf):
     _, train, test = _train_test(spark, sf)
-    train = split.assign_folds(train, "y", "founder_id", k=3, seed=11, out_col="_cv")
+    train = cut_lineage(split.assign_folds(train, "y", "founder_id", k=3, seed=11, out_col="_cv"))  # read by every fit
     return M.svc_calibrated(train, test, M.feature_stages(NUMS, CAT, scale=True), "y", "founder_id")
 
 
@@ -77,42 +106,70 @@ def ml_rff_svc(spark, sf):
 @register("ml_random_forest")
 def ml_random_forest(spark, sf):
     _, train, test = _train_test(spark, sf)
-    est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=6, maxBins=M.max_bins(train, CAT))
+    est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=DEEPEST, maxMemoryInMB=512, maxBins=M.max_bins(train, CAT))
     return M.fit_score(train, test, M.feature_stages(NUMS, CAT, onehot=False), est, "founder_id")
 
 
+KEPT_FEATURES = 24
+
+
 @register("select_topk_features")
 def select_topk_features(spark, sf):
-    _, train, _ = _train_test(spark, sf)
-    stages = M.feature_stages(NUMS, CAT, onehot=False)
-    model = M.Pipeline(stages=[*stages, M.estimator("rf", labelCol="y", weight="weight", numTrees=200,
-                                                    maxDepth=6, maxBins=M.max_bins(train, CAT))]).fit(train)
-    top = M.top_features(model.stages[-1], NUMS + CAT, k=120)
-    return spark.createDataFrame([(i, n, imp, r + 1) for r, (i, n, imp) in enumerate(top)],
-                                 "feature_index int, feature string, importance double, rank int")
-
+    """Forest importance over the named places of the assembled vector (numerics, one-hot values), the best
+    ``KEPT_FEATURES`` of them sliced by name, a logistic regression refitted on the slice, TEST scored (M6, K5, B14).
 
-def _gbt_parts(spark, sf):
-    df, train, test = _train_test(spark, sf)
-    stages = M.feature_stages(NUMS, CAT, onehot=False)  # raw categorical indices: native splits (M9)
-    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    best, _ = M.gbt_best_rounds(fit_rows, valid, stages, "y", max_iter=40, maxDepth=4, maxBins=M.max_bins(train, CAT))
-    return train, test, stages, best
+    Rows of part ``feature``: rank, feature, importance; of part ``score``: founder_id, proba.
+    """
+    df = model_frame(spark, sf)
+    df = cut_lineage(A.assemble(df, NUMS, CAT, "fold != 0").select("founder_id", "fold", "y", "weight", "features"))
+    train = df.where("fold != 0")
+    forest = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=DEEPEST, maxMemoryInMB=512).fit(train)
+    top = A.top_names(forest.featureImportances.toArray(), A.feature_names(df), KEPT_FEATURES)
+    sliced = A.select_features(df, [name for _, name, _ in top])
+    model = M.estimator("logreg", labelCol="y", weight="weight", featuresCol="selected", maxIter=200).fit(sliced.where("fold != 0"))
+    scores = model.transform(sliced.where("fold = 0")).select("founder_id", M.positive_proba().alias("proba"))
+    features = spark.createDataFrame(top, "rank int, feature string, importance double").withColumn("part", F.lit("feature"))
+    return features.unionByName(scores.withColumn("part", F.lit("score")), allowMissingColumns=True)
+
+
+def boosted_rows(spark, sf) -> DataFrame:
+    """Training and validation rows with categoricals as ordered target statistics (M9): folds 2-4 train, each
+    row from earlier rows only; fold 1 and TEST from the totals of folds 2-4."""
+    df = model_frame(spark, sf)
+    fit_rows, others = df.where("fold > 1"), df.where("fold <= 1")
+    values, totals = encode.fit_ordered_target(fit_rows, CAT, "y", "founder_id")
+    both = fit_rows.join(values, "founder_id").unionByName(encode.apply_ordered_target(others, totals, CAT))
+    names = NUMS + [f"{c}_ots" for c in CAT]
+    vector = M.VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(both)
+    return cut_lineage(vector.select("founder_id", "fold", "y", "weight", "features"))
 
 
 @register("ml_gbt")
-def ml_gbt(spark, sf):
-    train, _, stages, best = _gbt_parts(spark, sf)
-    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    pred = M.gbt_refit(fit_rows, valid, stages, "y", best, "founder_id", maxDepth=4, maxBins=M.max_bins(train, CAT))
-    return pred.withColumn("best_rounds", F.lit(best))
+def ml_gbt(spark, sf, rounds: int = 2000, patience: int = 100):
+    """Boosted trees with early stopping (M7, M9): up to 2,000 rounds, patience 100, step 0.05, depth 6.
+
+    Rows of part ``valid`` and ``test``: founder_id, proba; of part ``round``: the losses of every round that ran.
+    """
+    df = boosted_rows(spark, sf)
+    fitted = boosting.boost(df.where("fold != 0"), "y", F.col("fold") == 1, rounds=rounds, patience=patience)
+    scored = fitted.score(df.where("fold <= 1")).select(
+        F.when(F.col("fold") == 1, "valid").otherwise("test").alias("part"), "founder_id", "proba")
+    history = spark.createDataFrame(fitted.history, "round int, train_loss double, valid_loss double").withColumn("part", F.lit("round"))
+    return scored.unionByName(history, allowMissingColumns=True).withColumn("best_rounds", F.lit(fitted.best_rounds))
 
 
 @register("ml_gbt_refit")
-def ml_gbt_refit(spark, sf):
-    train, test, stages, best = _gbt_parts(spark, sf)
-    return M.gbt_refit(train, test, stages, "y", best, "founder_id", maxDepth=4, maxBins=M.max_bins(train, CAT)) \
-        .withColumn("best_rounds", F.lit(best))
+def ml_gbt_refit(spark, sf, rounds: int = 800, patience: int = 50):
+    """The best round by early stopping on fold 1 (up to 800 rounds, patience 50), then a fit of that many rounds
+    on all training rows; TEST scored (M8).  Categoricals are raw indices: native splits (M9)."""
+    df = model_frame(spark, sf)
+    train = df.where("fold != 0")
+    prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, onehot=False)).fit(train)
+    rows = cut_lineage(prep.transform(df).select("founder_id", "fold", "y", "features"))
+    bins = M.max_bins(train, CAT)
+    best = boosting.boost(rows.where("fold != 0"), "y", F.col("fold") == 1, rounds=rounds, patience=patience, max_bins=bins).best_rounds
+    final = boosting.boost(rows.where("fold != 0"), "y", rounds=best, max_bins=bins)
+    return final.score(rows.where("fold = 0")).select("founder_id", "proba", F.lit(best).alias("best_rounds"))
 
 
 @register("ml_adaboost")
@@ -184,7 +241,7 @@ def ml_oof(spark, sf):
     """Five inner folds over the training part: OOF probabilities for every training row,
     test probabilities averaged over the five fold models (M17)."""
     _, train, test = _train_test(spark, sf)
-    inner = split.assign_folds(train.drop("fold"), "y", "founder_id", k=5, seed=7)
+    inner = cut_lineage(split.assign_folds(train.drop("fold"), "y", "founder_id", k=5, seed=7))  # read by every fit
     oof, tmean = M.oof_predictions(
         inner, test, lambda: M.feature_stages(NUMS, CAT, scale=True),
         lambda: M.estimator("logreg", labelCol="y", weight="weight", maxIter=200),
