@@ -130,51 +130,6 @@ def oof_predictions(df: DataFrame, test: DataFrame | None, stages_fn: Callable[[
     return oof, tmean
 
 
-# --- calibrated linear SVM (M3) and random Fourier features (M4) ------------------------------------------------------
-def svc_reg(train: DataFrame, C: float) -> float:
-    """LinearSVC's regParam for a penalty C per row (M2): 1 / (C * rows)."""
-    return 1.0 / (C * max(1, train.count()))
-
-
-def svc_calibrated(train: DataFrame, test: DataFrame, stages: list, label: str, id_col: str,
-                   C: float = 0.5, cv: int = 3, cv_col: str = "_cv") -> DataFrame:
-    """Per CV fold: LinearSVC on the other folds, a one-feature logistic regression of
-    the label on the held-out margins; test probability = mean over the cv models."""
-    parts = []
-    reg = svc_reg(train, C) * cv / (cv - 1)  # each fold's model sees (cv - 1) / cv of the rows
-    for f in range(cv):
-        tr, ho = train.where(F.col(cv_col) != f), train.where(F.col(cv_col) == f)
-        svc = Pipeline(stages=[*stages, LinearSVC(regParam=reg, labelCol=label, maxIter=100)]).fit(tr)
-        m_ho = svc.transform(ho).select(F.col(label), array_to_vector(F.array(margin())).alias("m"))
-        platt = LogisticRegression(featuresCol="m", labelCol=label, maxIter=100).fit(m_ho)
-        m_te = svc.transform(test).select(id_col, array_to_vector(F.array(margin())).alias("m"))
-        p = platt.transform(m_te).select(id_col, positive_proba().alias("proba"))
-        parts.append(p)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(id_col).agg(F.avg("proba").alias("proba"))
-
-
-def fourier_features(df: DataFrame, in_col: str, dim: int, n_components: int = 64, gamma: float = 0.1,
-                     seed: int = 42, out: str = "rff") -> DataFrame:
-    """z(x) = sqrt(2/D) cos(Wx + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi): an RBF kernel map
-    (fixed random matrix), one matrix product per Arrow batch."""
-    import numpy as np
-    import pandas as pd
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, dim))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    scale = math.sqrt(2.0 / n_components)
-
-    def project(x: pd.Series) -> pd.Series:
-        z = scale * np.cos(np.stack(x.to_numpy()) @ W.T + b)
-        return pd.Series(list(z))
-
-    udf = F.pandas_udf(project, "array<double>")
-    return df.withColumn(out, array_to_vector(udf(vector_to_array(F.col(in_col)))))
-
-
 # --- AdaBoost with weighted stumps (M10) ------------------------------------------------------------------------------
 def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds: int = 50,
              features: str = FEATURES, checkpoint_every: int = 3) -> DataFrame:
@@ -215,20 +170,6 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
     return out.select(id_col, score.alias("score"), (1 / (1 + F.exp(-2 * mean))).alias("proba"))
 
 
-# --- MLP with weighted resampling (M11) -------------------------------------------------------------------------------
-def replicate_by_weight(df: DataFrame, label: str) -> DataFrame:
-    """MLP has no weightCol: replicate each row w_class / min w times.  The whole part goes to every row,
-    the remainder to that share of the rows, picked by a hash of the row."""
-    w = add_class_weight(df, label, "_cw")
-    mn = w.agg(F.min("_cw").alias("_m"))
-    ratio = F.col("_cw") / F.col("_m")
-    parts = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float", "string", "boolean", "date", "timestamp")]
-    share = F.pmod(F.xxhash64(*parts), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    extra = (share < ratio - F.floor(ratio + 1e-9)).cast("int")
-    w = w.crossJoin(F.broadcast(mn)).withColumn("_r", F.floor(ratio + 1e-9).cast("int") + extra)
-    return w.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_r")))).drop("_cw", "_m", "_r", "_copy")
-
-
 # --- random configuration draws (M13, randomised search) ----------------------------------------------------------
 def random_configs(space: dict[str, Sequence], n: int, seed: int = 42) -> list[dict]:
     """``n`` seeded draws from a discrete search space (a bounded list of settings)."""

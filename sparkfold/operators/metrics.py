@@ -132,3 +132,20 @@ def mutual_info(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     j = joint.join(nx, ["column", "value"]).join(ny, ["column", y]).join(n, "column")
     term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
     return j.groupBy("column").agg(F.sum(term).alias("mutual_info"))
+
+
+def top_mutual_info(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], y: str, k: int = 75, bins: int = 5) -> DataFrame:
+    """(column, mutual_info, rank) of the k features that tell most about the target, ties by name.
+
+    Numerics go in as exact quantile bins (:mod:`binning`; a missing value is a bin of its
+    own, a column with one value is one bin), and one contingency aggregate serves all
+    columns.  The frame is read twice: for the bin edges and for the counts.
+    """
+    from pyspark.sql import Window
+    from sparkfold.operators import binning
+    edges = binning.fit_quantile_bins(df, num_cols, q=bins)
+    binned = binning.apply_quantile_bins(df.select(*num_cols, *cat_cols, y), edges, num_cols, q=bins, suffix="__mi").drop(*num_cols)
+    binned = binned.withColumnsRenamed({f"{c}__mi": c for c in num_cols})
+    found = mutual_info(binned, [*num_cols, *cat_cols], y)
+    order = Window.orderBy(F.col("mutual_info").desc(), "column")  # one row a feature
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -8,6 +8,7 @@ from sparkfold.functions import exprs as X
 from sparkfold.operators import ensemble, metrics, neighbors, search, split
 from sparkfold.plans import fixtures as fx
 from sparkfold.plans.catalog import WE, WF, WP, WPL, W, EE, PW, entities, founders, preds_long, preds_wide, register, entity_rows, founder_rows
+from sparkfold.session import shared_folder
 from sparkfold.sources import io
 
 CLASSES = ["Left", "Stayed"]
@@ -136,6 +137,35 @@ def feature_mutual_info(spark, sf):
     return metrics.mutual_info(ff, ["founder_role", "startup_stage", "team_size_category"], "y")
 
 
+MI_NUM = ["founder_age", "years_with_startup", "monthly_revenue_generated", "funding_rounds_led", "distance_from_investor_hub",
+          "num_dependents", "years_since_founding"]
+MI_CAT = ["work_life_balance_rating", "venture_satisfaction", "startup_performance_rating", "startup_reputation", "founder_visibility",
+          "founder_role", "education_background", "personal_status", "startup_stage", "team_size_category", "founder_gender",
+          "working_overtime", "remote_operations", "innovation_support"]
+
+
+def _mi_all_sql() -> str:
+    parts = []
+    for c in MI_NUM:
+        e = f"(SELECT quantile_cont({c}, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) FROM ff WHERE {c} IS NOT NULL)"
+        # right-closed bins over the distinct edges: how many inner edges lie below the value
+        parts.append(f"SELECT '{c}' c, cast(CASE WHEN {c} IS NULL THEN NULL ELSE greatest(len(list_filter(list_distinct({e}), lambda x: x < {c})) - 1, 0) END AS varchar) v, y FROM ff")
+    parts += [f"SELECT '{c}', {c}, y FROM ff" for c in MI_CAT]
+    return WF + ", l AS (" + " UNION ALL ".join(parts) + """),
+j AS (SELECT c, v, y, count(*) nxy FROM l GROUP BY ALL),
+x AS (SELECT c, v, sum(nxy) nx FROM j GROUP BY ALL), yy AS (SELECT c, y, sum(nxy) ny FROM j GROUP BY ALL),
+n AS (SELECT c, sum(nxy) n FROM j GROUP BY c),
+mi AS (SELECT j.c, sum((nxy / n.n) * ln((nxy * n.n) / (nx * ny))) m
+FROM j JOIN x ON j.c = x.c AND j.v IS NOT DISTINCT FROM x.v JOIN yy ON j.c = yy.c AND j.y = yy.y JOIN n ON j.c = n.c GROUP BY j.c)
+SELECT c "column", round(m, 6) mutual_info, row_number() OVER (ORDER BY m DESC, c) rank FROM mi QUALIFY rank <= 12"""
+
+
+@register("feature_mutual_info_top", _mi_all_sql())
+def feature_mutual_info_top(spark, sf):
+    """Mutual information of all features, numerics in exact quintile bins, and the twelve highest."""
+    return metrics.top_mutual_info(founder_rows(spark, sf), MI_NUM, MI_CAT, "y", k=12)
+
+
 # --- K searches ----------------------------------------------------------------------------------------------
 def _thr_sql(src: str, p: str, start: int, count: int, denom: int, y: str = "y") -> str:
     return (f"SELECT i, cast({start} + i AS double) / {denom}.0 t, " + _cnt(f"{p} >= cast({start} + i AS double) / {denom}.0", y) +
@@ -476,11 +506,10 @@ def multi_threshold_labels(spark, sf):
     tuned = search.best_threshold(pw, "y", "proba_a").select(F.lit("tuned").alias("tag"), "threshold")
     band = spark.createDataFrame([(t,) for t in BAND], "threshold double").select(
         X.threshold_tag(F.col("threshold"), 2).alias("tag"), "threshold")
-    ths = F.broadcast(tuned.unionByName(band))  # six thresholds
-    test = pw.where("fold = 0")
-    out = test.crossJoin(ths)
-    return out.select("tag", "threshold", "id",
-                      X.threshold_label("proba_a", F.col("threshold"), "Stayed", "Left").alias("label"))
+    ths = tuned.unionByName(band)  # six thresholds
+    path = shared_folder(spark, "by-threshold")
+    io.write_by_threshold(pw.where("fold = 0"), ths, path, "proba_a", "Stayed", "Left")
+    return io.read_by_threshold(spark, path).select("tag", "threshold", "id", "label")
 
 
 OFFSETS = [-0.2, -0.1, 0.0, 0.1, 0.2]
@@ -494,10 +523,11 @@ def offset_threshold_labels(spark, sf):
     m = _margins(spark, sf)
     best = search.best_threshold_margin(m, "y", "s", 300)
     offs = spark.createDataFrame([(o,) for o in OFFSETS], "o double")
-    ths = F.broadcast(best.crossJoin(offs).select((F.col("threshold") + F.col("o")).alias("th")))
-    out = m.where("fold = 0").crossJoin(ths)
-    return out.select(X.threshold_tag(F.col("th"), 4).alias("tag"), F.col("th").alias("threshold"), "id",
-                      X.threshold_label("s", F.col("th"), "Stayed", "Left").alias("label"))
+    ths = best.crossJoin(offs).select((F.col("threshold") + F.col("o")).alias("threshold"))
+    ths = ths.select(X.threshold_tag(F.col("threshold"), 4).alias("tag"), "threshold")
+    path = shared_folder(spark, "by-offset")
+    io.write_by_threshold(m.where("fold = 0"), ths, path, "s", "Stayed", "Left")
+    return io.read_by_threshold(spark, path).select("tag", "threshold", "id", "label")
 
 
 LEFT_OUT = ["lineitem", "orders"]

@@ -3,14 +3,17 @@ model quality is asserted against the majority-class baseline in the tests."""
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.functions import exprs as X
 from sparkfold.functions import features as FT
 from sparkfold.ml import assemble as A
-from sparkfold.ml import boosting
+from sparkfold.ml import boosting, mlp, svm
 from sparkfold.ml import models as M
+from sparkfold.ml.sums import side_by_side
 from sparkfold.operators import encode, impute, metrics, search, split
 from sparkfold.plans.catalog import WF, founders, register
 from sparkfold.session import cut_lineage
@@ -79,28 +82,34 @@ def ml_logreg(spark, sf):
     return M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
 
 
+def _scaled(spark, sf) -> DataFrame:
+    """All rows with the assembled vector (numerics scaled on the training rows, one-hot sparse), stored."""
+    df = A.assemble(model_frame(spark, sf), NUMS, CAT, "fold != 0")
+    return cut_lineage(df.select("founder_id", "fold", "y", "weight", "features"))
+
+
 @register("ml_linear_svc")
 def ml_linear_svc(spark, sf):
-    _, train, test = _train_test(spark, sf)
-    est = M.estimator("svc", labelCol="y", regParam=M.svc_reg(train, C=1.0), weight="weight")
-    return M.fit_score(train, test, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id", score="margin")
+    """Squared-hinge linear SVM, C = 1, balanced weights: margins of the test rows (M2)."""
+    df = _scaled(spark, sf)
+    svc = svm.squared_hinge(df.where("fold != 0"), "y", C=1.0, weight="weight")
+    return svc.score(df.where("fold = 0")).select("founder_id", "margin")
 
 
 @register("ml_svc_calibrated")
 def ml_svc_calibrated(spark, sf):
-    _, train, test = _train_test(spark, sf)
-    train = cut_lineage(split.assign_folds(train, "y", "founder_id", k=3, seed=11, out_col="_cv"))  # read by every fit
-    return M.svc_calibrated(train, test, M.feature_stages(NUMS, CAT, scale=True), "y", "founder_id")
+    """Linear SVM with C = 0.5, calibrated over three folds (M3)."""
+    df = _scaled(spark, sf)
+    return svm.calibrated(df.where("fold != 0"), df.where("fold = 0"), "y", "founder_id", C=0.5)
 
 
 @register("ml_rff_svc")
 def ml_rff_svc(spark, sf):
-    df, _, _ = _train_test(spark, sf)
-    prep = M.Pipeline(stages=M.feature_stages(NUMS, [], scale=True, out="scaled")).fit(df.where("fold != 0"))
-    z = M.fourier_features(prep.transform(df), "scaled", len(NUMS), n_components=64, gamma=0.1)
-    z = cut_lineage(z.select("founder_id", "fold", "y", F.col("rff").alias("features")))
-    train = split.assign_folds(z.where("fold != 0"), "y", "founder_id", k=3, seed=11, out_col="_cv")
-    return M.svc_calibrated(train, z.where("fold = 0"), [], "y", "founder_id")
+    """RBF SVM with C = 3, gamma "scale" and probabilities, over all columns; the kernel map is Nyström's (M4)."""
+    df = _scaled(spark, sf)
+    mapped = svm.nystroem(df.where("fold != 0"), df, "founder_id")
+    mapped = cut_lineage(mapped.select("founder_id", "fold", "y", F.col("kernel").alias("features")))
+    return svm.calibrated(mapped.where("fold != 0"), mapped.where("fold = 0"), "y", "founder_id", C=3.0)
 
 
 @register("ml_random_forest")
@@ -182,50 +191,70 @@ def ml_adaboost(spark, sf):
 
 @register("ml_mlp")
 def ml_mlp(spark, sf):
-    _, train, test = _train_test(spark, sf)
-    stages = M.feature_stages(NUMS, CAT, scale=True)
-    prep = M.Pipeline(stages=stages).fit(train)
-    n_in = len(prep.transform(train.limit(1)).first()["features"])  # vector width: one row
-    est = M.estimator("mlp", labelCol="y", layers=[n_in, 128, 64, 2], maxIter=30, blockSize=128)
-    fitted = est.fit(prep.transform(M.replicate_by_weight(train, "y")))
-    pred = fitted.transform(prep.transform(test))
-    return pred.select("founder_id", M.positive_proba().alias("proba"))
+    """Hidden layers 128 and 64, balanced weights in the loss, up to 200 epochs with patience 10.
+
+    Rows of part ``test``: founder_id, proba; of part ``epoch``: the validation loss of every epoch that ran.
+    """
+    df = _scaled(spark, sf)
+    net = mlp.fit(df.where("fold != 0"), "y", "founder_id", (128, 64), weight="weight", batch=64)
+    scored = net.score(df.where("fold = 0")).select(F.lit("test").alias("part"), "founder_id", "proba")
+    history = spark.createDataFrame(net.history, "epoch int, valid_loss double").withColumn("part", F.lit("epoch"))
+    return scored.unionByName(history, allowMissingColumns=True).withColumn("best_epoch", F.lit(net.best_epoch))
+
+
+#: The reference's four networks: hidden layers, shrinkage, learning rate, batch size.
+NETWORKS = [((256, 128, 64), 1e-4, 3e-4, 128), ((256, 128), 5e-4, 3e-4, 128), ((128, 64), 1e-4, 1e-3, 64), ((256, 256, 128), 5e-5, 3e-4, 128)]
+
+
+def _run_table(runs: list[tuple[dict, DataFrame]], rows: DataFrame) -> DataFrame:
+    """Tuned-threshold F1 of each setting on the rows it scored, the first maximum marked (K8, K6).
+
+    ``runs``: (columns of the run table, scores (founder_id, proba)); ``rows``: (founder_id, y)."""
+    parts = []
+    for seq, (columns, scores) in enumerate(runs):
+        best = search.best_threshold(scores.join(rows, "founder_id"), "y", "proba")
+        parts.append(best.select(F.lit(seq).alias("seq"), *[F.lit(v).alias(c) for c, v in columns.items()], "threshold", "f1"))
+    table = reduce(DataFrame.unionByName, parts)
+    winner = search.first_best(table, "f1", "seq").select(F.col("seq").alias("_win"))
+    return table.crossJoin(F.broadcast(winner)).withColumn("is_best", (F.col("seq") == F.col("_win")).cast("int")).drop("_win")
 
 
 @register("ml_config_search")
 def ml_config_search(spark, sf):
-    """Three regularisation settings, one shared split (fold 1 validates), tuned-threshold F1 each,
-    best = first maximum (M13, K6)."""
-    _, train, _ = _train_test(spark, sf)
-    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    runs = None
-    for seq, reg in enumerate([0.0, 0.01, 0.1]):
-        est = M.estimator("logreg", labelCol="y", weight="weight", regParam=reg, maxIter=200)
-        p = M.fit_score(fit_rows, valid, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
-        scored = p.join(valid.select("founder_id", "y"), "founder_id")
-        best = search.best_threshold(scored, "y", "proba").select(
-            F.lit(seq).alias("seq"), F.lit(reg).alias("reg_param"), "threshold", "f1")
-        runs = best if runs is None else runs.unionByName(best)
-    winner = search.first_best(runs, "f1", "seq").select(F.col("seq").alias("_win"))
-    return runs.crossJoin(F.broadcast(winner)).select(
-        "seq", "reg_param", "threshold", "f1", (F.col("seq") == F.col("_win")).cast("int").alias("is_best"))
+    """The reference's four networks, fitted side by side on folds 2-4, compared on fold 1."""
+    df = _scaled(spark, sf)
+    fit_rows, valid = df.where("fold > 1"), df.where("fold = 1")
+
+    def one(hidden, alpha, rate, batch):
+        net = mlp.fit(fit_rows, "y", "founder_id", hidden, weight="weight", alpha=alpha, rate=rate, batch=batch)
+        columns = {"hidden": "-".join(map(str, hidden)), "alpha": alpha, "rate": rate, "batch": batch, "best_epoch": net.best_epoch}
+        return columns, net.score(valid).select("founder_id", "proba")
+
+    runs = side_by_side([partial(one, *setting) for setting in NETWORKS])
+    return _run_table(runs, valid.select("founder_id", "y"))
 
 
 @register("ml_fraction_study")
 def ml_fraction_study(spark, sf):
-    """Train on stratified fractions of the training part; F1 on the validation fold."""
-    _, train, _ = _train_test(spark, sf)
-    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    runs = None
-    for seq, frac in enumerate([0.2, 0.5, 1.0]):
-        sub = split.sample_fraction(fit_rows, "y", frac, "founder_id", seed=42)
-        est = M.estimator("logreg", labelCol="y", weight="weight", maxIter=200)
-        p = M.fit_score(sub, valid, M.feature_stages(NUMS, CAT, scale=True), est, "founder_id")
-        scored = p.join(valid.select("founder_id", "y"), "founder_id")
-        best = search.best_threshold(scored, "y", "proba").select(
-            F.lit(seq).alias("seq"), F.lit(frac).alias("fraction"), "threshold", "f1")
-        runs = best if runs is None else runs.unionByName(best)
-    return runs
+    """RBF SVM on 0.2 and 0.5, network on 0.2, 0.5 and 1.0 of the training rows (stratified), compared on fold 1;
+    the best fraction of each model is marked (M14, H4)."""
+    df = _scaled(spark, sf)
+    fit_rows, valid = df.where("fold > 1"), df.where("fold = 1")
+    mapped = cut_lineage(svm.nystroem(fit_rows, df, "founder_id").select("founder_id", "fold", "y", F.col("kernel").alias("features")))
+
+    def machine(frac):
+        part = split.sample_fraction(mapped.where("fold > 1"), "y", frac, "founder_id", seed=42)
+        scores = svm.calibrated(part, mapped.where("fold = 1"), "y", "founder_id", C=3.0)
+        return {"model": "svm", "fraction": frac}, scores
+
+    def network(frac):
+        part = cut_lineage(split.sample_fraction(fit_rows, "y", frac, "founder_id", seed=42))
+        net = mlp.fit(part, "y", "founder_id", (128, 64), batch=256, epochs=80)
+        return {"model": "mlp", "fraction": frac}, net.score(valid).select("founder_id", "proba")
+
+    runs = side_by_side([*(partial(machine, f) for f in (0.2, 0.5)), *(partial(network, f) for f in (0.2, 0.5, 1.0))])
+    rows = valid.select("founder_id", "y")
+    return _run_table(runs[:2], rows).unionByName(_run_table(runs[2:], rows))
 
 
 @register("ml_refit_score")
@@ -252,23 +281,15 @@ def ml_oof(spark, sf):
 
 @register("ml_random_search")
 def ml_random_search(spark, sf):
-    """Randomised MLP search: seeded draws of hidden layers and iterations, tuned-threshold F1
-    on the validation fold, first maximum wins (M13 with random draws)."""
-    _, train, _ = _train_test(spark, sf)
-    fit_rows, valid = train.where("fold != 1"), train.where("fold = 1")
-    prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, scale=True)).fit(fit_rows)
-    n_in = len(prep.transform(fit_rows.limit(1)).first()["features"])  # vector width: one row
-    space = {"hidden": [(32,), (64,), (128, 64)], "max_iter": [20, 30]}
-    fit_prepped = prep.transform(M.replicate_by_weight(fit_rows, "y"))
-    val_prepped = prep.transform(valid)
-    runs = None
-    for seq, cfg in enumerate(M.random_configs(space, 3, seed=42)):
-        est = M.estimator("mlp", labelCol="y", layers=[n_in, *cfg["hidden"], 2], maxIter=cfg["max_iter"])
-        pred = est.fit(fit_prepped).transform(val_prepped).select("y", M.positive_proba().alias("proba"))
-        best = search.best_threshold(pred, "y", "proba").select(
-            F.lit(seq).alias("seq"), F.lit("-".join(map(str, cfg["hidden"]))).alias("hidden"),
-            F.lit(cfg["max_iter"]).alias("max_iter"), "threshold", "f1")
-        runs = best if runs is None else runs.unionByName(best)
-    winner = search.first_best(runs, "f1", "seq").select(F.col("seq").alias("_win"))
-    return runs.crossJoin(F.broadcast(winner)).select(
-        "seq", "hidden", "max_iter", "threshold", "f1", (F.col("seq") == F.col("_win")).cast("int").alias("is_best"))
+    """Randomised network search: six seeded draws of layers, learning rate, shrinkage and batch size, fitted side by
+    side, tuned-threshold F1 on fold 1, first maximum wins (M13 with random draws)."""
+    df = _scaled(spark, sf)
+    fit_rows, valid = df.where("fold > 1"), df.where("fold = 1")
+    space = {"hidden": [(64,), (128, 64), (256, 128)], "rate": [3e-4, 1e-3, 3e-3], "alpha": [1e-5, 1e-4, 1e-3], "batch": [64, 128]}
+
+    def one(cfg):
+        net = mlp.fit(fit_rows, "y", "founder_id", cfg["hidden"], weight="weight", alpha=cfg["alpha"], rate=cfg["rate"], batch=cfg["batch"])
+        return {**cfg, "hidden": "-".join(map(str, cfg["hidden"]))}, net.score(valid).select("founder_id", "proba")
+
+    runs = side_by_side([partial(one, cfg) for cfg in M.random_configs(space, 6, seed=42)])
+    return _run_table(runs, valid.select("founder_id", "y"))

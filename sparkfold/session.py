@@ -63,13 +63,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in ``spark.checkpoint.dir`` (nothing is created yet)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame once, as Parquet in ``spark.checkpoint.dir``, and read it back.
 
     Later plans start from the files, survive lost executors and read only the columns they use.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frame-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "frame")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -64,6 +64,26 @@ def load_pipeline_model(path: str):
     return PipelineModel.load(path)
 
 
+def write_by_threshold(scores: DataFrame, thresholds: DataFrame, path: str, score: str, positive: str, negative: str,
+                       keep: Sequence[str] = ("id",)) -> None:
+    """Labels at several thresholds, one folder ``tag=...`` each, in one pass over the scores.
+
+    ``thresholds``: a few rows (tag, threshold), tags distinct and usable as folder names.
+    Only the folders of the given tags are overwritten, so a later call with other tags
+    adds to the path.  A NULL score gets the negative label.
+    """
+    few = F.broadcast(thresholds.select("tag", F.col("threshold").cast("double").alias("threshold")))
+    label = F.when(F.col(score) >= F.col("threshold"), F.lit(positive)).otherwise(F.lit(negative))
+    rows = scores.select(*keep, score).crossJoin(few).select(*keep, "threshold", label.alias("label"), "tag")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tag").parquet(path)
+
+
+def read_by_threshold(spark: SparkSession, path: str, tags: Sequence[str] | None = None) -> DataFrame:
+    """Rows written by :func:`write_by_threshold`; only the folders of the given tags are listed and read."""
+    df = spark.read.option("basePath", path).parquet(*[f"{path}/tag={t}" for t in tags]) if tags else spark.read.parquet(path)
+    return df.withColumn("tag", F.col("tag").cast("string"))
+
+
 # --- A3 template fill -------------------------------------------------------------------------
 def template_fill(template: DataFrame, preds: DataFrame, key: str) -> DataFrame:
     """Overwrite the template's last column by a key join (not by row position)."""

@@ -78,3 +78,25 @@ def test_broadcast_needs_few_rows_and_few_bytes(spark):
         finally:
             spark.conf.unset(key)
     cached.unpersist()
+
+
+def test_ordered_target_uses_earlier_rows_only(spark):
+    """One category holds most rows and spans many partitions; a NULL label counts for nothing; missing is a category."""
+    import hashlib
+    rows = [(i, "hot" if i % 3 else None, i % 2 if i != 7 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, c string, y int").repartition(4)
+    values, totals = encode.fit_ordered_target(df, ["c", "absent"], "y", "id", prior_rows=2.0, seed=1)
+    labels = [y for _, _, y in rows if y is not None]
+    g, seen, want = sum(labels) / len(labels), {}, {}
+    for i, c, y in sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}|1".encode()).hexdigest(), r[0])):
+        s, n = seen.get(c, (0, 0))
+        want[i] = (s + 2 * g) / (n + 2)
+        if y is not None:
+            seen[c] = (s + y, n + 1)
+    got = {r.id: r.c_ots for r in values.collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-12
+    new = spark.createDataFrame([(1, "hot"), (2, None), (3, "new")], "id long, c string")
+    out = {r.id: r.c_ots for r in encode.apply_ordered_target(new, totals, ["c"]).collect()}
+    assert abs(out[1] - (seen["hot"][0] + 2 * g) / (seen["hot"][1] + 2)) < 1e-12
+    assert abs(out[2] - (seen[None][0] + 2 * g) / (seen[None][1] + 2)) < 1e-12 and abs(out[3] - g) < 1e-12
+    assert encode.fit_ordered_target(df.limit(0), ["c"], "y", "id")[0].count() == 0

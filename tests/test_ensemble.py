@@ -71,3 +71,21 @@ def test_blends_refuse_bad_sources(spark):
                 ensemble.align_to_ids(preds.select("id").distinct(), twice, ["x"])):
         with pytest.raises(Exception, match="more than once"):
             out.collect()
+
+
+def test_searched_ensemble_is_applied_to_new_rows(spark):
+    from sparkfold.operators import search
+    rows = [(i, m, p, i % 2) for i in range(40) for m, p in (("good", 0.9 * (i % 2) + 0.05), ("bad", 0.5), ("worse", 0.9 - 0.8 * (i % 2)), ("fair", 0.3 + 0.3 * (i % 2)))]
+    preds = spark.createDataFrame(rows, "id long, model string, proba double, y int")
+    found = search.fit_ensemble(preds, "y", k=3)
+    got = found.orderBy("rank").collect()
+    assert [r.model for r in got][:2] == ["fair", "good"] and len(got) == 3 and got[0].f1 == 1.0  # equal F1: by name
+    out = ensemble.apply_ensemble(preds.drop("y"), found)
+    assert {r.id: r.is_positive for r in out.collect()} == {i: i % 2 for i in range(40)}
+    two = search.fit_ensemble(preds.where("model in ('good', 'bad')"), "y", k=3)
+    assert two.count() == 2
+    for bad in (preds.where("not (id = 3 and model = 'fair')"), preds.unionByName(preds.where("id = 3"))):
+        with pytest.raises(Exception, match="exactly one"):
+            ensemble.apply_ensemble(bad, found).collect()
+    with pytest.raises(Exception, match="more than once"):
+        search.fit_ensemble(preds.unionByName(preds.where("id = 3")), "y").collect()
