@@ -15,16 +15,18 @@ one tree and two losses a round.
 
 from __future__ import annotations
 
+import math
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.util import Identifiable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkfold.ml.sums import sized
 from sparkfold.session import cut_lineage
 
 #: Hessians below this count as this, so a row that is certain still has a weight.
@@ -63,22 +65,19 @@ def as_model(trees: list, step: float, features: str) -> GBTClassificationModel
     """One Spark ML model of the given trees (it can be saved as any other)."""
     if not trees:
         return None
-    gateway = trees[0]._sc._gateway if hasattr(trees[0], "_sc") else None
-    from pyspark import SparkContext
     sc = SparkContext._active_spark_context
-    gateway = gateway or sc._gateway
+    gateway = sc._gateway
     held = gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
     weights = gateway.new_array(sc._jvm.double, len(trees))
     for i, t in enumerate(trees):
         held[i], weights[i] = t._java_obj, float(step)
-    uid = Identifiable._randomUID() if hasattr(Identifiable, "_randomUID") else "boosted"
-    java = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(str(uid), held, weights)
+    java = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"boosted_{uuid.uuid4().hex[:12]}", held, weights)
     return GBTClassificationModel(java).setFeaturesCol(features)
 
 
 def boost(rows: DataFrame, label: str, valid: Column | None = None, weight: str | None = None, features: str = "features",
           rounds: int = 2000, patience: int = 100, step: float = 0.05, depth: int = 6, row_share: float = 0.8,
-          column_share: float = 0.8, max_bins: int = 32, seed: int = 42, store_every: int = 25) -> Boosted:
+          column_share: float = 0.8, max_bins: int = 32, seed: int = 42, store_every: int = 10) -> Boosted:
     """Boost on the rows where ``valid`` is false, watch the loss where it is true.
 
     Without ``valid`` all rows train and all ``rounds`` run (the refit of M8).  Each tree
@@ -90,18 +89,17 @@ def boost(rows: DataFrame, label: str, valid: Column | None = None, weight: str
     part = F.coalesce(valid, F.lit(None)).cast("int") if valid is not None else F.lit(0)
     rows = rows.select(features, F.col(label).cast("double").alias("_y"), w.alias("_w"), part.alias("_valid")).where("_y is not null and _valid is not null")
     train = F.col("_valid") == 0
-    start = rows.agg(F.sum(F.when(train, F.col("_w"))).alias("n"), F.sum(F.when(train, F.col("_w") * F.col("_y"))).alias("pos")).first()
+    start = rows.agg(F.count("_y").alias("rows"), F.sum(F.when(train, F.col("_w"))).alias("n"), F.sum(F.when(train, F.col("_w") * F.col("_y"))).alias("pos")).first()
     if not start["n"]:
         raise ValueError("no training rows")
     share = min(max(start["pos"] / start["n"], 1e-6), 1 - 1e-6)
-    from math import log
-    base = log(share / (1 - share))
+    base = math.log(share / (1 - share))
     p = sigmoid(F.col("_margin"))
     hessian = F.greatest(p * (1 - p), F.lit(LEAST_HESSIAN))
     loss = F.col("_w") * log_loss(F.col("_y"), F.col("_margin"))
     watch = [F.sum(F.when(c, loss)) / F.sum(F.when(c, F.col("_w"))) for c in (train, ~train)] + [F.sum(F.when(train, F.col("_w") * hessian))]
 
-    held = cut_lineage(rows.withColumn("_margin", F.lit(base))).persist(StorageLevel.MEMORY_AND_DISK)
+    held = sized(cut_lineage(rows.withColumn("_margin", F.lit(base))), start["rows"]).persist(StorageLevel.MEMORY_AND_DISK)
     trees, best_round = [], 0
     losses = held.agg(*[c.alias(f"c{i}") for i, c in enumerate(watch)]).first()
     history, best = [(0, losses[0], losses[1])], losses[1]
@@ -115,7 +113,7 @@ def boost(rows: DataFrame, label: str, valid: Column | None = None, weight: str
         trees.append(tree)
         moved = tree.setPredictionCol("_tree").transform(held).withColumn("_margin", F.col("_margin") + F.lit(step) * F.col("_tree")).drop("_tree")
         if len(trees) % store_every == 0:
-            moved = cut_lineage(moved)
+            moved = sized(cut_lineage(moved), start["rows"])
         moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
         losses = moved.agg(*[c.alias(f"c{i}") for i, c in enumerate(watch)]).first()
         held.unpersist()

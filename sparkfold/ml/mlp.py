@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.ml.sums import as_arrays, matrix, total
+from sparkfold.ml.sums import as_arrays, matrix, sized, total
 
 
 def shapes(layers: Sequence[int]) -> list[tuple[int, int]]:
@@ -101,7 +101,7 @@ def fit(df: DataFrame, label: str, key: str, hidden: Sequence[int], weight: str
     """
     held_out = (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < F.lit(round(10_000 * valid_share))).cast("double")
     rows = df.where(F.col(label).isNotNull()).withColumns({"_w": F.col(weight) if weight else F.lit(1.0), "_v": held_out})
-    rows = as_arrays(rows, features, label, "_w", "_v")
+    rows = sized(as_arrays(rows, features, label, "_w", "_v"))
     first = rows.select(F.size("_x").alias("n")).first()
     if first is None:
         raise ValueError("no rows to fit")

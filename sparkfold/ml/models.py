@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.operators.metrics import add_class_weight
+from sparkfold.ml.sums import sized
 from sparkfold.session import cut_lineage
 
 FEATURES = "features"
@@ -140,7 +141,7 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
     executor recomputes at most a few rounds.  Returns (id, score, proba) on test.
     """
     n = train.count()
-    cur = cut_lineage(train.withColumn("_w", F.lit(1.0 / n)))
+    cur = sized(cut_lineage(train.withColumn("_w", F.lit(1.0 / n))), n)
     learners = []
     for t in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, labelCol=label, featuresCol=features, weightCol="_w").fit(cur)
@@ -159,7 +160,7 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
         cur = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(next_total)) \
             .drop("prediction", "rawPrediction", "probability", "_miss")
         if (t + 1) % checkpoint_every == 0:
-            cur = cut_lineage(cur)
+            cur = sized(cut_lineage(cur), n)
     # all stumps score in one chain of projections, each with columns of its own
     out, score = test.select(id_col, features), F.lit(0.0)
     for i, (stump, alpha) in enumerate(learners):

@@ -27,6 +27,14 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def sized(df: DataFrame, rows: int | None = None, rows_per_task: int = 20_000) -> DataFrame:
+    """``df`` in tasks of at least ``rows_per_task`` rows on average, for frames that are read over and over: a small
+    one is not cut into many tiny tasks, a large one stays as it is (nothing is shuffled)."""
+    rows = df.count() if rows is None else rows
+    parts = max(1, -(-rows // rows_per_task))
+    return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
+
+
 def total(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
     """The sum over partitions of ``add(batches)``, a vector of ``size`` doubles each.
 

@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.ml.sums import as_arrays, matrix, total
+from sparkfold.ml.sums import as_arrays, matrix, sized, total
 from sparkfold.operators.split import assign_folds
 from sparkfold.session import cut_lineage
 
@@ -56,7 +56,7 @@ def squared_hinge(df: DataFrame, label: str, C: float = 1.0, weight: str | None
     Rows with a NULL label are left out; without rows all weights are 0.  Read ``df`` from
     a stored table: it is read once a step.
     """
-    rows = as_arrays(df.where(F.col(label).isNotNull()).withColumn("_w", F.col(weight) if weight else F.lit(1.0)), features, label, "_w")
+    rows = sized(as_arrays(df.where(F.col(label).isNotNull()).withColumn("_w", F.col(weight) if weight else F.lit(1.0)), features, label, "_w"))
     first = rows.select(F.size("_x").alias("n")).first()
     width = (first["n"] if first else 0) + 1
     if width > WIDEST:
