@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,29 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMS = 1 << 16
-SIZES = (3, 4, 5)
+SIZES = (4, 5)
+#: How much host and path count.
+SHARES = (1.0, 0.15)
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: The small labelled table that the model learns from by default: 1 is to be blocked.
-LABELLED = [(u, 1) for u in (
-    "casino-win.example.com/play", "best-casino.example.org/bonus", "m.casino-slots.example.net/spin", "poker-bets.example.com/table/7",
-    "www.betting-odds.example.org/live", "lotto-winner.example.com/claim", "free-slots.example.net/jackpot", "bonus-bet.example.com/signup",
-    "cheap-pills.example.com/buy", "viagra-online.example.org/order", "pharma-deals.example.net/pills", "diet-pills.example.com/sale",
-    "xxx-videos.example.com/watch", "adult-cams.example.net/live", "hot-dates.example.org/meet", "porn-tube.example.com/v/12",
-    "free-download-crack.example.com/keygen", "warez-zone.example.net/serial", "torrent-hub.example.org/get", "cracked-apps.example.com/dl",
-    "payday-loan.example.com/apply", "quick-cash.example.net/loan", "forex-profit.example.org/join", "crypto-doubler.example.com/invest",
-    "replica-watches.example.com/shop", "cheap-bags.example.net/outlet", "seo-links.example.org/buy", "click-here-win.example.com/prize",
-    "spam-offers.example.com/promo", "ad-tracker.example.net/click", "popup-ads.example.org/banner", "malware-scan.example.com/alert")
-] + [(u, 0) for u in (
-    "www.example.com/en/about", "blog.example.org/en/2021/05/notes", "docs.example.net/en/guide/install", "wiki.example.org/wiki/History",
-    "news.example.com/en/world/1234", "library.example.org/fr/catalogue/77", "m.example.net/de/artikel/99", "university.example.org/es/cursos/5",
-    "forum.example.com/topic/881", "research.example.org/papers/2020/17", "museum.example.net/en/collection", "www.city.example.org/de/rathaus",
-    "recipes.example.com/en/bread", "weather.example.net/fr/paris", "garden.example.org/en/roses/3", "travel.example.com/es/guia/42",
-    "code.example.org/project/readme.html", "health.example.net/en/questions/6158/", "school.example.org/fr/classes?page=2", "books.example.com/en/5155",
-    "blog.garden.example.com/en/3265", "www.history.example.org/en/9623", "m.science.example.net/de/7913", "music.example.com/fr/6380/",
-    "theatre.example.org/en/4803", "river.example.com/de/5229", "stone.example.net/en/7886", "letters.example.org/fr/3739",
-    "weaving.example.com/en/669", "harbour.example.net/en/7817", "orchard.example.org/en/8085.html", "mountain.example.com/de/64")
-]
+#: Folds of whole hosts that set the threshold, and the share of allowed hosts it may block there.
+FOLDS, FALSE_SHARE = 5, 0.05
+
+
+def labelled_table() -> list[tuple[str, int]]:
+    """The small table beside this file that the model learns from by default: (url without scheme, 1 = to be blocked)."""
+    with open(Path(__file__).with_name("url_labels.csv"), encoding="utf-8", newline="") as f:
+        return [(r["url"], int(r["blocked"])) for r in csv.DictReader(f)]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -60,54 +53,94 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> t
     return rule, verdict
 
 
-def grams(host: str, path: str) -> np.ndarray:
-    """Distinct hashed n-grams; host and path are told apart, digits count as one."""
-    out = set()
-    for kind, text in (("h", f"^{host}$"), ("p", f"^{path}$")):
-        text = "".join("0" if c.isdigit() else c for c in text.lower())
-        for n in SIZES:
-            out.update(f"{kind}{text[i:i + n]}" for i in range(len(text) - n + 1))
-    return np.unique(np.array([xxhash.xxh32_intdigest(g) % DIMS for g in out], dtype=np.int64))
+def grams(host: str, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed n-grams of the host and of the path; digits count as one.
 
-
-def fit(labelled: list[tuple[str, int]], rounds: int = 300, rate: float = 0.5, l2: float = 0.02) -> tuple[np.ndarray, float]:
-    """Weights and bias of the logistic regression; rows are ``host/path`` without a scheme."""
-    rows = [grams(*(lambda h, s, p: (h, s + p))(*u.partition("/"))) for u, _ in labelled]
+    A host falls into words at dots and hyphens; its n-grams do not cross them, and a whole
+    word is one more, so a word means the same in any host.
+    """
+    out = []
+    for kind, words in (("h", re.split(r"[.-]", host)), ("p", [path])):
+        own = set()
+        for word in words:
+            text = "^" + "".join("0" if c.isdigit() else c for c in word.lower()) + "$"
+            own.update(f"{kind}{text[i:i + n]}" for n in SIZES for i in range(len(text) - n + 1))
+            if kind == "h":
+                own.add(f"w{text}")
+        out.append(np.unique(np.array([xxhash.xxh32_intdigest(g) % DIMS for g in own], dtype=np.int64)))
+    return out[0], out[1]
+
+
+def logit(model: tuple[np.ndarray, float], host: str, path: str) -> float:
+    w, b = model
+    return sum(w[g].sum() / max(1, len(g)) ** 0.5 * share for g, share in zip(grams(host, path), SHARES)) + b
+
+
+def split_url(url: str) -> tuple[str, str]:
+    """Host and path of a url without scheme."""
+    host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", url).groups()
+    return host.lower(), path
+
+
+def learn(labelled: list[tuple[str, int]], rounds: int = 600, rate: float = 1.0, l2: float = 0.0005) -> tuple[np.ndarray, float]:
+    """Weights and bias of the logistic regression."""
+    x = np.zeros((len(labelled), DIMS), dtype=np.float32)
+    for i, (url, _) in enumerate(labelled):
+        for g, share in zip(grams(*split_url(url)), SHARES):
+            x[i, g] += share / max(1, len(g)) ** 0.5
     y = np.array([v for _, v in labelled], dtype=np.float64)
-    x = np.zeros((len(rows), DIMS), dtype=np.float32)
-    for i, r in enumerate(rows):
-        x[i, r] = 1 / max(1, len(r)) ** 0.5
     used = np.flatnonzero(x.any(axis=0))
     x, w, b = x[:, used].astype(np.float64), np.zeros(len(used)), 0.0
     for _ in range(rounds):
         g = 1 / (1 + np.exp(-(x @ w + b))) - y
-        w -= rate * (x.T @ g / len(y) * 4 + l2 * w / 4)
+        w -= rate * (x.T @ g / len(y) * 4 + l2 * w)
         b -= rate * g.mean()
     out = np.zeros(DIMS)
     out[used] = w
     return out, b
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: list[tuple[str, int]] | None = None, block_at: float = 0.5) -> DataFrame:
+def held_out_logits(labelled: list[tuple[str, int]], folds: int = FOLDS) -> np.ndarray:
+    """Each row's logit from a model that saw no url of its host's registered name."""
+    names = [".".join(split_url(u)[0].split(".")[-3:]) for u, _ in labelled]
+    fold = np.array([xxhash.xxh32_intdigest(n) % folds for n in names])
+    out = np.zeros(len(labelled))
+    for f in range(folds):
+        model = learn([row for row, k in zip(labelled, fold) if k != f])
+        for i in np.flatnonzero(fold == f):
+            out[i] = logit(model, *split_url(labelled[i][0]))
+    return out
+
+
+def fit(labelled: list[tuple[str, int]], false_share: float = FALSE_SHARE) -> tuple[np.ndarray, float, float]:
+    """(weights, bias, threshold on the probability): the lowest threshold at which at most ``false_share`` of the
+    allowed urls would be blocked by models that did not see their hosts."""
+    w, b = learn(labelled)
+    allowed = np.sort([z for z, (_, v) in zip(held_out_logits(labelled), labelled) if not v])
+    if not len(allowed) or len(allowed) == len(labelled):
+        return w, b, 0.5
+    edge = allowed[max(0, int(np.ceil(len(allowed) * (1 - false_share))) - 1)]
+    return w, b, float(np.nextafter(1 / (1 + np.exp(-edge)), 1.0))
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: list[tuple[str, int]] | None = None, block_at: float | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, score for every row of ``pages``.
 
     ``verdict`` is the fitting rule's, else ``block`` where the model's probability
-    is ``block_at`` or more.  Null urls and such without ``://`` have empty host and
+    is ``block_at`` or more (None: the threshold that :func:`fit` finds).  Null urls and such without ``://`` have empty host and
     path and are judged by the model's bias on them.  An empty labelled table
     blocks nothing by itself.
     """
-    table = LABELLED if labelled is None else labelled
-    shared = pages.sparkSession.sparkContext.broadcast(fit(table) if table else (np.zeros(DIMS), -60.0))
+    table = labelled_table() if labelled is None else labelled
+    w, b, threshold = fit(table) if table else (np.zeros(DIMS), -60.0, 0.5)
+    block_at = threshold if block_at is None else block_at
+    shared = pages.sparkSession.sparkContext.broadcast((w, b))
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b = shared.value
         for batch in batches:
-            z = []
-            for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                own = grams(h, p)
-                z.append(w[own].sum() / max(1, len(own)) ** 0.5 + b)
+            z = [logit(shared.value, h, p) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             score = 1 / (1 + np.exp(-np.clip(np.array(z, dtype=np.float64), -60, 60)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=["page_id", "host", "path", "score"])
 

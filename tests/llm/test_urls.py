@@ -1,5 +1,6 @@
 """op8: hosts, paths and rules against plain string code."""
 
+import numpy as np
 from conftest import SF001
 from plain_urls import plain_judge
 
@@ -14,21 +15,37 @@ def test_rules(spark):
     df = spark.createDataFrame([(i, u, "r", "v", 1) for i, u in enumerate(ODD)] + [(None, "http://a.net/", "r", "v", 1), (0, ODD[0], "r", "v", 1)],
                                "page_id long, url string, rule string, verdict string, host int")
     got = urls.judge(df, queries.URL_RULES).collect()
+    threshold = urls.fit(urls.labelled_table())[2]
     assert len(got) == df.count()
     for r in got:
         if r.page_id is not None:
             host, path, rule, verdict = plain_judge(ODD[r.page_id], queries.URL_RULES)
             assert (r.host, r.path, r.rule) == (host, path, rule), (ODD[r.page_id], r)
-            assert r.verdict == (verdict or ("block" if r.score >= 0.5 else "allow"))
+            assert r.verdict == (verdict or ("block" if r.score >= threshold else "allow"))
     assert urls.judge(df.limit(0), queries.URL_RULES).count() == 0
     assert {r.verdict for r in urls.judge(df, [], labelled=[]).collect()} == {"allow"}
 
 
-def test_model_learns_the_small_table():
-    w, b = urls.fit(urls.LABELLED)
-    score = lambda h, p: w[urls.grams(h, p)].sum() / max(1, len(urls.grams(h, p))) ** 0.5 + b
-    assert score("win-casino.example.org", "/play/99") > 0 and score("my-pills.example.com", "/buy") > 0
-    assert score("www.reading.example.org", "/en/library/41") < 0 and score("blog.thanan.example.com", "/fr/825") < 0
+#: Names on the pages that a reader would block; the labelled table holds none of their hosts.
+BAD = ("casino-win.", "free-bets.", "cheap-pills.", "ads-track.", "spam-farm.", "adult-x.")
+
+
+def test_held_out_hosts():
+    """On hosts that a model has not seen: of the table, and of all pages."""
+    table = urls.labelled_table()
+    assert len(table) == len(set(table)) and not any(name in u for u, _ in table for name in BAD)
+    threshold = urls.fit(table)[2]
+    z = urls.held_out_logits(table)
+    blocked = 1 / (1 + np.exp(-z)) >= threshold
+    label = np.array([v for _, v in table], dtype=bool)
+    assert blocked[label].mean() >= 0.65 and blocked[~label].mean() <= 0.05
+
+
+def test_pages_of_unseen_hosts(spark):
+    got = urls.judge(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), []).select("host", "verdict").collect()
+    bad = [r.verdict == "block" for r in got if any(name in f"{r.host}." for name in BAD)]
+    good = [r.verdict == "block" for r in got if r.host and not any(name in f"{r.host}." for name in BAD)]
+    assert len(bad) > 100 and sum(bad) >= 0.9 * len(bad) and sum(good) <= 0.01 * len(good)
 
 
 def test_query(spark):
