@@ -51,12 +51,12 @@ class ChunkEncoder:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in out]
 
-    def _learn(self, memory: dict[str, bytes], pieces: set[str], lead: str) -> list[str]:
-        """Encode what is missing; returns the pieces too long to remember.
+    def _learn(self, memory: dict[str, bytes], missing: set[str], lead: str) -> list[str]:
+        """Encode pieces that the memory lacks; returns those too long to remember.
 
         Pieces that follow a space are encoded in runs, told apart by ``is_edge``.
         """
-        new = list(pieces.difference(memory))  # not ``-``: that walks the whole memory
+        new = list(missing)
         alone = [p for p in new if memory is self.first or " " in p or MARK in p or "<|" in p or len(p) > LONGEST_KEPT or not p]
         memory.update(zip(alone, self._ids([lead + p for p in alone])))
         apart = set(alone)
@@ -75,32 +75,37 @@ class ChunkEncoder:
                 memory.update((p, data[x:y]) for p, x, y in zip(run, [0, *(x + 4 for x in edges)], edges))
         return [p for p in alone if len(p) > LONGEST_KEPT]
 
-    def _cut(self, texts: list[str]) -> list[list[str]]:
-        """Each text's pieces; those with other white space beside a space are only cut where it is safe."""
+    def _cut(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """Each text's pieces, and those that the memory lacks; texts with other white space beside a space are only
+        cut where it is safe."""
         cut = [t.split(" ") for t in texts]
+        new = set().union(*cut).difference(self.rest)  # not ``-``: that walks the whole memory
         if self.keeps_space:
-            new = set().union(*cut).difference(self.rest)
             self.odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
             if self.odd:
-                cut = [c if self.odd.isdisjoint(c) else SAFE_SPACE.split(t) for c, t in zip(cut, texts)]
-        return cut
+                new -= self.odd
+                for i, c in enumerate(cut):
+                    if not self.odd.isdisjoint(c):
+                        cut[i] = SAFE_SPACE.split(texts[i])
+                        new.update(p for p in cut[i] if p not in self.rest)
+        return cut, new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.first) + len(self.rest) + len(self.odd) > self.most:
             self.first.clear()
             self.rest.clear()
             self.odd.clear()
-        cut = self._cut(texts)
+        cut, new = self._cut(texts)
         if self.keeps_space:
             heads, tails = [c[0] for c in cut], [c[1:] for c in cut]
-            long_first = self._learn(self.first, set(heads), "")
-            long_rest = self._learn(self.rest, set().union(*tails), " ")
+            long_first = self._learn(self.first, set(heads).difference(self.first), "")
+            long_rest = self._learn(self.rest, new, " ")
             get, head = self.rest.__getitem__, self.first.__getitem__
             out = [head(h) + b"".join(map(get, t)) for h, t in zip(heads, tails)]
             for p in long_first:
                 del self.first[p]
         else:
-            long_rest = self._learn(self.rest, set().union(*cut), "")
+            long_rest = self._learn(self.rest, new, "")
             get = self.rest.__getitem__
             out = [b"".join(map(get, c)) for c in cut]
         for p in long_rest:

@@ -28,6 +28,14 @@ def test_pieces_give_the_ids_of_the_whole_text(path, texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in encode.encode(texts)] == [whole(tokenizer, t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_white_space_beside_spaces(path):
+    texts = ["a foo\n", "b foo\n", "\nfoo bar", "x \nfoo foo\n  bar", "foo\n foo\n", " foo", "foo ", "  ", "\n", "a  b\t c \u00a0d"]
+    fresh = ChunkEncoder(path, path == BYTE)
+    for batch in (texts, texts[::-1], texts[:2], [t + t for t in texts]):
+        assert [np.frombuffer(b, "<u4").tolist() for b in fresh.encode(batch)] == [whole(fresh.tokenizer, t) for t in batch]
+
+
 def test_full_memory_is_emptied_and_results_stay():
     small = ChunkEncoder(BYTE, True, most=5)
     texts = ["a b c d e f g", "h i j k l", "a b c", "word " * 40 + "y" * 300]
