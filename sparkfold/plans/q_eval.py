@@ -546,7 +546,7 @@ def source_discovery_filter(spark, sf):
 
 
 # --- I9 nearest neighbours ---------------------------------------------------------------------------------------
-@register("knn_vote", (
+KNN_ORACLE = (
     "WITH e AS (SELECT vec_id, embedding, label, row_number() OVER (PARTITION BY label ORDER BY md5(cast(vec_id AS varchar) || '|42'), vec_id) - 1 p, "
     "count(*) OVER (PARTITION BY label) n FROM embeddings),\n"
     "s AS (SELECT vec_id, embedding, label, CASE WHEN p < round(n * 0.2) THEN 1 ELSE 0 END is_test FROM e),\n"
@@ -556,12 +556,30 @@ def source_discovery_filter(spark, sf):
     "nn AS (SELECT qid, label FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, rid) rn FROM d) WHERE rn <= 7),\n"
     "v AS (SELECT qid, label, count(*) votes FROM nn GROUP BY ALL)\n"
     "SELECT qid vec_id, cast(label AS bigint) pred FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, label) rn "
-    "FROM v) WHERE rn = 1"))
-def knn_vote(spark, sf):
+    "FROM v) WHERE rn = 1")
+
+
+def knn_sides(spark, sf):
     emb = fx.table(spark, sf, "embeddings")
     s = split.split_stratified(emb, "label", "vec_id", 0.2, 42)
-    train, test = s.where("is_test = 0"), s.where("is_test = 1")
-    return neighbors.knn_vote(train, test, 7, "vec_id", "embedding", "label")
+    return s.where("is_test = 0"), s.where("is_test = 1")
+
+
+@register("knn_vote", KNN_ORACLE)
+def knn_vote(spark, sf):
+    return neighbors.knn_vote(*knn_sides(spark, sf), 7, "vec_id", "embedding", "label")
+
+
+@register("knn_vote_pruned", KNN_ORACLE)
+def knn_vote_pruned(spark, sf):
+    """Small cells, so that the second round has cells to skip at every scale."""
+    return neighbors.knn_vote(*knn_sides(spark, sf), 7, "vec_id", "embedding", "label", cell_rows=64)
+
+
+@register("knn_pruning_work", None)
+def knn_pruning_work(spark, sf):
+    """How many distances the pivots of ``knn_vote_pruned`` save against brute force."""
+    return neighbors.knn_work(*knn_sides(spark, sf), 7, "vec_id", "embedding", "label", cell_rows=64)
 
 
 @register("preview_head", WE + "SELECT id, status, n_orders FROM ee ORDER BY id LIMIT 5")

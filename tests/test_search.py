@@ -113,3 +113,51 @@ def test_knn_with_null_labels_and_vectors(spark):
     assert {r.id: r.pred for r in neighbors.knn_vote(train, test, k=1).collect()} == {10: 5, 11: None, 12: 7}
     none = train.where("id = 3")
     assert {r.id: r.pred for r in neighbors.knn_vote(none, test, k=1).collect()} == {10: None, 11: None, 12: None}
+
+
+def plain_votes(R, labels, Q, k):
+    out = {}
+    for q, v in Q.items():
+        near = sorted(R, key=lambda i: (((R[i] - v) ** 2).sum(), i))[:k]
+        votes = {}
+        for i in near:
+            votes[labels[i]] = votes.get(labels[i], 0) + 1
+        out[q] = min(votes, key=lambda c: (-votes[c], c)) if votes else None
+    return out
+
+
+def test_knn_with_pivots_equals_brute_force(spark):
+    """Clusters, a hot cell of equal vectors, whole-number ties, small blocks: the same votes, fewer distances."""
+    import numpy as np
+
+    from sparkfold.operators import neighbors
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 20, (12, 8))
+    clustered = centres[rng.integers(0, 12, 900)] + rng.normal(0, 1, (900, 8))
+    hot = np.repeat(centres[:1], 450, axis=0)
+    whole = rng.integers(0, 3, (300, 8)).astype(float)
+    vecs = np.concatenate([clustered, hot, whole])
+    R = dict(enumerate(vecs))
+    labels = {i: int(rng.integers(0, 5)) for i in R}
+    Q = {10_000 + i: v for i, v in enumerate(np.concatenate([vecs[rng.integers(0, len(vecs), 60)] + rng.normal(0, 0.5, (60, 8)),
+                                                             vecs[::97], rng.integers(0, 3, (30, 8)).astype(float)]))}
+    train = spark.createDataFrame([(i, v.tolist(), labels[i]) for i, v in R.items()], "id long, vec array<double>, label long")
+    test = spark.createDataFrame([(q, v.tolist()) for q, v in Q.items()], "id long, vec array<double>")
+    for k, cell_rows, block_rows in ((7, 40, 50), (5, 3000, 200)):
+        got = {r.id: r.pred for r in neighbors.knn_vote(train, test, k=k, cell_rows=cell_rows, block_rows=block_rows).collect()}
+        assert got == plain_votes(R, labels, Q, k)
+    work = neighbors.knn_work(train, test, k=7, cell_rows=40, block_rows=50).first()
+    to_pivots = 42 * (len(R) + 2 * len(Q))  # every row once, every query in both rounds: much for so few queries
+    assert work.n_brute == len(Q) * len(R) and work.n_pivots == 42
+    assert to_pivots < work.n_computed < to_pivots + 0.4 * work.n_brute and work.saved > 0
+
+
+def test_knn_with_fewer_rows_than_k_and_none(spark):
+    from sparkfold.operators import neighbors
+    train = spark.createDataFrame([(1, [0.0], 4), (2, [5.0], 3), (3, [5.0], 3)], "id long, vec array<double>, label long")
+    test = spark.createDataFrame([(10, [0.1]), (11, None), (None, [1.0])], "id long, vec array<double>")
+    got = {r.id: r.pred for r in neighbors.knn_vote(train, test, k=7, cell_rows=1).collect()}
+    assert got == {10: 3, 11: None, None: None}
+    assert neighbors.knn_vote(train, test.limit(0), k=2, cell_rows=1).count() == 0
+    none = neighbors.knn_work(train.limit(0), test, k=2).first()
+    assert (none.n_rows, none.n_computed, none.saved) == (0, 0, 0.0)
