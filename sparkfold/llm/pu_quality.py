@@ -1,15 +1,22 @@
 """Quality by positive-unlabelled learning with the non-negative risk.
 
 Trusted positives are labelled documents of quality 1; the unlabelled side is web
-text as it comes, good and bad.  The class prior (share of good text) is estimated
-from how the two differ under a first scorer: the least ratio, over thresholds, of
-unlabelled to positive mass above a threshold.  The scorer minimises
+text as it comes, good and bad: every document outside the held-out fold.  The class
+prior (share of good text) is estimated from how the two differ under a first scorer: the
+least ratio, over thresholds, of unlabelled to positive mass above a threshold, counted over all
+documents.  The scorer minimises
 
     prior * E_pos[l(f)] + max(0, E_unl[l(-f)] - prior * E_pos[l(-f)])
 
 with the logistic loss l; where the second part turns negative, its gradient is
 turned round instead (the non-negative correction).
 
+The unlabelled rows are stored once on shared storage; their moments, the masses above
+thresholds and the unlabelled part of risk and gradient are sums over all of them.  The steps
+between two such sums run on the driver over a bounded sample, whose risk and gradient are
+shifted by what the whole corpus had more at the last sum.  A fixed number of sums is taken, so
+the end is near the whole corpus's own, not equal to it.
+
 A text is described by how often each three-character pattern of character classes
 occurs in it, and by its repetition: neighbouring equal words, repeated word pairs,
 repeated lines and distinct words.  Nothing depends on a language's vocabulary.
@@ -25,8 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.llm.samples import first_by_hash, fold, labelled_ids, texts_of
-from sparkfold.llm.shingles import PLACES, SPACES, mix, slices, word_hashes
+from sparkfold.llm import scratch
+from sparkfold.llm.samples import first_by_hash, fold, labelled_ids
+from sparkfold.llm.shingles import PLACES, mix, slices, word_hashes
+from sparkfold.ml.sums import total
 
 PATTERNS, EXTRA = 1024, 6
 DIMS = PATTERNS + EXTRA
@@ -89,94 +98,205 @@ def single(v: np.ndarray) -> np.ndarray:
     return v.astype(np.float32)
 
 
-def descend(gradient, dims: int, rounds: int, rate: float) -> tuple[np.ndarray, float]:
-    """Adam on (weights, bias); ``gradient(w, b)`` gives both parts."""
-    theta, m, v = np.zeros(dims + 1), np.zeros(dims + 1), np.zeros(dims + 1)
+def descend(gradient, start: np.ndarray, rounds: int, rate: float) -> np.ndarray:
+    """Adam from ``start``, the weights and the bias as one vector; ``gradient(w, b)`` gives both parts."""
+    theta, m, v = start.copy(), np.zeros(len(start)), np.zeros(len(start))
     for step in range(1, rounds + 1):
         gw, gb = gradient(theta[:-1], theta[-1])
         g = np.append(gw, gb)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return theta[:-1], float(theta[-1])
-
-
-def class_prior(pos: np.ndarray, unl: np.ndarray, rounds: int = 150) -> float:
-    """Share of positives among the unlabelled: a scorer of positive against unlabelled is fitted on one half of
-    both; on the other half the least ratio of masses above a threshold, each widened by its sampling error."""
-    x = np.concatenate([pos[::2], unl[::2]])
-    y = np.concatenate([np.ones(len(pos[::2])), np.zeros(len(unl[::2]))])
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-
-    def gradient(w, b):
-        g = (sigmoid(x @ single(w) + b) - y) * share
-        return x.T @ single(g) + 1e-3 * w, g.sum()
-
-    w, b = descend(gradient, x.shape[1], rounds, 0.05)
-    p, u = np.sort(pos[1::2] @ single(w) + b), np.sort(unl[1::2] @ single(w) + b)
-    if not len(p) or not len(u):
-        return 0.5
-    cuts = np.quantile(p, np.linspace(0, 0.9, 91))
-    above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    error = 0.5 * (1 / len(p) ** 0.5 + 1 / len(u) ** 0.5)
-    best = np.argmin((above_u + error) / above_p)
-    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
-
-
-def fit(pos: np.ndarray, unl: np.ndarray, rounds: int = 400, rate: float = 0.03, l2: float = 1e-3) -> Model:
-    x = np.concatenate([pos, unl]).astype(np.float32)  # one copy, scaled in place; the parts are views of it
-    mean = x.mean(axis=0, dtype=np.float64).astype(np.float32)
-    spread = x.std(axis=0, dtype=np.float64).astype(np.float32) + np.float32(1e-3)
-    x -= mean
-    x /= spread
-    pos, unl = x[:len(pos)], x[len(pos):]
-    prior = class_prior(pos, unl)
+    return theta
+
+
+class Rows:
+    """Sums over unlabelled rows held as an array (``half`` is 0 or 1 for each)."""
+
+    def __init__(self, x: np.ndarray, half: np.ndarray):
+        self.x, self.half = x, half
+
+    def batches(self, job) -> np.ndarray:
+        return job([(self.x, self.half)])
+
+    def moments(self) -> np.ndarray:
+        """Rows, sums and sums of squares of each column."""
+        dims = DIMS if self.x is None else self.x.shape[1]
+
+        def job(parts):
+            out = np.zeros(2 * dims + 1)
+            for x, _ in parts:
+                wide = x.astype(np.float64)
+                out += np.concatenate([[len(x)], wide.sum(axis=0), (wide * wide).sum(axis=0)])
+            return out
+        return self.batches(job)
+
+    def above(self, scorers: dict[int, tuple[np.ndarray, float, np.ndarray]]) -> dict[int, np.ndarray]:
+        """For each half: its rows, and how many of them its scorer (weights, bias) puts at or above each cut."""
+        at, size = {}, 0
+        for half, (_, _, cuts) in scorers.items():
+            at[half], size = size, size + len(cuts) + 1
+
+        def job(parts):
+            out = np.zeros(size)
+            for x, halves in parts:
+                for half, (w, b, cuts) in scorers.items():
+                    scores = np.sort(x[halves == half].astype(np.float32) @ single(w) + b)
+                    out[at[half]:at[half] + len(cuts) + 1] += np.append(len(scores), len(scores) - np.searchsorted(scores, cuts))
+            return out
+        got = self.batches(job)
+        return {half: got[at[half]:at[half] + len(cuts) + 1] for half, (_, _, cuts) in scorers.items()}
+
+    def risk(self, w: np.ndarray, b: float) -> np.ndarray:
+        """Rows, and the sums of log(1 + e^f), of sigmoid(f) and of sigmoid(f) times the row."""
+        def job(parts):
+            out = np.zeros(len(w) + 3)
+            for x, _ in parts:
+                x = x.astype(np.float32)
+                f = x @ single(w) + b
+                up = sigmoid(f)
+                out += np.concatenate([[len(x), np.logaddexp(0, f).sum(), up.sum()], x.T @ single(up)])
+            return out
+        return self.batches(job)
+
+
+class StoredRows(Rows):
+    """The same sums over a stored table (half, row), in tasks; only the sums come to the driver."""
+
+    def __init__(self, table: DataFrame):
+        self.x, self.table = None, table.select("half", "row")
+
+    def batches(self, job) -> np.ndarray:
+        size = len(job([]))
+
+        def add(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            parts = (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000))
+            return job((matrix_of(b.column(1)), b.column(0).to_numpy()) for b in parts)
+        return total(self.table, add, size)
+
+
+def matrix_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float16).reshape(-1, DIMS)
+
+
+def class_prior(pos: np.ndarray, pos_half: np.ndarray, unl: np.ndarray, unl_half: np.ndarray, above, rounds: int = 150) -> float:
+    """Share of positives among the unlabelled.  On each half of both a scorer of positive against unlabelled is
+    fitted; on the other half (of all unlabelled rows, by ``above``) the least ratio of masses above a threshold is
+    taken, each widened by its sampling error.  The result is the mean of both; 0.5 where no half has rows of both kinds."""
+    scorers, masses = {}, {}
+    for half in (0, 1):
+        p, u, other = pos[pos_half == half], unl[unl_half == half], pos[pos_half != half]
+        if not len(p) or not len(u) or not len(other):
+            continue
+        x = np.concatenate([p, u])
+        y = np.concatenate([np.ones(len(p)), np.zeros(len(u))])
+        share = np.where(y == 1, 0.5 / len(p), 0.5 / len(u))
+
+        def gradient(w, b, x=x, y=y, share=share):
+            g = (sigmoid(x @ single(w) + b) - y) * share
+            return x.T @ single(g) + 1e-3 * w, g.sum()
+
+        theta = descend(gradient, np.zeros(x.shape[1] + 1), rounds, 0.05)
+        scores = np.sort(other @ single(theta[:-1]) + theta[-1])
+        cuts = np.quantile(scores, np.linspace(0, 0.9, 91))
+        scorers[1 - half] = (theta[:-1], theta[-1], cuts)
+        masses[1 - half] = (len(scores), 1 - np.searchsorted(scores, cuts) / len(scores))
+    found = []
+    for half, counts in (above(scorers) if scorers else {}).items():
+        n, above_p = masses[half]
+        if counts[0]:
+            above_u = counts[1:] / counts[0]
+            error = 0.5 * (1 / n**0.5 + 1 / counts[0] ** 0.5)
+            best = np.argmin((above_u + error) / above_p)
+            found.append(above_u[best] / above_p[best])
+    return float(np.clip(np.mean(found), 0.01, 0.99)) if found else 0.5
+
+
+def fit(pos: np.ndarray, unl: np.ndarray, whole: Rows | None = None, pos_half: np.ndarray | None = None, unl_half: np.ndarray | None = None,
+        rounds: int = 400, sums: int = 8, more: int = 100, rate: float = 0.03, l2: float = 1e-3) -> Model:
+    """``unl`` is a sample of ``whole``, or all there is.  ``rounds`` steps on the sample; then ``sums`` times the
+    sum over all rows, each followed by ``more`` shifted steps."""
+    pos_half = np.arange(len(pos)) % 2 if pos_half is None else pos_half
+    unl_half = np.arange(len(unl)) % 2 if unl_half is None else unl_half
+    whole = whole or Rows(unl.astype(np.float32), unl_half)
+    dims = pos.shape[1]
+    own = Rows(pos, pos_half).moments() + whole.moments()
+    mean = own[1:dims + 1] / own[0]
+    spread = np.sqrt(np.maximum(own[dims + 1:] / own[0] - mean**2, 0)) + 1e-3
+    pos, unl = ((part.astype(np.float32) - single(mean)) / single(spread) for part in (pos, unl))
+
+    def raw(w, b):  # the same scorer on rows that are not scaled
+        return w / spread, b - (mean * w / spread).sum()
+
+    prior = class_prior(pos, pos_half, unl, unl_half,
+                        lambda scorers: whole.above({h: (*raw(w, b), cuts) for h, (w, b, cuts) in scorers.items()}))
+    shift_risk, shift_b, shift_w = 0.0, 0.0, np.zeros(dims)
 
     def gradient(w, b):
         fp, fu = pos @ single(w) + b, unl @ single(w) + b
-        negative_risk = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+        negative_risk = np.logaddexp(0, fu).mean() + shift_risk - prior * np.logaddexp(0, fp).mean()
         up_p, up_u = sigmoid(fp), sigmoid(fu)
         gp, gu = -prior * up_p / len(fp), up_u / len(fu)  # of the negative part
         if negative_risk < 0:
-            return -(pos.T @ single(gp) + unl.T @ single(gu)) + l2 * w, -(gp.sum() + gu.sum())
+            return -(pos.T @ single(gp) + unl.T @ single(gu) + shift_w) + l2 * w, -(gp.sum() + gu.sum() + shift_b)
         gp = gp + prior * (up_p - 1) / len(fp)
-        return pos.T @ single(gp) + unl.T @ single(gu) + l2 * w, gp.sum() + gu.sum()
-
-    w, b = descend(gradient, pos.shape[1], rounds, rate)
-    return Model(mean, spread, w, b, prior)
-
-
-def train(docs: DataFrame, labels: DataFrame, most: int = 6000, modulus: int = 5, held_out: int = 0) -> Model | None:
-    """Fit on at most ``most`` positives and ``most`` unlabelled documents, none of the held-out fold.
-
-    ``labels.quality`` 1 marks the positives; labels of 0 are not used.  None without positives.
-    """
-    ids = labelled_ids(labels, "quality", fold(modulus) != held_out).filter("label = 1")
-    web = (docs.select(F.col("doc_id").cast("long")).filter("doc_id is not null").filter(fold(modulus) != held_out)
-           .select("doc_id", F.lit(0).alias("label")))
-    sample = first_by_hash(ids.select("doc_id", F.col("label").cast("int")), most).union(first_by_hash(web, most))
-
+        return pos.T @ single(gp) + unl.T @ single(gu) + shift_w + l2 * w, gp.sum() + gu.sum() + shift_b
+
+    theta = descend(gradient, np.zeros(dims + 1), rounds, rate)
+    for _ in range(sums):
+        w, b = theta[:-1], theta[-1]
+        n, risk, up, tilted = np.split(whole.risk(*raw(w, b)), [1, 2, 3])
+        fu = unl @ single(w) + b
+        up_u = sigmoid(fu)
+        shift_risk = float(risk[0] / n[0] - np.logaddexp(0, fu).mean())
+        shift_b = float(up[0] / n[0] - up_u.mean())
+        shift_w = (tilted - mean * up) / spread / n - unl.T @ single(up_u / len(fu))
+        theta = descend(gradient, theta, more, rate / 3)
+    return Model(single(mean), single(spread), theta[:-1], float(theta[-1]), prior)
+
+
+def unlabelled_rows(docs: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    """(doc_id, place, half, row) of every document outside the held-out fold, stored: the features as float16; place
+    is a hash of id and text, whose low end is the sample; half splits the rows for the prior."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(2).cast(pa.binary()).to_pylist()
+            texts = b.column(3).cast(pa.binary()).to_pylist()
             for lo, hi in slices(texts):
                 rows = features(texts[lo:hi]).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
-                                                  pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "label", "row"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(lo, hi - lo) for c in range(3)), pa.array([r.tobytes() for r in rows], pa.binary())],
+                                                 names=["doc_id", "place", "half", "row"])
+
+    web = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id is not null").filter(fold(modulus) != held_out)
+    web = web.withColumn("place", F.xxhash64("doc_id", "text")).withColumn("half", F.pmod(F.shiftright("place", 20), F.lit(2)).cast("int"))
+    return scratch.stored(web.select("doc_id", "place", "half", "text").mapInArrow(work, "doc_id long, place long, half int, row binary"), "features")
+
 
-    got = texts_of(docs, sample).select("doc_id", "label", "text").mapInArrow(work, "doc_id long, label int, row binary").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+def first_rows(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features, halves) of the ``most`` rows first in the order of their places: the same in every run."""
+    got = rows.orderBy("place", "row").limit(most).select("half", "row").toArrow()
     x = np.frombuffer(b"".join(got.column("row").to_pylist()), dtype=np.float16).reshape(-1, DIMS)
-    y = np.array(got.column("label").to_pylist())
-    del got
-    if not (y == 1).any() or not (y == 0).any():
+    return x, got.column("half").to_numpy()
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = 6000, modulus: int = 5, held_out: int = 0) -> Model | None:
+    """Fit on at most ``most`` labelled positives and on all unlabelled documents, none of the held-out fold.
+
+    ``labels.quality`` 1 marks the positives; labels of 0 are not used.  ``most`` also bounds the sample that steers
+    the steps between two sums over all rows.  Rows without a doc_id are not learned from; null texts count as empty;
+    repeated rows count each.  None without positives or documents.
+    """
+    ids = first_by_hash(labelled_ids(labels, "quality", fold(modulus) != held_out).filter("label = 1"), most).select("doc_id")
+    rows = unlabelled_rows(docs, modulus, held_out)
+    pos, pos_half = first_rows(rows.join(F.broadcast(ids), "doc_id"), most)
+    if not len(pos):
         return None
-    return fit(x[y == 1], x[y == 0])
+    unl, unl_half = first_rows(rows, most)
+    return fit(pos, unl, StoredRows(rows), pos_half, unl_half)
 
 
 def score(docs: DataFrame, model: Model | None, modulus: int = 5, held_out: int = 0, cut: float = 0.3) -> DataFrame:
-    """``docs`` with held_out, score and predicted added to doc_id; whole texts; null counts as empty.
+    """(doc_id, held_out, score, predicted) of every row; whole texts; null counts as empty.
 
+    Null ids and repeated rows are scored like any other; an empty table gives no rows.
     Without a model every score is 0.5, so nothing is rejected.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -195,11 +315,15 @@ def score(docs: DataFrame, model: Model | None, modulus: int = 5, held_out: int
 
 
 def classify(docs: DataFrame, labels: DataFrame, most: int = 6000) -> DataFrame:
+    """``score`` by a model that ``train`` fits on the same documents; odd rows as there."""
     return score(docs, train(docs, labels, most))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, most: int = 6000, cut: float = 0.3) -> DataFrame:
-    """``docs`` without the documents scored below ``cut``; all columns kept, nothing shuffled."""
+    """``docs`` without the documents scored below ``cut``; all columns kept, the documents are not shuffled.
+
+    Null texts are judged as empty ones, null ids and repeated rows like any other; without a model all are kept.
+    """
     model = train(docs, labels, most)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")

@@ -45,6 +45,36 @@ def test_prior_and_risk():
     assert np.mean(score(good(500)) > 0) > 0.95 and np.mean(score(bad(500)) < 0) > 0.9
 
 
+def test_junk_that_the_sample_misses_is_learned_from_the_whole():
+    """A kind of junk in 2 % of the rows and in none of the sample is rejected once sums over all rows are taken."""
+    rng = np.random.default_rng(4)
+    good = lambda n: np.c_[rng.normal(1.0, 1, (n, 6)), np.zeros(n)]
+    bad = lambda n: np.c_[rng.normal(-1.0, 1, (n, 6)), np.zeros(n)]
+    odd_junk = lambda n: np.c_[rng.normal(1.0, 1, (n, 6)), np.full(n, 3.0)]
+    pos, sample = good(800), np.concatenate([good(400), bad(200)])
+    everything = np.concatenate([sample, good(6000), bad(3000), odd_junk(200)]).astype(np.float32)
+    rng.shuffle(sample)
+    whole = pu_quality.Rows(everything, np.arange(len(everything)) % 2)
+    score = lambda model, x: ((x - model.mean) / model.spread) @ model.weights + model.bias
+    model, short = (pu_quality.fit(pos, sample, whole, sums=n) for n in (8, 0))
+    junk = odd_junk(200)
+    assert np.mean(score(short, junk) > 0) > 0.9 and np.mean(score(model, junk) < 0) > 0.9
+    assert np.mean(score(model, good(500)) > 0) > 0.93 and abs(model.prior - 0.67) < 0.06
+
+
+def test_stored_rows_sum_like_an_array(spark):
+    docs = spark.createDataFrame([(i, PROSE[:40 + i * 7] + "#" * (i % 9)) for i in range(60)] + [(None, "x"), (3, None)], "doc_id long, text string")
+    table = pu_quality.unlabelled_rows(docs, 5, 0)
+    x, half = pu_quality.first_rows(table, 1000)
+    assert len(x) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in [*range(60), 3]) and set(half) == {0, 1}
+    plain, stored = pu_quality.Rows(x, half), pu_quality.StoredRows(table)
+    rng = np.random.default_rng(1)
+    w = rng.normal(0, 1, pu_quality.DIMS)
+    assert np.allclose(plain.moments(), stored.moments()) and np.allclose(plain.risk(w, 0.3), stored.risk(w, 0.3), rtol=1e-4)
+    scorers = {0: (w, 0.1, np.array([-1.0, 0.0, 1.0])), 1: (-w, 0.0, np.array([0.5]))}
+    assert all(np.array_equal(v, stored.above(scorers)[h]) for h, v in plain.above(scorers).items())
+
+
 def test_quality_odd(odd, empty, odd_labels, no_labels):
     rows = pu_quality.classify(odd, odd_labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
