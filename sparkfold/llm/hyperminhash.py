@@ -10,8 +10,9 @@ whose buckets are largest (in a group of near copies, the one most like all othe
 A member is first held against its best lead; only members that this does not
 connect are held against the rest of their buckets, as pairs where those are few,
 else in blocks inside tasks that yield links and no pairs.  A pair is verified on
-the full sets; the sketch estimate, corrected for the collisions of compressed
-registers, skips pairs that are far below the threshold.
+the full sets; before that, for leads and for pairs, the sketch estimate, corrected for
+the collisions of compressed registers, skips those far below the threshold.  Blocks
+count all their common shingles at once, so there is nothing for it to skip.
 """
 
 from __future__ import annotations
@@ -97,13 +98,19 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose estimate is not six standard deviations below the threshold (small sets: all)."""
+    """Pairs (a, b) whose estimate is not six standard deviations below the threshold (small sets: all).
+
+    A doc_id that stands for several sets (repeated rows) has no estimate: its pairs all pass.
+    """
     share = percent / 100
     floor = share - 6 * (share * (1 - share) / BUCKETS) ** 0.5
-    side = lambda c: nodes.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    # 0 shingles: several sets
+    one = nodes.groupBy("rep").agg(F.when(F.count(F.lit(1)) == 1, F.first("n_shingles")).otherwise(0).alias("n"), F.first("registers").alias("r"))
+    side = lambda c: one.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("r").alias(f"r_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     # a pair of such different sizes can't reach the threshold
-    both = both.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    both = both.filter((low == 0) | (low * 100 >= high * percent))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,20 +141,28 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(work, "a long, b long")
 
 
+def dealt_blocks(groups: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lead, m, q, rep, label, text) of the members, each once for every chunk of queries, and of the queries, each
+    once for every chunk of members: a few queries do not multiply a large group's members."""
+    chunks = {c: F.ceil(F.col(n) / CHUNK).cast("int") for c, n in (("m_chunks", "n"), ("q_chunks", "queries"))}
+    dealt = groups.filter("queries > 0").join(texts, "rep").withColumns(chunks)
+    own = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    members = dealt.select("lead", own("m_chunks").alias("m"), every("q_chunks").alias("q"), "rep", "label", "text")
+    fresh = [F.col(c).alias(c) for c in ("rep", "label", "text")]  # columns of their own: both sides come from one frame
+    queries = dealt.filter("is_query").select(F.col("lead").alias("lead"), every("m_chunks").alias("m"), own("q_chunks").alias("q"), *fresh)
+    return members, queries
+
+
 def linked_in_blocks(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between a group's queries and all its members with another label, by full sets.
 
-    ``groups``: lead, rep, label, is_query, n (members of the lead).  Queries and
-    members are dealt into chunks of about ``CHUNK``; each task gets one chunk of
+    ``groups``: lead, rep, label, is_query, n (members of the lead), queries (those that are one).
+    Both are dealt into chunks of about ``CHUNK``, each by its own count; each task gets one chunk of
     either, counts common shingles through an inverted list, and yields one link
     for each query and label.
     """
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    dealt = groups.join(texts, "rep").withColumns({"chunks": chunks, "own": F.pmod(F.xxhash64("rep"), chunks).cast("int")})
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    members = dealt.select("lead", F.col("own").alias("m"), F.explode(every).alias("q"), "rep", "label", "text")
-    fresh = [F.col(c).alias(c) for c in ("rep", "label", "text")]  # columns of their own: both sides come from one frame
-    queries = dealt.filter("is_query").select(F.col("lead").alias("lead"), F.explode(every).alias("m"), F.col("own").alias("q"), *fresh)
+    members, queries = dealt_blocks(groups, texts)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
@@ -222,7 +237,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # each against its best lead
     stars = (members.filter("rep != lead").groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("top", (-F.col("lead")).alias("lead"))).alias("best"))
              .select("a", (-F.col("best.lead")).alias("b")))
-    links = scratch.stored(verified(stars, texts, width, percent), "links")
+    hopeful = scratch.stored(likely(stars, nodes, percent), "stars")
+    links = scratch.stored(verified(hopeful, texts, width, percent), "links")
     labels = components(links)
     # buckets whose members are not all connected: who is not connected with the lead is held against all others
     labelled = scratch.stored(members.join(labels, members.rep == labels.node, "left")
@@ -239,7 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = (left.join(right, (F.col("x.lead") == F.col("y.lead")) & (F.col("x.label") != F.col("y.label"))
                        & (~F.col("y.is_query") | (F.col("x.rep") < F.col("y.rep"))))
              .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-    by_pair = scratch.stored(verified(likely(pairs, nodes.dropDuplicates(["rep"]), percent), texts, width, percent), "links")
+    by_pair = scratch.stored(verified(likely(pairs, nodes, percent), texts, width, percent), "links")
     by_block = scratch.stored(linked_in_blocks(open_.filter(F.col("n") * F.col("queries") > FEW_PAIRS), texts, width, percent), "links")
     labels = components(links.union(by_pair).union(by_block))
 

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from conftest import SF001
+from pyspark.sql import functions as F
 
 from sparkfold.llm import queries
 from sparkfold.llm import hyperminhash as H
@@ -141,3 +142,28 @@ def test_query(spark):
     want = plain(rows, 2, 80)
     got = queries.op9_near_duplicates(spark, SF001).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and any(not r.kept for r in got)
+
+
+def test_one_query_does_not_multiply_a_large_group(spark):
+    n = 20_000
+    texts = spark.range(n).select(F.col("id").alias("rep"), F.concat(F.lit("text "), "id").alias("text"))
+    groups = texts.select(F.lit(1).cast("long").alias("lead"), "rep", F.col("rep").alias("label"), (F.col("rep") == 7).alias("is_query"),
+                          F.lit(n).cast("long").alias("n"), F.lit(1).cast("long").alias("queries"))
+    members, queries_ = H.dealt_blocks(groups, texts)
+    chunks = n // H.CHUNK
+    assert members.count() == n and members.filter("q != 0").count() == 0
+    assert queries_.count() == chunks and queries_.select("m").distinct().count() == chunks
+    # every query meets every member once
+    assert members.select("lead", "m", "q").join(queries_.select("lead", "m", "q"), ["lead", "m", "q"]).count() == n
+    # a group without a query is not dealt at all
+    none = groups.withColumns({"is_query": F.lit(False), "queries": F.lit(0).cast("long")})
+    assert H.dealt_blocks(none, texts)[0].count() == 0
+
+
+def test_a_doc_id_of_several_sets_has_no_estimate(spark):
+    rng = np.random.default_rng(5)
+    far, near = (np.unique(rng.integers(0, 2**64, 4000, dtype=np.uint64)) for _ in range(2))
+    rows = [(1, far), (1, near), (2, near), (3, far), (4, np.unique(rng.integers(0, 2**64, 4000, dtype=np.uint64)))]
+    nodes = spark.createDataFrame([(i, len(s), bytearray(H.registers([s])[0].tobytes())) for i, s in rows], "rep long, n_shingles long, registers binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (2, 4)], "a long, b long")
+    assert {(r.a, r.b) for r in H.likely(pairs, nodes, 80).collect()} == {(1, 2), (1, 3)}
