@@ -79,8 +79,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Batches of whole texts that go to Python workers hold about ``size`` bytes, not Spark's 64 MB, where nothing is set."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per context, as ``--py-files`` would."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if getattr(sc, "_sparkfold_shipped", False):
         return
