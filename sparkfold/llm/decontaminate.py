@@ -6,6 +6,16 @@ edits.  It is cut into k + 1 pieces; where a passage lies within k edits, at lea
 one piece stands there unchanged.  One Aho-Corasick pass finds all piece hits of
 all items; around a hit Myers' bit-parallel search gives the least edit distance.
 
+Any k + 1 pieces will do, so an item is cut where it differs from the others: each
+piece gets about as many places whose six characters few items hold.  A question stem
+that thousands of items share then lies in pieces that also hold some of the item's own
+words.  Where an item has too few of its own, its pieces may be shared; a hit of such a
+piece is first held against all its items by counts of shared character triples.
+
+An item whose budget is no edit (at 5 %: under 20 characters) must stand as whole
+words: ``art`` is found in ``the art of`` and not in ``cartwright``.  Longer items
+match wherever they stand, also where a quoted passage breaks off within a word.
+
 Items go out in blocks of ``block_bytes``, each one pass over the documents, so
 neither the driver nor a task holds more of them at once.
 """
@@ -17,6 +27,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,11 +81,82 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+EDGES = ("", " ")
+GRAM, SLOTS, CROWD = 6, 1 << 22, 32
+
+
+def grams(text: str, size: int = GRAM, slots: int = SLOTS) -> np.ndarray:
+    """A slot number for the ``size`` characters from each place of ``text``; a shorter text has none."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = max(0, len(codes) - size + 1)
+    mixed = np.zeros(n, dtype=np.uint64)
+    for j in range(size):
+        mixed = (mixed ^ codes[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed & np.uint64(slots - 1)).astype(np.int64)
+
+
+def short_grams(text: str) -> np.ndarray:
+    return np.unique(grams(text, 3, 1 << 16)).astype(np.uint16)
+
+
+def cuts_by_rarity(held_by: np.ndarray, length: int, pieces: int) -> list[int]:
+    """``pieces + 1`` places that cut ``length`` characters into pieces with about as many rare grams each.
+
+    ``held_by``: for each place with a gram, how many items hold it.  Rare is what at most 1, 4, 16, ... items hold:
+    the least bound that gives every piece ``GRAM`` rare places (or an even cut's length, where that is less).
+    """
+    least = min(GRAM, length // pieces)
+    bound = 1
+    while len(held_by) and bound < held_by.max():
+        rare = np.append(held_by <= bound, np.full(length - len(held_by), held_by[-1] <= bound))
+        sums = np.cumsum(rare)
+        if sums[-1] >= pieces * least:
+            return [0, *(np.searchsorted(sums, sums[-1] * np.arange(1, pieces) // pieces) + 1).tolist(), length]
+        bound *= 4
+    return [length * i // pieces for i in range(pieces + 1)]
+
+
+class Crowd:
+    """The uses of a piece that more than ``CROWD`` items hold; ``promising`` says which of them a hit may belong to.
+
+    An edit changes at most three of an item's three-character grams, so within k edits all but 3 k of its distinct
+    ones stand in the text around the hit.  Grams are hashed to 16 bits: a collision only lets more items through.
+    """
+
+    def __init__(self, uses: list[tuple[int, int]], matcher: Matcher):
+        self.uses, self.matcher = uses, matcher
+        self.items, self.offsets = np.array(uses, dtype=np.int64).T
+        sizes = np.array([len(matcher.items[i][0]) for i in self.items.tolist()])
+        edits = np.array([matcher.items[i][2] for i in self.items.tolist()])
+        self.before, self.after = int((self.offsets + edits).max()), int((sizes - self.offsets + edits).max())
+        self.least = np.array([len(matcher.short[i]) for i in self.items.tolist()]) - 3 * edits
+
+    def promising(self, text: str, place: int) -> list[tuple[int, int]]:
+        here = self.matcher.mask
+        around = short_grams(text[max(0, place - self.before):place + self.after])
+        here[around] = True
+        short, out = self.matcher.short, []
+        for lo in range(0, len(self.uses), 4096):
+            part = [short[i] for i in self.items[lo:lo + 4096].tolist()]
+            sizes = np.array([len(g) for g in part])
+            ends = np.cumsum(sizes)
+            sums = np.append(0, np.cumsum(here[np.concatenate(part)]))
+            enough = sums[ends] - sums[ends - sizes] >= self.least[lo:lo + 4096]
+            out += [self.uses[lo + j] for j in np.flatnonzero(enough).tolist()]
+        here[around] = False
+        return out
+
+
 class Matcher:
-    """All items of a block: finds their passages in folded texts."""
+    """All items of a block: finds their passages in folded texts.
+
+    With ``whole_words`` an item whose budget is no edit only matches between spaces or the text's edges.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, whole_words: bool = False):
         import ahocorasick
+        self.whole_words = whole_words
         self.items: list[tuple[str, list[int], int]] = []
         by_text: dict[str, list[int]] = {}
         for item_id, text in items:
@@ -82,15 +164,21 @@ class Matcher:
             if folded:
                 by_text.setdefault(folded, []).append(item_id)
         pieces: dict[str, list[tuple[int, int]]] = {}
+        counts = np.zeros(SLOTS, dtype=np.int32)
+        for text in by_text:
+            counts[np.unique(grams(text))] += 1
         for text, ids in by_text.items():
             k = min(math.floor(rate * len(text)), len(text) - 1)
-            cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
+            cuts = cuts_by_rarity(counts[grams(text)], len(text), k + 1)
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(text[a:b], []).append((len(self.items), a))
             self.items.append((text, ids, k))
+        self.mask = np.zeros(1 << 16, dtype=bool)
+        crowded = {piece: uses for piece, uses in pieces.items() if len(uses) > CROWD}
+        self.short = {i: short_grams(self.items[i][0]) for i in {i for uses in crowded.values() for i, _ in uses}}
         self.automaton = ahocorasick.Automaton()
         for piece, uses in pieces.items():
-            self.automaton.add_word(piece, (len(piece), uses))
+            self.automaton.add_word(piece, (len(piece), Crowd(uses, self) if piece in crowded else uses))
         if pieces:
             self.automaton.make_automaton()
 
@@ -101,11 +189,13 @@ class Matcher:
         if not self.items:
             return found
         for last, (size, uses) in self.automaton.iter(text):
-            for item, offset in uses:
+            for item, offset in uses.promising(text, last + 1 - size) if isinstance(uses, Crowd) else uses:
                 if item in found and found[item][0] == 0:
                     continue
                 pattern, _, k = self.items[item]
                 at = last + 1 - size - offset  # where the item would start without edits
+                if not k and self.whole_words and not (text[max(0, at - 1):at] in EDGES and text[last + 1:last + 2] in EDGES):
+                    continue  # the one piece of this item is all of it
                 if at >= 0 and text.startswith(pattern, at):
                     found[item] = (0, at, at + len(pattern))
                     continue
@@ -132,7 +222,7 @@ def _matcher(items, rate: float) -> Matcher:
     key, block = items.value
     if (key, rate) not in _MATCHERS:
         _MATCHERS.clear()
-        _MATCHERS[key, rate] = Matcher(block, rate)
+        _MATCHERS[key, rate] = Matcher(block, rate, whole_words=True)
     return _MATCHERS[key, rate]
 
 
@@ -149,7 +239,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, blo
     """One row per document and item found in it: doc_id, item_id, distance, start, end (characters of the text).
 
     Null or empty texts hold nothing; items without a letter or digit match
-    nothing; repeated rows are reported each; an item that stands in a document
+    nothing, those of no edit budget match whole words; repeated rows are reported each; an item that stands in a document
     more than once is reported at its best place.  Documents without a match have
     no row.
     """
@@ -178,7 +268,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, blo
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, block_bytes: int = 16 << 20) -> DataFrame:
     """``docs`` without the documents that hold a passage within the edit budget of an item; all columns kept.
 
-    Nothing is shuffled: each block of items filters the rows in place.
+    Nothing is shuffled: each block of items filters the rows in place.  Null and empty texts stay, as does every row
+    where no item has a text; rows with a null or a repeated doc_id are judged each by its own text.
     """
     spark = docs.sparkSession
     columns, at = docs.columns, docs.columns.index("text")
