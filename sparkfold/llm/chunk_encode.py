@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from sparkfold.llm.worker import keep_only
+
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 LONGEST_KEPT = 64
 RUN = 64
@@ -113,14 +115,12 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
-
-
 def encoder(path: str, keeps_space: bool) -> ChunkEncoder:
-    """One encoder per Python worker, so its memory serves later tasks too."""
-    if (path, keeps_space) not in _ENCODERS:
-        _ENCODERS[path, keeps_space] = ChunkEncoder(path, keeps_space)
-    return _ENCODERS[path, keeps_space]
+    """One encoder per Python worker, so its memory serves later tasks too, until another operator's run there."""
+    kept = keep_only("encoder")
+    if (path, keeps_space) not in kept:
+        kept[path, keeps_space] = ChunkEncoder(path, keeps_space)
+    return kept[path, keeps_space]
 
 
 def slices(texts: list[str], chars: int = 2_000_000):

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkfold.llm.worker import keep_only
+
 FOLD = re.compile(r"[\W_]+")
 MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
@@ -214,16 +216,14 @@ class Matcher:
         return self.items[item][1]
 
 
-_MATCHERS: dict[tuple, Matcher] = {}
-
-
 def _matcher(items, rate: float) -> Matcher:
     """One matcher per worker and block."""
     key, block = items.value
-    if (key, rate) not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key, rate] = Matcher(block, rate, whole_words=True)
-    return _MATCHERS[key, rate]
+    kept = keep_only("matcher")
+    if (key, rate) not in kept:
+        kept.clear()
+        kept[key, rate] = Matcher(block, rate, whole_words=True)
+    return kept[key, rate]
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:

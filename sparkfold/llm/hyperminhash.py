@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sparkfold.llm import scratch
 from sparkfold.llm.shingles import shingle_sets, slices
+from sparkfold.llm.worker import keep_only
 
 BUCKET_BITS, MANTISSA_BITS = 7, 10
 BUCKETS, BANDS = 1 << BUCKET_BITS, 32
@@ -83,6 +84,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fingerprint", pa.binary()), ("registers", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("sketch")
         for b in batches:
             ids, texts = b.column(0), [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
             for lo, hi in slices(texts):
@@ -106,6 +108,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     floor = share - 6 * (share * (1 - share) / BUCKETS) ** 0.5
     # 0 shingles: several sets
     one = nodes.groupBy("rep").agg(F.when(F.count(F.lit(1)) == 1, F.first("n_shingles")).otherwise(0).alias("n"), F.first("registers").alias("r"))
+    one = scratch.stored(one, "one")  # a join of two plain exchanges is one whose crowded leads Spark can split
     side = lambda c: one.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("r").alias(f"r_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     # a pair of such different sizes can't reach the threshold
@@ -129,6 +132,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             .join(texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b")), "b").select("a", "b", "t_a", "t_b"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("verify")
         for batch in batches:
             x, y = (batch.column(c).cast(pa.binary()).to_pylist() for c in (2, 3))
             keep: list[bool] = []
@@ -165,6 +169,7 @@ def linked_in_blocks(groups: DataFrame, texts: DataFrame, width: int, percent: i
     members, queries = dealt_blocks(groups, texts)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        keep_only("blocks")
         found: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
             member_sets, query_sets = ([s for lo, hi in slices(t) for s in shingle_sets(t[lo:hi], width)]

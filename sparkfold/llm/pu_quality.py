@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from sparkfold.llm import scratch
 from sparkfold.llm.samples import first_by_hash, fold, labelled_ids
 from sparkfold.llm.shingles import PLACES, mix, slices, word_hashes
+from sparkfold.llm.worker import keep_only
 from sparkfold.ml.sums import total
 
 PATTERNS, EXTRA = 1024, 6
@@ -258,6 +259,7 @@ def unlabelled_rows(docs: DataFrame, modulus: int, held_out: int) -> DataFrame:
     """(doc_id, place, half, row) of every document outside the held-out fold, stored: the features as float16; place
     is a hash of id and text, whose low end is the sample; half splits the rows for the prior."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("quality")
         for b in batches:
             texts = b.column(3).cast(pa.binary()).to_pylist()
             for lo, hi in slices(texts):
@@ -302,6 +304,7 @@ def score(docs: DataFrame, model: Model | None, modulus: int = 5, held_out: int
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("quality")
         for b in batches:
             texts = [t or b"" for t in b.column(2).cast(pa.binary()).to_pylist()]
             out: list[float] = []
@@ -329,6 +332,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, most: int = 6000, cut: float =
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("quality")
         for b in batches:
             texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
             keep: list[bool] = []
