@@ -161,3 +161,31 @@ def test_knn_with_fewer_rows_than_k_and_none(spark):
     assert neighbors.knn_vote(train, test.limit(0), k=2, cell_rows=1).count() == 0
     none = neighbors.knn_work(train.limit(0), test, k=2).first()
     assert (none.n_rows, none.n_computed, none.saved) == (0, 0, 0.0)
+
+
+def test_cells_of_queries_are_arrow_arrays_of_bounded_memory():
+    """10,000 queries that must meet all 256 cells: 2.56 million (cell, gap) pairs, never Python objects."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkfold.operators import neighbors as N
+    rng = np.random.default_rng(2)
+    pivots, vecs = rng.normal(size=(256, 4)), rng.normal(size=(10_000, 4))
+    counts, low, high = np.ones(256, dtype=np.int64), np.zeros(256), np.full(256, 99.0)
+    counts[7] = 0
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(10_000)), pa.array(list(vecs)), pa.array(np.full(10_000, 99.0)), pa.array(np.arange(10_000))],
+                                       ["id", "vec", "_bound", "_salt"])
+    fn = N._cells_of_queries(pivots, N._gaps(pivots, pivots), counts, low, high, 1, True)
+    tracemalloc.start()
+    met, rows = 0, 0
+    for out in fn(iter([batch])):
+        cells = out.column("_cells")
+        met, rows = met + len(cells.flatten()), rows + out.num_rows
+        first = cells[0].as_py()
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    assert rows == 10_000 and met > 10_000 * 250 and 7 not in [c["cell"] for c in first]
+    v = vecs[out.column("id")[0].as_py()]
+    assert all(abs(c["gap"] - np.linalg.norm(v - pivots[c["cell"]])) < 1e-12 for c in first)
