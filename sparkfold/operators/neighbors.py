@@ -60,6 +60,30 @@ QUERY_TILE, REF_TILE = 32, 2048
 SLACK = 1e-9
 
 
+def _candidates(Q: np.ndarray, own: np.ndarray, rows: np.ndarray, squares: np.ndarray, n: int, limit: np.ndarray,
+                beyond: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, squared distance) of all pairs of a tile that may be among a query's ``n`` nearest: not farther than
+    ``limit`` (its n-th so far) or ``beyond``, and not than the tile's own n-th.  ``own``, ``squares``: squared lengths.
+
+    One matrix product gives all distances up to a rounding error that is bounded; only
+    pairs within it of the limit get their distance as it is returned, by differences.
+    """
+    with np.errstate(invalid="ignore", over="ignore"):
+        near = own[:, None] + squares[None, :] - 2 * (Q @ rows.T)
+        error = 8 * (Q.shape[1] + 8) * np.finfo(np.float64).eps * (own + squares.max())
+        if not np.isfinite(near).all() or not np.isfinite(error).all():  # too large for products
+            near, error = ((Q[:, None, :] - rows[None]) ** 2).sum(axis=2), np.zeros(len(Q))
+    limit = np.minimum(limit, beyond)
+    loose = np.flatnonzero(np.isinf(limit))
+    if len(loose):
+        n = min(n, len(rows))
+        limit[loose] = np.partition(near[loose], n - 1, axis=1)[:, n - 1] + error[loose]
+    hits, cols = np.nonzero(near <= (limit + error)[:, None])
+    d2 = ((Q[hits] - rows[cols]) ** 2).sum(axis=1)
+    kept = d2 <= np.minimum(limit, beyond)[hits]
+    return hits[kept], cols[kept], d2[kept]
+
+
 def _block_topk(k: int, tile: int = REF_TILE):
     """The k nearest rows of a block for each of its queries.  ``_gap`` (distance to the cell's pivot, both sides) and
     ``_bound`` (the queries' k-th distance so far) let tiles be skipped; without them all distances are computed."""
@@ -76,6 +100,7 @@ def _block_topk(k: int, tile: int = REF_TILE):
         else:
             ref_gap, all_gaps, all_bounds = np.zeros(len(ref)), np.zeros(len(qry)), np.full(len(qry), np.inf)
         R = np.stack(ref["vec"].to_numpy()).astype(np.float64)
+        squares = (R ** 2).sum(axis=1)
         rid = ref["id"].to_numpy(np.int64)
         lab = ref["label"].to_numpy(np.int64)
         tiles = [(at, ref_gap[at], ref_gap[min(at + tile, len(R)) - 1]) for at in range(0, len(R), tile)]
@@ -84,27 +109,42 @@ def _block_topk(k: int, tile: int = REF_TILE):
         ids = qry["id"].to_numpy(np.int64)
         for start in range(0, len(qry), QUERY_TILE):
             Q = np.stack(qry["vec"].iloc[start:start + QUERY_TILE].to_numpy()).astype(np.float64)
+            own = (Q ** 2).sum(axis=1)
             gap, bound = all_gaps[start:start + QUERY_TILE], all_bounds[start:start + QUERY_TILE].copy()
-            best: list[list[tuple[float, int, int]]] = [[] for _ in Q]
-            computed = np.zeros(len(Q), dtype=np.int64)
+            # the bound it came with: k rows of other blocks are that near, so what is farther is no neighbour
+            beyond = bound ** 2 * (1 + SLACK)
+            best_d, best_at = np.full((len(Q), kk), np.inf), np.zeros((len(Q), kk), dtype=np.int64)
+            have, computed = np.zeros(len(Q), dtype=np.int64), np.zeros(len(Q), dtype=np.int64)
             middle = float(np.median(gap))
             for at, low, high in sorted(tiles, key=lambda t: max(t[1] - middle, middle - t[2])):  # nearest shells first
                 live = np.flatnonzero(np.maximum(low - gap, gap - high) <= bound + SLACK * (gap + high))
                 if not len(live):
                     continue
-                d2 = ((Q[live, None, :] - R[None, at:at + tile, :]) ** 2).sum(axis=2)
-                computed[live] += d2.shape[1]
-                n = min(kk, d2.shape[1])
-                limit = np.partition(d2, n - 1, axis=1)[:, n - 1]
-                for r, row, most in zip(live.tolist(), d2, limit):  # the tile's nearest, all ties included, join the nearest so far
-                    near = np.flatnonzero(row <= (min(most, best[r][-1][0]) if len(best[r]) == kk else most))
-                    best[r] = sorted(best[r] + [(float(row[j]), int(rid[at + j]), int(lab[at + j])) for j in near])[:kk]
-                    if len(best[r]) == k:
-                        bound[r] = min(bound[r], math.sqrt(best[r][-1][0]))
+                rows = R[at:at + tile]
+                computed[live] += len(rows)
+                hits, cols, d2 = _candidates(Q[live], own[live], rows, squares[at:at + tile], kk,
+                                             np.where(have[live] == kk, best_d[live, -1], np.inf), beyond[live])
+                if not len(hits):
+                    continue
+                # the nearest so far and the new ones, each query's in the order of (squared distance, id)
+                changed, counts = np.unique(live[hits], return_counts=True)
+                old_q, old_c = np.nonzero(np.arange(kk) < have[changed][:, None])
+                q = np.concatenate([changed[old_q], live[hits]])
+                d, where = np.concatenate([best_d[changed[old_q], old_c], d2]), np.concatenate([best_at[changed[old_q], old_c], at + cols])
+                order = np.lexsort((rid[where], d, q))
+                q, d, where = q[order], d[order], where[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                kept = place < kk
+                best_d[q[kept], place[kept]], best_at[q[kept], place[kept]] = d[kept], where[kept]
+                have[changed] = np.minimum(kk, have[changed] + counts)
+                if kk == k:
+                    whole = changed[have[changed] == k]
+                    bound[whole] = np.minimum(bound[whole], np.sqrt(best_d[whole, -1]))
             for r, qid in enumerate(ids[start:start + QUERY_TILE].tolist()):
+                near = best_at[r, :have[r]]
                 out_q.append(qid)
                 out_n.append(int(computed[r]))
-                out_c.append([{"d2": d, "rid": i, "label": v} for d, i, v in best[r]])
+                out_c.append([{"d2": d, "rid": i, "label": v} for d, i, v in zip(best_d[r].tolist(), rid[near].tolist(), lab[near].tolist())])
         return pd.DataFrame({"qid": out_q, "computed": out_n, "cands": out_c})
     return fn
 

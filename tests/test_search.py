@@ -189,3 +189,23 @@ def test_cells_of_queries_are_arrow_arrays_of_bounded_memory():
     assert rows == 10_000 and met > 10_000 * 250 and 7 not in [c["cell"] for c in first]
     v = vecs[out.column("id")[0].as_py()]
     assert all(abs(c["gap"] - np.linalg.norm(v - pivots[c["cell"]])) < 1e-12 for c in first)
+
+
+def test_block_keeps_what_the_bound_allows_and_computes_few_differences(monkeypatch):
+    """Rows beyond a query's bound are left to other blocks; ties at the bound stay; distances come from one product."""
+    import numpy as np
+    import pandas as pd
+
+    from sparkfold.operators import neighbors as N
+    rng = np.random.default_rng(4)
+    for offset in (0.0, 1e6):
+        R, Q = rng.integers(0, 4, (3000, 6)) + offset, rng.integers(0, 4, (40, 6)) + offset
+        d2 = ((Q[:, None] - R[None]) ** 2).sum(axis=2)
+        bound = np.sqrt(np.sort(d2, axis=1)[:, 2])
+        gaps = np.linalg.norm(np.concatenate([R, Q]) - R[0], axis=1)
+        pdf = pd.DataFrame({"id": [*range(3000), *range(40)], "vec": [*R.astype(float), *Q.astype(float)], "label": [0] * 3040,
+                            "_side": [1] * 3000 + [0] * 40, "_gap": gaps, "_bound": [*[None] * 3000, *bound]})
+        out = N._block_topk(7, 256)((0, 0, 0), pdf)
+        for q, cands in zip(out["qid"], out["cands"]):
+            near = sorted((d, i) for i, d in enumerate(d2[q].tolist()) if d <= bound[q] ** 2 * (1 + 1e-9))[:7]
+            assert [(c["d2"], c["rid"]) for c in cands] == near
