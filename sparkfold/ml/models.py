@@ -10,11 +10,12 @@ consume.  Positive class probability is ``probability[1]``.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+                                       MultilayerPerceptronClassifier, RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -131,6 +132,44 @@ def oof_predictions(df: DataFrame, test: DataFrame | None, stages_fn: Callable[[
     return oof, tmean
 
 
+# --- forests in groups of trees (M5, M6) -------------------------------------------------------------------------------
+#: Rows that the trees of one group see between them.  A deep tree has a node for every two or three of its rows, and
+#: Spark holds the nodes of all trees of a fit on the driver: at 200 trees of 12,000 rows more than 750 MB.
+TREE_ROWS = 250_000
+
+
+def forest_groups(est: RandomForestClassifier, train: DataFrame, tree_rows: int | None = None) -> Iterator[RandomForestClassificationModel]:
+    """Fit the forest ``est`` in groups of whole trees, one model at a time, so that the driver holds one group.
+
+    A group has as many trees as see ``tree_rows`` rows (``TREE_ROWS``) between them, one tree at least.  Each
+    has a seed of its own and draws columns as the whole forest would; if all trees fit into
+    one group it is the model of ``est`` itself.  Drop a model before the next one is asked for.
+    """
+    trees, most = est.getNumTrees(), max(1, (tree_rows or TREE_ROWS) // max(1, train.count()))
+    groups = math.ceil(trees / most)
+    est = est.copy({est.cacheNodeIds: True})  # else every level sends all nodes so far from the driver
+    if groups > 1 and est.getFeatureSubsetStrategy() == "auto":
+        est = est.copy({est.featureSubsetStrategy: "sqrt"})  # what it means for more than one tree
+    for g in range(groups):
+        share = trees * (g + 1) // groups - trees * g // groups
+        yield est.copy({est.numTrees: share, est.seed: est.getSeed() + 1_000_003 * g}).fit(train)
+
+
+def forest_score(est: RandomForestClassifier, train: DataFrame, test: DataFrame, id_col: str, tree_rows: int | None = None) -> DataFrame:
+    """(id, proba) on ``test``: the mean vote of all trees of the forest, from groups of them.
+
+    A group's votes are written to ``spark.checkpoint.dir`` before the next group is fitted; ids may repeat.
+    """
+    rows = cut_lineage(test.select(id_col, est.getFeaturesCol(), F.monotonically_increasing_id().alias("_row")))
+    votes = vector_to_array(F.col("rawPrediction"))
+    parts = []
+    for model in forest_groups(est, train, tree_rows):
+        parts.append(cut_lineage(model.transform(rows).select("_row", votes[1].alias("_for"), (votes[0] + votes[1]).alias("_all"))))
+        del model  # the driver's copy goes before the next group comes
+    summed = reduce(DataFrame.unionByName, parts).groupBy("_row").agg((F.sum("_for") / F.sum("_all")).alias("proba"))
+    return rows.select(id_col, "_row").join(summed, "_row").select(id_col, "proba")
+
+
 # --- AdaBoost with weighted stumps (M10) ------------------------------------------------------------------------------
 def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds: int = 50,
              features: str = FEATURES, checkpoint_every: int = 3) -> DataFrame:

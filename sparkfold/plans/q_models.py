@@ -116,7 +116,8 @@ def ml_rff_svc(spark, sf):
 def ml_random_forest(spark, sf):
     _, train, test = _train_test(spark, sf)
     est = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=DEEPEST, maxMemoryInMB=512, maxBins=M.max_bins(train, CAT))
-    return M.fit_score(train, test, M.feature_stages(NUMS, CAT, onehot=False), est, "founder_id")
+    prep = M.Pipeline(stages=M.feature_stages(NUMS, CAT, onehot=False)).fit(train)
+    return M.forest_score(est, prep.transform(train), prep.transform(test), "founder_id")
 
 
 KEPT_FEATURES = 24
