@@ -13,6 +13,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassificationModel, RandomForestClassifier)
@@ -170,6 +171,16 @@ def forest_score(est: RandomForestClassifier, train: DataFrame, test: DataFrame,
     return rows.select(id_col, "_row").join(summed, "_row").select(id_col, "proba")
 
 
+def forest_importances(est: RandomForestClassifier, train: DataFrame, tree_rows: int | None = None) -> np.ndarray:
+    """Spark's importances of the whole forest, from groups of its trees: the mean over the trees that split."""
+    total, grown = 0.0, 0
+    for model in forest_groups(est, train, tree_rows):
+        split = sum(t.numNodes > 1 for t in model.trees)
+        total, grown = total + split * model.featureImportances.toArray(), grown + split
+        del model
+    return total / max(1, grown)
+
+
 # --- AdaBoost with weighted stumps (M10) ------------------------------------------------------------------------------
 def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds: int = 50,
              features: str = FEATURES, checkpoint_every: int = 3) -> DataFrame:

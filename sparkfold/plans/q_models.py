@@ -133,8 +133,8 @@ def select_topk_features(spark, sf):
     df = model_frame(spark, sf)
     df = cut_lineage(A.assemble(df, NUMS, CAT, "fold != 0").select("founder_id", "fold", "y", "weight", "features"))
     train = df.where("fold != 0")
-    forest = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=DEEPEST, maxMemoryInMB=512).fit(train)
-    top = A.top_names(forest.featureImportances.toArray(), A.feature_names(df), KEPT_FEATURES)
+    forest = M.estimator("rf", labelCol="y", weight="weight", numTrees=200, maxDepth=DEEPEST, maxMemoryInMB=512)
+    top = A.top_names(M.forest_importances(forest, train), A.feature_names(df), KEPT_FEATURES)
     sliced = A.select_features(df, [name for _, name, _ in top])
     model = M.estimator("logreg", labelCol="y", weight="weight", featuresCol="selected", maxIter=200).fit(sliced.where("fold != 0"))
     scores = model.transform(sliced.where("fold = 0")).select("founder_id", M.positive_proba().alias("proba"))

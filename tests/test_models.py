@@ -193,3 +193,36 @@ def test_many_categories_fit_a_tree(spark):
     assert M.max_bins(df, ["c"]) >= 51
     est = M.estimator("gbt", labelCol="y", maxIter=3, maxBins=M.max_bins(df, ["c"]))
     assert M.fit_score(df, df, M.feature_stages(["x"], ["c"], onehot=False), est, "id").count() == 600
+
+
+# --- M5 / M6 in groups of trees -----------------------------------------------------------------------------------------
+def test_a_forest_in_groups_holds_few_trees_and_scores_all(spark, monkeypatch):
+    """No fit has more trees than its rows allow; all trees vote; one group is Spark's own forest; ids may repeat."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 6))
+    df = points(spark, x, (x[:, 0] + x[:, 1] > 0).astype(int)).withColumn("id", F.col("id") % 250).cache()
+    est = M.estimator("rf", labelCol="y", numTrees=11, maxDepth=5)
+    whole = est.fit(df)
+    want = sorted((r.id, r.p) for r in whole.transform(df).select("id", M.positive_proba().alias("p")).collect())
+    got = sorted((r.id, r.proba) for r in M.forest_score(est, df, df, "id").collect())
+    assert np.allclose(got, want, atol=1e-12, rtol=0)
+    assert np.allclose(M.forest_importances(est, df), whole.featureImportances.toArray(), atol=1e-12, rtol=0)
+    groups = list(M.forest_groups(est, df, tree_rows=1000))
+    assert [g.getNumTrees for g in groups] == [2, 3, 3, 3] and all(g.getFeatureSubsetStrategy() == "sqrt" for g in groups)
+    votes = np.mean([[r.p for r in t.transform(df).select(M.positive_proba().alias("p")).collect()] for g in groups for t in g.trees], axis=0)
+    got = [r.proba for r in M.forest_score(est, df, df.withColumn("id", F.monotonically_increasing_id()), "id", tree_rows=1000).orderBy("id").collect()]
+    assert np.allclose(got, votes, atol=1e-12, rtol=0)
+    assert int(np.argmax(M.forest_importances(est, df, tree_rows=300))) in (0, 1)
+
+    class Asked(Exception):
+        pass
+
+    def whole_fit(self, *a):
+        raise Asked(self.getNumTrees())
+
+    monkeypatch.setattr(M, "TREE_ROWS", 1000)
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", whole_fit)
+    for query in (q_models.ml_random_forest, q_models.select_topk_features):
+        with pytest.raises(Asked) as asked:
+            query(spark, SF01)  # 1,200 training rows
+        assert asked.value.args[0] < 200
