@@ -66,7 +66,7 @@ def side_by_side(jobs: Sequence[Callable[[], object]], threads: int = 4) -> list
     """Run independent fits from a bounded pool of driver threads, each in a scheduler pool of its own;
     results in the order of ``jobs``.  The first error is raised after all have ended."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()  # a thread of the caller's may have none active
 
     def run(i: int):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i}")

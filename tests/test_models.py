@@ -226,3 +226,9 @@ def test_a_forest_in_groups_holds_few_trees_and_scores_all(spark, monkeypatch):
         with pytest.raises(Asked) as asked:
             query(spark, SF01)  # 1,200 training rows
         assert asked.value.args[0] < 200
+
+
+def test_side_by_side_from_a_thread_without_an_active_session(spark, monkeypatch):
+    from pyspark.sql import SparkSession
+    monkeypatch.setattr(SparkSession, "getActiveSession", classmethod(lambda cls: None))
+    assert side_by_side([lambda i=i: spark.range(i).count() for i in range(2)]) == [0, 1]
