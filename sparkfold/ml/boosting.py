@@ -7,7 +7,7 @@ aggregate gives both losses.  Boosting goes on from the stored margin (no tree i
 twice), stops ``patience`` rounds after the best validation loss, and the model is the
 prefix up to the best round.
 
-The rows live in one frame that is persisted for a round and written to
+The rows live in one frame, dealt evenly over the cores, that is persisted for a round and written to
 ``spark.checkpoint.dir`` every ``store_every`` rounds, which bounds the lineage: a lost
 executor costs that many rounds of recomputation at most.  What comes to the driver is
 one tree and two losses a round.
@@ -21,12 +21,12 @@ from dataclasses import dataclass
 
 from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.ml.sums import sized
+from sparkfold.ml.sums import even, sized
 from sparkfold.session import cut_lineage
 
 #: Hessians below this count as this, so a row that is certain still has a weight.
@@ -87,7 +87,8 @@ def boost(rows: DataFrame, label: str, valid: Column | None = None, weight: str
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     part = F.coalesce(valid, F.lit(None)).cast("int") if valid is not None else F.lit(0)
-    rows = rows.select(features, F.col(label).cast("double").alias("_y"), w.alias("_w"), part.alias("_valid")).where("_y is not null and _valid is not null")
+    dense = array_to_vector(vector_to_array(features)).alias(features, metadata=rows.schema[features].metadata)  # cheaper to cut into bins
+    rows = rows.select(dense, F.col(label).cast("double").alias("_y"), w.alias("_w"), part.alias("_valid")).where("_y is not null and _valid is not null")
     train = F.col("_valid") == 0
     start = rows.agg(F.count("_y").alias("rows"), F.sum(F.when(train, F.col("_w"))).alias("n"), F.sum(F.when(train, F.col("_w") * F.col("_y"))).alias("pos")).first()
     if not start["n"]:
@@ -99,22 +100,23 @@ def boost(rows: DataFrame, label: str, valid: Column | None = None, weight: str
     loss = F.col("_w") * log_loss(F.col("_y"), F.col("_margin"))
     watch = [F.sum(F.when(c, loss)) / F.sum(F.when(c, F.col("_w"))) for c in (train, ~train)] + [F.sum(F.when(train, F.col("_w") * hessian))]
 
-    held = sized(cut_lineage(rows.withColumn("_margin", F.lit(base))), start["rows"]).persist(StorageLevel.MEMORY_AND_DISK)
+    targets = {"_step": (F.col("_y") - p) / hessian, "_h": F.col("_w") * hessian}  # stored with the margin: a fit reads them three times
+    held = sized(cut_lineage(even(rows.withColumn("_margin", F.lit(base)), start["rows"])), start["rows"]).withColumns(targets).persist(StorageLevel.MEMORY_AND_DISK)
     trees, best_round = [], 0
     losses = held.agg(*[c.alias(f"c{i}") for i, c in enumerate(watch)]).first()
     history, best = [(0, losses[0], losses[1])], losses[1]
     while len(trees) < rounds and (valid is None or len(trees) - best_round < patience):
-        fit_rows = held.where(train).select(features, ((F.col("_y") - p) / hessian).alias("_step"), (F.col("_w") * hessian).alias("_h"))
+        fit_rows = held.where(train).select(features, "_step", "_h")
         forest = RandomForestRegressor(
             featuresCol=features, labelCol="_step", weightCol="_h", numTrees=1, maxDepth=depth, maxBins=max_bins, bootstrap=False,
             subsamplingRate=row_share, featureSubsetStrategy=str(column_share) if column_share < 1 else "all", seed=seed + len(trees),
             minWeightFractionPerNode=min(0.49, 1.0 / max(losses[2], 1e-9)))
         tree = forest.fit(fit_rows).trees[0]
         trees.append(tree)
-        moved = tree.setPredictionCol("_tree").transform(held).withColumn("_margin", F.col("_margin") + F.lit(step) * F.col("_tree")).drop("_tree")
+        moved = tree.setPredictionCol("_tree").transform(held).withColumn("_margin", F.col("_margin") + F.lit(step) * F.col("_tree")).drop("_tree", *targets)
         if len(trees) % store_every == 0:
             moved = sized(cut_lineage(moved), start["rows"])
-        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
+        moved = moved.withColumns(targets).persist(StorageLevel.MEMORY_AND_DISK)
         losses = moved.agg(*[c.alias(f"c{i}") for i, c in enumerate(watch)]).first()
         held.unpersist()
         held = moved

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,28 @@ def sized(df: DataFrame, rows: int | None = None, rows_per_task: int = 20_000) -
     return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
 
 
+def even(df: DataFrame, rows: int, rows_per_task: int = 20_000, most_rows: int = 500_000) -> DataFrame:
+    """``df`` dealt evenly over the cores (over fewer tasks below ``rows_per_task`` rows each), for frames that are read over
+    and over: a pass takes as long as its largest task, and a frame read from files, or cut by ranges, may hold a third of
+    its rows in one.  A task has ``most_rows`` at most; a frame that fits one task stays as it is."""
+    tasks = -(-rows // rows_per_task)
+    if tasks <= 1:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks if tasks < cores else cores * -(-rows // (cores * most_rows)))
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` in even tasks, in memory (on disk beyond it) while a solver reads it once a step."""
+    rows = df.count()
+    held = sized(even(df, rows), rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def total(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
     """The sum over partitions of ``add(batches)``, a vector of ``size`` doubles each.
 

@@ -11,7 +11,7 @@ from conftest import SF001, SF01
 from sparkfold.ml import assemble as A
 from sparkfold.ml import boosting, mlp, svm
 from sparkfold.ml import models as M
-from sparkfold.ml.sums import side_by_side, total
+from sparkfold.ml.sums import even, side_by_side, total
 from sparkfold.plans import q_models
 
 
@@ -232,3 +232,49 @@ def test_side_by_side_from_a_thread_without_an_active_session(spark, monkeypatch
     from pyspark.sql import SparkSession
     monkeypatch.setattr(SparkSession, "getActiveSession", classmethod(lambda cls: None))
     assert side_by_side([lambda i=i: spark.range(i).count() for i in range(2)]) == [0, 1]
+
+
+# --- passes over even tasks ---------------------------------------------------------------------------------------------
+class Passed(Exception):
+    pass
+
+
+@pytest.fixture(scope="module")
+def lopsided(spark):
+    """60,000 rows of one label each way, all in one task."""
+    df = spark.range(60_000, numPartitions=1).select("id", F.array((F.col("id") % 97).cast("double"), F.lit(0.0)).alias("a"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    return df.withColumn("features", array_to_vector("a"))
+
+
+def shares(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def assert_even(df, rows=60_000):
+    assert len(shares(df)) == 3 and sum(shares(df)) == rows and max(shares(df)) < 1.05 * rows / 3
+    assert df.storageLevel.useMemory
+
+
+def test_even_leaves_a_small_frame_and_deals_a_large_one(spark, lopsided):
+    assert even(lopsided, 20_000) is lopsided
+    cores = spark.sparkContext.defaultParallelism
+    assert even(lopsided, 60_000_000).rdd.getNumPartitions() % cores == 0
+    assert even(lopsided, 60_000_000).rdd.getNumPartitions() * 500_000 >= 60_000_000
+
+
+def test_boosting_reads_even_tasks(lopsided, monkeypatch):
+    def fit(self, rows):
+        assert max(shares(rows)) < 1.05 * 60_000 / 3 and rows.columns == ["features", "_step", "_h"]
+        raise Passed
+
+    monkeypatch.setattr(boosting.RandomForestRegressor, "fit", fit)
+    with pytest.raises(Passed):
+        boosting.boost(lopsided, "y", rounds=1)
+
+
+def test_boosting_keeps_the_metadata_of_its_features(spark):
+    """Raw categoricals stay categorical (M9): a split of one is a set of values, not a threshold."""
+    df = spark.createDataFrame([(i, "abcdef"[i % 6], int(i % 6 in (1, 4))) for i in range(600)], "id long, c string, y int")
+    rows = M.Pipeline(stages=M.feature_stages([], ["c"], onehot=False)).fit(df).transform(df)
+    got = boosting.boost(rows, "y", rounds=1, depth=1, row_share=1.0, column_share=1.0)
+    assert " in {" in got.model.trees[0].toDebugString
