@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassificationModel, RandomForestClassifier)
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.operators.metrics import add_class_weight
-from sparkfold.ml.sums import sized
+from sparkfold.ml.sums import even, sized
 from sparkfold.session import cut_lineage
 
 FEATURES = "features"
@@ -187,14 +188,17 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
     """SAMME (two classes): depth-1 trees on re-weighted rows; score = sum alpha_t * (+1/-1);
     proba is the logistic of twice the score over the sum of alphas.
 
-    Row weights live in a column; the lineage is cut every few rounds so a lost
-    executor recomputes at most a few rounds.  Returns (id, score, proba) on test.
+    Row weights live in a column; the rows are dealt evenly over the cores and persisted for a round (it reads them
+    five times).  The lineage is cut every few rounds so a lost executor recomputes at most a few rounds.
+    Returns (id, score, proba) on test.
     """
     n = train.count()
-    cur = sized(cut_lineage(train.withColumn("_w", F.lit(1.0 / n))), n)
-    learners = []
+    cur = sized(cut_lineage(even(train.select(label, features).withColumn("_w", F.lit(1.0 / n)), n)), n).persist(StorageLevel.MEMORY_AND_DISK)
+    learners, done = [], cur
     for t in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=1, labelCol=label, featuresCol=features, weightCol="_w").fit(cur)
+        if done is not cur:
+            done.unpersist()  # the fit has filled ``cur`` from it
         scored = stump.transform(cur).withColumn("_miss", (F.col("prediction") != F.col(label)).cast("double"))
         # the weights sum to 1 (up to rounding), so the error also gives the sum of the next ones
         wrong, total = scored.agg(F.sum(F.col("_w") * F.col("_miss")), F.sum("_w")).first()
@@ -207,10 +211,13 @@ def adaboost(train: DataFrame, test: DataFrame, label: str, id_col: str, rounds:
         if err <= 1e-10:
             break  # a perfect stump decides alone
         next_total = total - wrong + wrong * math.exp(alpha)
-        cur = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(next_total)) \
+        moved = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(next_total)) \
             .drop("prediction", "rawPrediction", "probability", "_miss")
         if (t + 1) % checkpoint_every == 0:
-            cur = sized(cut_lineage(cur), n)
+            moved = sized(cut_lineage(moved), n)
+        done, cur = cur, moved.persist(StorageLevel.MEMORY_AND_DISK)
+    for frame in (done, cur):
+        frame.unpersist()
     # all stumps score in one chain of projections, each with columns of its own
     out, score = test.select(id_col, features), F.lit(0.0)
     for i, (stump, alpha) in enumerate(learners):

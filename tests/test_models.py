@@ -278,3 +278,16 @@ def test_boosting_keeps_the_metadata_of_its_features(spark):
     rows = M.Pipeline(stages=M.feature_stages([], ["c"], onehot=False)).fit(df).transform(df)
     got = boosting.boost(rows, "y", rounds=1, depth=1, row_share=1.0, column_share=1.0)
     assert " in {" in got.model.trees[0].toDebugString
+
+
+def test_adaboost_reads_even_tasks_from_memory(lopsided, monkeypatch):
+    stump, seen = M.DecisionTreeClassifier.fit, []
+
+    def fit(self, rows):
+        assert_even(rows)
+        seen.append(rows)
+        return stump(self, rows)
+
+    monkeypatch.setattr(M.DecisionTreeClassifier, "fit", fit)
+    assert M.adaboost(lopsided, lopsided, "y", "id", rounds=5).count() == 60_000
+    assert len(seen) == 5 and not any(rows.storageLevel.useMemory for rows in seen)
