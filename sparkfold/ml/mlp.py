@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.ml.sums import as_arrays, matrix, sized, total
+from sparkfold.ml.sums import as_arrays, kept, matrix, total
 
 
 def shapes(layers: Sequence[int]) -> list[tuple[int, int]]:
@@ -93,64 +93,64 @@ def fit(df: DataFrame, label: str, key: str, hidden: Sequence[int], weight: str
         valid_share: float = 0.1, seed: int = 42) -> Perceptron:
     """Fit on the rows of ``df`` (label 0 / 1).
 
-    No row is replicated: a row's weight scales its loss.  Read ``df`` from a stored table;
-    it is read once an epoch.  The result depends on the partitioning, as the averaged
+    No row is replicated: a row's weight scales its loss.  The rows are held
+    in memory, in even tasks, and read once an epoch.  The result depends on the partitioning, as the averaged
     states do, but not on retries: a task's shuffling is seeded by epoch and partition.
     Rows with a NULL label are left out; no training rows are an error; without validation
     rows all epochs run.
     """
     held_out = (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < F.lit(round(10_000 * valid_share))).cast("double")
     rows = df.where(F.col(label).isNotNull()).withColumns({"_w": F.col(weight) if weight else F.lit(1.0), "_v": held_out})
-    rows = sized(as_arrays(rows, features, label, "_w", "_v"))
-    first = rows.select(F.size("_x").alias("n")).first()
-    if first is None:
-        raise ValueError("no rows to fit")
-    layers = [first["n"], *hidden, 1]
-    flat = start_weights(layers, seed)
-    n = len(flat)
-    state = np.concatenate([flat, np.zeros(2 * n)])  # weights, first and second moments
-    done = 0  # Adam's step count: the rows' mean over tasks
-
-    def epoch(state: np.ndarray, done: float, number: int) -> np.ndarray:
-        def add(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])
-            w, m, v = state[:n].copy(), state[n:2 * n].copy(), state[2 * n:].copy()
-            t, seen, loss, weighed = done, 0, 0.0, 0.0
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x, y = matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
-                c, held = b.column(2).to_numpy(zero_copy_only=False), b.column(3).to_numpy(zero_copy_only=False) > 0
-                if held.any():  # the loss of the weights the epoch starts with
-                    loss += float(c[held] @ losses(y[held], forward(x[held], state[:n], layers)[-1][:, 0]))
-                    weighed += float(c[held].sum())
-                order = rng.permutation(np.flatnonzero(~held))
-                for at in range(0, len(order), batch):
-                    part = order[at:at + batch]
-                    g = gradient(x[part], y[part], c[part], w, layers, alpha)
-                    t += 1
-                    m = 0.9 * m + 0.1 * g
-                    v = 0.999 * v + 0.001 * g * g
-                    w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-                seen += len(order)
-            return np.concatenate([seen * np.concatenate([w, m, v]), [seen, seen * t, loss, weighed]])
-        return total(rows, add, 3 * n + 4)
-
-    history: list[tuple[int, float]] = []
-    best, best_epoch, best_flat = np.inf, 0, flat
-    for number in range(epochs + 1):
-        sums = epoch(state, done, number)
-        seen, steps, loss, weighed = sums[-4:]
-        if not seen:
-            raise ValueError("no training rows")
-        if weighed:  # of the weights after ``number`` epochs
-            history.append((number, float(loss / weighed)))
-            if loss / weighed < best:
-                best, best_epoch, best_flat = loss / weighed, number, state[:n]
-            if number - best_epoch >= patience:
-                break
-        if number < epochs:
-            state, done = sums[:3 * n] / seen, steps / seen
-    if not history:
-        best_epoch, best_flat = epochs, state[:n]
-    return Perceptron(layers, best_flat, best_epoch, history)
+    with kept(as_arrays(rows, features, label, "_w", "_v")) as rows:
+        first = rows.select(F.size("_x").alias("n")).first()
+        if first is None:
+            raise ValueError("no rows to fit")
+        layers = [first["n"], *hidden, 1]
+        flat = start_weights(layers, seed)
+        n = len(flat)
+        state = np.concatenate([flat, np.zeros(2 * n)])  # weights, first and second moments
+        done = 0  # Adam's step count: the rows' mean over tasks
+
+        def epoch(state: np.ndarray, done: float, number: int) -> np.ndarray:
+            def add(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+                rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])
+                w, m, v = state[:n].copy(), state[n:2 * n].copy(), state[2 * n:].copy()
+                t, seen, loss, weighed = done, 0, 0.0, 0.0
+                for b in batches:
+                    if not b.num_rows:
+                        continue
+                    x, y = matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
+                    c, held = b.column(2).to_numpy(zero_copy_only=False), b.column(3).to_numpy(zero_copy_only=False) > 0
+                    if held.any():  # the loss of the weights the epoch starts with
+                        loss += float(c[held] @ losses(y[held], forward(x[held], state[:n], layers)[-1][:, 0]))
+                        weighed += float(c[held].sum())
+                    order = rng.permutation(np.flatnonzero(~held))
+                    for at in range(0, len(order), batch):
+                        part = order[at:at + batch]
+                        g = gradient(x[part], y[part], c[part], w, layers, alpha)
+                        t += 1
+                        m = 0.9 * m + 0.1 * g
+                        v = 0.999 * v + 0.001 * g * g
+                        w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+                    seen += len(order)
+                return np.concatenate([seen * np.concatenate([w, m, v]), [seen, seen * t, loss, weighed]])
+            return total(rows, add, 3 * n + 4)
+
+        history: list[tuple[int, float]] = []
+        best, best_epoch, best_flat = np.inf, 0, flat
+        for number in range(epochs + 1):
+            sums = epoch(state, done, number)
+            seen, steps, loss, weighed = sums[-4:]
+            if not seen:
+                raise ValueError("no training rows")
+            if weighed:  # of the weights after ``number`` epochs
+                history.append((number, float(loss / weighed)))
+                if loss / weighed < best:
+                    best, best_epoch, best_flat = loss / weighed, number, state[:n]
+                if number - best_epoch >= patience:
+                    break
+            if number < epochs:
+                state, done = sums[:3 * n] / seen, steps / seen
+        if not history:
+            best_epoch, best_flat = epochs, state[:n]
+        return Perceptron(layers, best_flat, best_epoch, history)

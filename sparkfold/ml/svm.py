@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfold.ml.sums import as_arrays, matrix, sized, total
+from sparkfold.ml.sums import as_arrays, kept, matrix, total
 from sparkfold.operators.split import assign_folds
 from sparkfold.session import cut_lineage
 
@@ -53,54 +53,55 @@ def squared_hinge(df: DataFrame, label: str, C: float = 1.0, weight: str | None
     As in the reference's library the intercept is a weight of a constant column, so it is
     regularised too.  Newton steps, halved while the objective grows; the objective is
     strictly convex, so the result does not depend on the partitioning up to rounding.
-    Rows with a NULL label are left out; without rows all weights are 0.  Read ``df`` from
-    a stored table: it is read once a step.
+    Rows with a NULL label are left out; without rows all weights are 0.  The rows
+    are held in memory, in even tasks, and read once a step.
     """
-    rows = sized(as_arrays(df.where(F.col(label).isNotNull()).withColumn("_w", F.col(weight) if weight else F.lit(1.0)), features, label, "_w"))
-    first = rows.select(F.size("_x").alias("n")).first()
-    width = (first["n"] if first else 0) + 1
-    if width > WIDEST:
-        raise ValueError(f"{width - 1} features: the curvature is held whole, {WIDEST - 1} are the most")
-    size = width * width + width + 1
-
-    def at(w: np.ndarray) -> np.ndarray:
-        def add(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-            curve, slope, loss = np.zeros((width, width)), np.zeros(width), 0.0
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = np.hstack([matrix(b.column(0)), np.ones((b.num_rows, 1))])
-                s = np.where(b.column(1).to_numpy(zero_copy_only=False) > 0, 1.0, -1.0)
-                c = b.column(2).to_numpy(zero_copy_only=False)
-                short = 1 - s * (x @ w)
-                inside = short > 0
-                x, s, c, short = x[inside], s[inside], c[inside], short[inside]
-                loss += float(c @ short ** 2)
-                slope -= 2 * ((c * short * s) @ x)
-                curve += 2 * (x * c[:, None]).T @ x
-            return np.concatenate([curve.ravel(), slope, [loss]])
-        return total(rows, add, size)
-
-    w, step, best, steps = np.zeros(width), np.zeros(width), np.inf, 0
-    kept = w
-    while steps < most_steps:
-        steps += 1
-        sums = at(w)
-        curve, slope = sums[:width * width].reshape(width, width), sums[-width - 1:-1]
-        loss = 0.5 * float(w @ w) + C * float(sums[-1])
-        if loss > best + 1e-12 * abs(best):
-            step = step / 2  # too far
-            w = kept + step
-            if np.abs(step).max() < 1e-14:
+    rows = df.where(F.col(label).isNotNull()).withColumn("_w", F.col(weight) if weight else F.lit(1.0))
+    with kept(as_arrays(rows, features, label, "_w")) as rows:
+        first = rows.select(F.size("_x").alias("n")).first()
+        width = (first["n"] if first else 0) + 1
+        if width > WIDEST:
+            raise ValueError(f"{width - 1} features: the curvature is held whole, {WIDEST - 1} are the most")
+        size = width * width + width + 1
+
+        def at(w: np.ndarray) -> np.ndarray:
+            def add(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+                curve, slope, loss = np.zeros((width, width)), np.zeros(width), 0.0
+                for b in batches:
+                    if not b.num_rows:
+                        continue
+                    x = np.hstack([matrix(b.column(0)), np.ones((b.num_rows, 1))])
+                    s = np.where(b.column(1).to_numpy(zero_copy_only=False) > 0, 1.0, -1.0)
+                    c = b.column(2).to_numpy(zero_copy_only=False)
+                    short = 1 - s * (x @ w)
+                    inside = short > 0
+                    x, s, c, short = x[inside], s[inside], c[inside], short[inside]
+                    loss += float(c @ short ** 2)
+                    slope -= 2 * ((c * short * s) @ x)
+                    curve += 2 * (x * c[:, None]).T @ x
+                return np.concatenate([curve.ravel(), slope, [loss]])
+            return total(rows, add, size)
+
+        w, step, best, steps = np.zeros(width), np.zeros(width), np.inf, 0
+        nearest = w
+        while steps < most_steps:
+            steps += 1
+            sums = at(w)
+            curve, slope = sums[:width * width].reshape(width, width), sums[-width - 1:-1]
+            loss = 0.5 * float(w @ w) + C * float(sums[-1])
+            if loss > best + 1e-12 * abs(best):
+                step = step / 2  # too far
+                w = nearest + step
+                if np.abs(step).max() < 1e-14:
+                    break
+                continue
+            nearest, gained, best = w, best - loss, loss
+            gradient = w + C * slope
+            if np.abs(gradient).max() < tol * max(1.0, C * abs(sums[-1])) or gained <= 1e-14 * abs(loss):
                 break
-            continue
-        kept, gained, best = w, best - loss, loss
-        gradient = w + C * slope
-        if np.abs(gradient).max() < tol * max(1.0, C * abs(sums[-1])) or gained <= 1e-14 * abs(loss):
-            break
-        step = -np.linalg.solve(np.eye(width) + C * curve, gradient)
-        w = w + step
-    return LinearMargin(kept[:-1], float(kept[-1]), steps, best)
+            step = -np.linalg.solve(np.eye(width) + C * curve, gradient)
+            w = w + step
+        return LinearMargin(nearest[:-1], float(nearest[-1]), steps, best)
 
 
 def calibrated(train: DataFrame, test: DataFrame, label: str, key: str, C: float = 0.5, cv: int = 3, weight: str | None = None,

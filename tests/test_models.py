@@ -291,3 +291,14 @@ def test_adaboost_reads_even_tasks_from_memory(lopsided, monkeypatch):
     monkeypatch.setattr(M.DecisionTreeClassifier, "fit", fit)
     assert M.adaboost(lopsided, lopsided, "y", "id", rounds=5).count() == 60_000
     assert len(seen) == 5 and not any(rows.storageLevel.useMemory for rows in seen)
+
+
+@pytest.mark.parametrize("module", [mlp, svm])
+def test_solvers_read_even_tasks_from_memory(lopsided, monkeypatch, module):
+    def pass_over(rows, add, size):
+        assert_even(rows)
+        raise Passed
+
+    monkeypatch.setattr(module, "total", pass_over)
+    with pytest.raises(Passed):
+        mlp.fit(lopsided, "y", "id", (4,)) if module is mlp else svm.squared_hinge(lopsided, "y")
