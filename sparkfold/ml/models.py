@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfold.operators.metrics import add_class_weight
+from sparkfold.ml import forest
 from sparkfold.ml.sums import even, sized
 from sparkfold.session import cut_lineage
 
@@ -138,6 +139,8 @@ def oof_predictions(df: DataFrame, test: DataFrame | None, stages_fn: Callable[[
 #: Rows that the trees of one group see between them.  A deep tree has a node for every two or three of its rows, and
 #: Spark holds the nodes of all trees of a fit on the driver: at 200 trees of 12,000 rows more than 750 MB.
 TREE_ROWS = 250_000
+#: Up to so many training rows Spark's own fits grow a forest; beyond, or the driver and the shuffles take minutes, see ``forest``.
+FIT_ROWS = 4_000
 
 
 def forest_groups(est: RandomForestClassifier, train: DataFrame, tree_rows: int | None = None) -> Iterator[RandomForestClassificationModel]:
@@ -157,17 +160,27 @@ def forest_groups(est: RandomForestClassifier, train: DataFrame, tree_rows: int
         yield est.copy({est.numTrees: share, est.seed: est.getSeed() + 1_000_003 * g}).fit(train)
 
 
+def grown_in_tasks(est: RandomForestClassifier, train: DataFrame, tree_rows: int | None = None) -> int:
+    """The number of training rows if ``forest`` grows the trees, else 0."""
+    rows = 0 if tree_rows or not forest.takes(est) else train.count()
+    return rows if rows > FIT_ROWS else 0
+
+
 def forest_score(est: RandomForestClassifier, train: DataFrame, test: DataFrame, id_col: str, tree_rows: int | None = None) -> DataFrame:
     """(id, proba) on ``test``: the mean vote of all trees of the forest, from groups of them.
 
     A group's votes are written to ``spark.checkpoint.dir`` before the next group is fitted; ids may repeat.
+    More than ``FIT_ROWS`` training rows are grown by ``forest`` instead, unless ``tree_rows`` is given.
     """
     rows = cut_lineage(test.select(id_col, est.getFeaturesCol(), F.monotonically_increasing_id().alias("_row")))
-    votes = vector_to_array(F.col("rawPrediction"))
-    parts = []
-    for model in forest_groups(est, train, tree_rows):
-        parts.append(cut_lineage(model.transform(rows).select("_row", votes[1].alias("_for"), (votes[0] + votes[1]).alias("_all"))))
-        del model  # the driver's copy goes before the next group comes
+    if count := grown_in_tasks(est, train, tree_rows):
+        parts = forest.votes(est, train, count, rows, "_row")
+    else:
+        votes = vector_to_array(F.col("rawPrediction"))
+        parts = []
+        for model in forest_groups(est, train, tree_rows):
+            parts.append(cut_lineage(model.transform(rows).select("_row", votes[1].alias("_for"), (votes[0] + votes[1]).alias("_all"))))
+            del model  # the driver's copy goes before the next group comes
     summed = reduce(DataFrame.unionByName, parts).groupBy("_row").agg((F.sum("_for") / F.sum("_all")).alias("proba"))
     return rows.select(id_col, "_row").join(summed, "_row").select(id_col, "proba")
 

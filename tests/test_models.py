@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
 from sparkfold.ml import assemble as A
-from sparkfold.ml import boosting, mlp, svm
+from sparkfold.ml import boosting, forest, mlp, svm
 from sparkfold.ml import models as M
 from sparkfold.ml.sums import even, side_by_side, total
 from sparkfold.plans import q_models
@@ -228,6 +228,45 @@ def test_a_forest_in_groups_holds_few_trees_and_scores_all(spark, monkeypatch):
         assert asked.value.args[0] < 200
 
 
+def test_a_larger_forest_is_grown_in_tasks(spark, monkeypatch):
+    """Beyond FIT_ROWS no forest is fitted by Spark, whose driver and shuffles a deep one outgrows; however its trees are
+    cut into parts and waves, the votes are the same, and close to those of Spark's forest; ids may repeat."""
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.normal(size=(2000, 3)), rng.integers(0, 3, size=2000)]
+    df = points(spark, x, (rng.random(2000) < 1 / (1 + np.exp(-2 * x[:, 0] - x[:, 1] * x[:, 3]))).astype(int)).cache()
+    rows = df.withColumn("id", F.col("id") % 1500)
+    est = M.estimator("rf", labelCol="y", numTrees=40, maxDepth=30, featureSubsetStrategy="all")
+    model = est.fit(df)
+    whole = sorted((r.id, r.p) for r in model.transform(rows).select("id", M.positive_proba().alias("p")).collect())
+
+    def stopped(*a):
+        raise AssertionError("fitted whole")
+
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", stopped)
+    monkeypatch.setattr(M, "FIT_ROWS", 1000)
+    got = sorted((r.id, r.proba) for r in M.forest_score(est, df, rows, "id").collect())
+    assert [i for i, _ in got] == [i for i, _ in whole]
+    assert np.corrcoef([p for _, p in got], [p for _, p in whole])[0, 1] > 0.98
+    monkeypatch.setattr(forest, "NODE_ROWS", 300)
+    monkeypatch.setattr(forest, "WAVE_ROWS", 50_000)
+    assert np.allclose(sorted((r.id, r.proba) for r in M.forest_score(est, df, rows, "id").collect()), got, atol=1e-9, rtol=0)
+
+
+def test_a_grown_tree_is_the_plain_one():
+    """All places drawn: a tree fits its rows as far as they differ, a category no row has goes right, like siblings are one leaf."""
+    bins = forest.Bins(2, {0: np.array([0.5, 1.5])}, {1: 4})
+    x = bins.of(np.array([[0, 0], [1, 1], [2, 2], [2, 0], [2, 2]], dtype=float))
+    y, w = np.array([0, 1, 1, 0, 0]), np.array([1.0, 1.0, 2.0, 1.0, 1.0])
+    shown = bins.of(np.array([[0, 0], [1, 1], [9, 2], [2, 0], [2, 3]], dtype=float))
+    share, gains = forest.grow(x, y, w, shown, 0, 1, forest.Draw(bins, 2, 30, 42))
+    # the last three places of class 1 split no further into another prediction: 3 of 4 in weight
+    assert np.allclose(share, [0, 0.75, 0.75, 0, 0.75]) and gains[0] == 0 and gains[1] > 0
+    share, gains = forest.grow(x, y, w, shown, 0, 1, forest.Draw(bins, 2, 0, 42))
+    assert np.allclose(share, 0.5) and not gains.any()
+    with pytest.raises(ValueError, match="category"):
+        bins.of(np.array([[0.0, 4.0]]))
+
+
 def test_side_by_side_from_a_thread_without_an_active_session(spark, monkeypatch):
     from pyspark.sql import SparkSession
     monkeypatch.setattr(SparkSession, "getActiveSession", classmethod(lambda cls: None))
