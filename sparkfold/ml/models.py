@@ -186,7 +186,11 @@ def forest_score(est: RandomForestClassifier, train: DataFrame, test: DataFrame,
 
 
 def forest_importances(est: RandomForestClassifier, train: DataFrame, tree_rows: int | None = None) -> np.ndarray:
-    """Spark's importances of the whole forest, from groups of its trees: the mean over the trees that split."""
+    """Spark's importances of the whole forest, from groups of its trees: the mean over the trees that split.
+
+    More than ``FIT_ROWS`` training rows are grown by ``forest`` instead, unless ``tree_rows`` is given."""
+    if count := grown_in_tasks(est, train, tree_rows):
+        return forest.importances(est, train, count)
     total, grown = 0.0, 0
     for model in forest_groups(est, train, tree_rows):
         split = sum(t.numNodes > 1 for t in model.trees)

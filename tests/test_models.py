@@ -247,9 +247,12 @@ def test_a_larger_forest_is_grown_in_tasks(spark, monkeypatch):
     got = sorted((r.id, r.proba) for r in M.forest_score(est, df, rows, "id").collect())
     assert [i for i, _ in got] == [i for i, _ in whole]
     assert np.corrcoef([p for _, p in got], [p for _, p in whole])[0, 1] > 0.98
+    gains = M.forest_importances(est, df)
+    assert abs(gains.sum() - 1) < 1e-9 and np.abs(gains - model.featureImportances.toArray()).max() < 0.03
     monkeypatch.setattr(forest, "NODE_ROWS", 300)
     monkeypatch.setattr(forest, "WAVE_ROWS", 50_000)
     assert np.allclose(sorted((r.id, r.proba) for r in M.forest_score(est, df, rows, "id").collect()), got, atol=1e-9, rtol=0)
+    assert np.allclose(M.forest_importances(est, df), gains, atol=1e-9, rtol=0)
 
 
 def test_a_grown_tree_is_the_plain_one():
