@@ -1,10 +1,10 @@
 """Random forests of deep trees, grown where their rows are (M5, M6).
 
 Spark's own fit sends the sums of every node of every level through a shuffle and the driver; a deep tree has nodes
-for every two or three rows, so 200 trees cost minutes even on small tables.  Here a tree's large nodes are split by sums over all tasks
-(a pass a level, only bounded sums on the driver); once a node has at most ``NODE_ROWS`` rows of its tree, these are
-dealt to one task, which grows the whole subtree in numpy.  Rows to be scored are dealt along, so a subtree votes
-where it was grown and no node leaves its task.
+for every two or three rows, so 200 trees cost minutes even on small tables.  Here a tree's large nodes are split by
+sums over all tasks (a pass a level, only bounded sums on the driver); once a node has at most ``NODE_ROWS`` rows of
+its tree, these are dealt to one task, which grows the whole subtree in numpy.  Rows to be scored are dealt along, so
+a subtree votes where it was grown and no node leaves its task.
 
 The trees are those of Spark's estimator: each row counts Poisson(1) times its weight, ``maxBins`` bins a place,
 the square root of the places drawn for each node, Gini gain, ordered categories, and sibling leaves of one

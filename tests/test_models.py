@@ -255,6 +255,22 @@ def test_a_larger_forest_is_grown_in_tasks(spark, monkeypatch):
     assert np.allclose(M.forest_importances(est, df), gains, atol=1e-9, rtol=0)
 
 
+def test_a_large_leaf_votes(spark, monkeypatch):
+    """A node that is larger than a task's share and can't be split is a leaf: equal rows, and rows of one label."""
+    rng = np.random.default_rng(6)
+    x = np.repeat([[0.0, 0.0], [1.0, 0.0], [2.0, 1.0]], 400, axis=0)
+    y = np.r_[np.zeros(400), rng.random(400) < 0.3, rng.random(400) < 0.8].astype(int)
+    df = points(spark, x, y).cache()
+    est = M.estimator("rf", labelCol="y", numTrees=8, maxDepth=30, featureSubsetStrategy="all")
+    monkeypatch.setattr(M, "FIT_ROWS", 100)
+    monkeypatch.setattr(forest, "NODE_ROWS", 100)
+    got = np.array([r.proba for r in M.forest_score(est, df, df, "id").orderBy("id").collect()])
+    means = y.reshape(3, 400).mean(1)
+    means[:2] = means[:2].mean()  # sibling leaves that both say 0
+    assert np.allclose(got, np.repeat(means, 400), atol=0.05) and len(set(np.round(got, 9))) == 2
+    assert np.allclose(sorted(M.forest_importances(est, df)), [0, 1])
+
+
 def test_a_grown_tree_is_the_plain_one():
     """All places drawn: a tree fits its rows as far as they differ, a category no row has goes right, like siblings are one leaf."""
     bins = forest.Bins(2, {0: np.array([0.5, 1.5])}, {1: 4})
